@@ -1,0 +1,5 @@
+"""No streaming operators: every input of this engine is a finite set of files.
+
+The row-level functions in ``tamiz.functions`` are plain ``Column`` expressions
+without state, so they can be used on a streaming DataFrame as they are.
+"""
