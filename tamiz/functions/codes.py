@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tamiz.functions.folding import let
 from tamiz.functions.text import (
     SPACE,
     comparison_key,
@@ -57,15 +58,19 @@ def code_prefix(column: Column, length: int = PREFIX_LENGTH) -> Column:
 def region_relation(department: Column, division: Column) -> Column:
     """How an administrative division relates to its department (F8)."""
     dep, div = trimmed(department), trimmed(division)
-    dep_key, div_key = comparison_key(dep), comparison_key(div)
-    part_of_capital = dep.isin("GUATEMALA", CAPITAL) & div_key.startswith("GUATEMALA ")
-    north = (dep_key == "QUICHE") & (div_key == "QUICHE NORTE")
-    return (
-        F.when(dep == div, SAME)
-        .when(dep_key == div_key, ACCENTS_ONLY)
-        .when(part_of_capital | north, SUBDIVISION)
-        .otherwise(OTHER_RELATION)
-    )
+
+    def by_keys(keys: Column) -> Column:
+        dep_key, div_key = keys["dep"], keys["div"]
+        part_of_capital = dep.isin("GUATEMALA", CAPITAL) & div_key.startswith("GUATEMALA ")
+        north = (dep_key == "QUICHE") & (div_key == "QUICHE NORTE")
+        return (
+            F.when(dep_key == div_key, ACCENTS_ONLY)
+            .when(part_of_capital | north, SUBDIVISION)
+            .otherwise(OTHER_RELATION)
+        )
+
+    keys = F.struct(comparison_key(dep).alias("dep"), comparison_key(div).alias("div"))
+    return F.when(dep == div, SAME).otherwise(let(keys, by_keys))
 
 
 def has_absence_phrase(text: Column) -> Column:

@@ -98,13 +98,26 @@ def _expand(char: Column) -> Column:
     )
 
 
-def fold(text: Column) -> Column:
-    """Decompose and drop combining marks; pure ASCII cells pass untouched."""
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value worked out once, however often it is used.
+
+    Keeps nested expressions linear in size; without it each level would
+    repeat its whole input, at run time and in the plan.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
+def _fold_accented(text: Column) -> Column:
     tables = fold_tables()
     expanded = F.when(
         text.rlike(UNUSUAL) & text.rlike(tables.expansion_class),
         F.array_join(F.transform(F.split(text, ""), _expand), ""),
     ).otherwise(text)
+    return F.translate(expanded, tables.source, tables.target)
+
+
+def fold(text: Column) -> Column:
+    """Decompose and drop combining marks; pure ASCII cells pass untouched."""
     return F.when(F.length(text) == F.octet_length(text), text).otherwise(
-        F.translate(expanded, tables.source, tables.target)
+        let(text, _fold_accented)
     )

@@ -16,16 +16,23 @@ def fingerprints(
     df: DataFrame, labelled: dict[str, Column], keys: list[Column] | None = None
 ) -> DataFrame:
     """Distinct (keys..., variable, h1, h2); null expressions drop out."""
+    # The expressions become columns first, so that each is worked out once.
+    names = {label: f"_e{i}" for i, label in enumerate(labelled)}
+    prepared = df.select(
+        *(keys or []), *[expr.alias(names[label]) for label, expr in labelled.items()]
+    )
+    key_names = prepared.columns[: len(keys or [])]
     items = F.array(
         *[
             F.struct(
-                F.when(expr.isNotNull(), F.lit(label)).alias("variable"), *digest(expr)
+                F.when(F.col(name).isNotNull(), F.lit(label)).alias("variable"),
+                *digest(F.col(name)),
             )
-            for label, expr in labelled.items()
+            for label, name in names.items()
         ]
     )
     return (
-        df.select(*(keys or []), F.inline(items))
+        prepared.select(*key_names, F.inline(items))
         .where(F.col("variable").isNotNull())
         .distinct()
     )

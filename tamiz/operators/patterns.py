@@ -26,8 +26,8 @@ def first_examples(
 ) -> DataFrame:
     """First n distinct values per label, in row order, joined to one text.
 
-    `labels` is an array column with the labels of a row. Copies of a value are
-    merged map-side; every task then forwards at most n values per label
+    `labels` is an array column with the labels of a row; null entries do not
+    count. Copies of a value are merged map-side; every task then forwards at most n values per label
     (WindowGroupLimit), so a frequent label never gathers its rows.
 
     `long_values` keeps long texts out of the shuffles: fingerprints travel,
@@ -37,7 +37,11 @@ def first_examples(
     source = df.select(*order, value.alias("_value"), labels.alias("_labels"))
     identity = digest(F.col("_value")) if long_values else [F.col("_value")]
     keys = [F.col(c) for c in ("h1", "h2")] if long_values else [F.col("_value")]
-    tagged = source.select(F.explode("_labels").alias(name), *order, *identity)
+    # Nulls are dropped after the explode: a condition on the array itself would
+    # make the optimizer repeat the work behind it in a filter.
+    tagged = source.select(F.explode("_labels").alias(name), *order, *identity).where(
+        F.col(name).isNotNull()
+    )
     position = F.min(F.struct(*order) if len(order) > 1 else F.col(order[0]))
     firsts = tagged.groupBy(name, *keys).agg(position.alias("_first"))
     ranked = (
@@ -95,9 +99,7 @@ def pattern_inventory(
             metrics[k]["porcentaje"] = percentage(cells, F.count("*"))
     table = unpivot_metrics(flagged, metrics, label)
     if with_examples:
-        labels = F.array_compact(
-            F.array(*[F.when(F.col(names[k]), F.lit(k)) for k in flags])
-        )
+        labels = F.array(*[F.when(F.col(names[k]), F.lit(k)) for k in flags])
         examples = first_examples(
             flagged, labels, F.col("texto"), order, n, name=label, long_values=long_values
         )

@@ -23,6 +23,10 @@ def spelling_groups(
     are counted first, so a key's list is made of its distinct forms, never of
     its rows; the key is computed once per distinct spelling.
     """
+    def folded(spelling: Column) -> Column:
+        # Not nullable, or the joins below would repeat it in a null filter.
+        return F.coalesce(key(spelling), F.lit(""))
+
     rows = df.select(
         value.alias("nombre"),
         *[c.alias(n) for n, c in distinct.items()],
@@ -30,7 +34,7 @@ def spelling_groups(
     ).where("_keep")
     spellings = rows.groupBy("nombre").agg(F.count("*").alias("n"))
     groups = (
-        spellings.withColumn("clave", key(F.col("nombre")))
+        spellings.withColumn("clave", folded(F.col("nombre")))
         .groupBy("clave")
         .agg(
             F.count("*").alias("escrituras"),
@@ -41,7 +45,7 @@ def spelling_groups(
     )
     if distinct:
         counts = distinct_counts_by(
-            rows, {"clave": key(F.col("nombre"))}, {n: F.col(n) for n in distinct}
+            rows, {"clave": folded(F.col("nombre"))}, {n: F.col(n) for n in distinct}
         )
         # One row per key on both sides.
         groups = groups.join(counts, "clave", "left").fillna(0, subset=list(distinct))

@@ -61,8 +61,9 @@ def null_if_missing(column: Column) -> Column:
 
 
 def cut_date(address: Column) -> Column:
+    """The address without a final date; null when nothing else is left."""
     rest = strip(F.regexp_replace(address, f"(?U){TRAILING_DATE}", ""))
-    return F.when(found(address, TRAILING_DATE), F.nullif(rest, F.lit(""))).otherwise(address)
+    return F.nullif(rest, F.lit(""))
 
 
 def cut_municipality(address: Column, municipality: Column) -> Column:
@@ -74,7 +75,7 @@ def cut_municipality(address: Column, municipality: Column) -> Column:
     head = F.substring(address, F.lit(1), head_length)
     tail = F.substring(address, head_length + 1, F.length(municipality))
     rest = F.regexp_replace(head, r"(?U)[\s,.-]+\z", "")
-    ends = (unaccented(tail) == unaccented(municipality)) & found(head, r"[\s,]\z")
+    ends = found(head, r"[\s,]\z") & (unaccented(tail) == unaccented(municipality))
     part_of_name = found(unaccented(rest), rf"(?:{PLACE_WORD})\z")
     return F.when(
         (head_length > 0) & ends & (rest != "") & ~part_of_name, rest

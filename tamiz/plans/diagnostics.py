@@ -158,8 +158,7 @@ def _exclusive_cases(df, case, value, label, labels, order) -> DataFrame:
         label,
     )
     examples = patterns.first_examples(
-        df.where(F.col(case).isin(*labels)), F.array(case), F.col(value), order, 3,
-        name=label,
+        df, F.array(case), F.col(value), order, 3, name=label,
     )
     return table.join(F.broadcast(examples), label, "left").withColumn(
         "ejemplos", F.coalesce("ejemplos", F.lit(""))

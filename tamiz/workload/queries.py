@@ -192,13 +192,21 @@ def supervisor_imputed(df):
     )
 
 
-def validation_after(df):
-    return validation.reporte_validacion(C.limpiar_datos(df))
+def written_clean(spark, df):
+    """The cleaned table, written once; the checks then scan it several times."""
+    path = f"{scratch_dir(spark, 'tamiz-clean')}/limpio"
+    C.limpiar_datos(df).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def before_after(df):
+def validation_after(spark, sf_dir):
+    return validation.reporte_validacion(written_clean(spark, messy(spark, sf_dir)))
+
+
+def before_after(spark, sf_dir):
+    raw = messy(spark, sf_dir)
     return reports.informe_calidad(
-        df, C.limpiar_datos(df), C.registro_transformaciones(df)
+        raw, written_clean(spark, raw), C.registro_transformaciones(raw)
     )
 
 
@@ -350,6 +358,6 @@ QUERIES: dict[str, Query] = {
         lambda d: C.marcar_duplicados(d).select(*KEY, "CANDIDATO_DUPLICADO", "CONFIRMADO")
     ),
     "validate_raw": on_messy(validation.reporte_validacion),
-    "validate_clean": on_messy(validation_after),
-    "before_after": on_messy(before_after),
+    "validate_clean": validation_after,
+    "before_after": before_after,
 }
