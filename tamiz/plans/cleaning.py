@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.codes import CAPITAL, DISTRICT_FORMATS, district_class, is_name
+from tamiz.functions.folding import let
 from tamiz.functions.phone import VALID_LENGTHS, split_numbers
 from tamiz.functions.text import (
     comparison_key,
@@ -96,82 +97,84 @@ def fix_person_spelling(name: Column) -> Column:
 
 
 def staged(df: DataFrame) -> tuple[DataFrame, list[Step]]:
+    """All rules in five layers; rules of one layer do not depend on each other."""
     steps: list[Step] = []
 
-    def add(frame: DataFrame, variable: str, rule: str, action: str, expr) -> DataFrame:
-        done = sum(s.variable == variable for s in steps)
-        before = variable if done == 0 else f"{variable}__{done - 1}"
-        after = f"{variable}__{done}"
-        steps.append(Step(rule, variable, action, before, after))
-        return frame.withColumn(after, expr(F.col(before)))
-
     def last(variable: str) -> Column:
         return F.col([s.after for s in steps if s.variable == variable][-1])
 
-    out = df
-    for c in R.SOURCE_COLUMNS:
-        steps.append(Step("C1", c, "Texto sin espacios extremos; vacio y marcador a NULL", c, f"{c}__0"))
-    out = out.withColumns({f"{c}__0": null_if_missing(F.col(c)) for c in R.SOURCE_COLUMNS})
+    def layer(frame: DataFrame, rules: list[tuple], **extra: Column) -> DataFrame:
+        """`rules`: (variable, rule, action, expression of the column so far)."""
+        new = dict(extra)
+        for variable, rule, action, expr in rules:
+            done = sum(s.variable == variable for s in steps)
+            before = variable if done == 0 else f"{variable}__{done - 1}"
+            new[f"{variable}__{done}"] = expr(F.col(before))
+            steps.append(Step(rule, variable, action, before, f"{variable}__{done}"))
+        return frame.withColumns(new)
 
     capital = F.col("DEPARTAMENTO__0") == CAPITAL
-    out = add(
-        out, "DEPARTAMENTO", "C4", "CIUDAD CAPITAL al departamento oficial",
-        lambda c: F.when(c == CAPITAL, R.CAPITAL_DEPARTMENT).otherwise(c),
-    )
-    out = add(
-        out, "DEPARTAMENTO", "C5", "Nombre oficial segun diccionario cerrado",
-        lambda c: relabel(c, R.DEPARTMENTS),
-    )
-    out = add(
-        out, "MUNICIPIO", "C4", "Zona capitalina a columna propia",
-        lambda c: F.when(capital, R.CAPITAL_MUNICIPALITY).otherwise(c),
-    )
+    municipality = F.col("MUNICIPIO__0")
     divisions = {k: v.upper() for k, v in R.DEPARTMENTS.items()}
-    out = add(
-        out, "DEPARTAMENTAL", "C7", "Tildes segun catalogo propio",
-        lambda c: F.when(
-            comparison_key(c).isin(*divisions), relabel(comparison_key(c), divisions)
-        ).otherwise(c),
-    )
-    out = add(out, "DIRECCION", "C12", "Fecha final recortada", cut_date)
-    out = add(
-        out, "DIRECCION", "C11", "Municipio final recortado",
-        lambda c: F.when(
-            F.col("MUNICIPIO__0").isNotNull(), cut_municipality(c, F.col("MUNICIPIO__0"))
-        ).otherwise(c),
-    )
-    out = add(out, "DIRECCION", "C13", "Letra O por cero en contexto numerico", zero_for_letter)
-    out = add(
-        out, "DIRECCION", "C10", "Direccion sin informacion a NULL",
-        lambda c: F.when(
-            ~(
-                F.coalesce(unaccented(c) == unaccented(F.col("MUNICIPIO__0")), F.lit(False))
-                | found(c, R.ADDRESS_MARKERS["solo puntuacion"])
-            ),
-            c,
-        ),
-    )
-    # A cell that still holds a readable number keeps its text; see TELEFONOS.
     numbers = F.filter(
         split_numbers(F.col("TELEFONO__0")), lambda n: F.length(n).isin(*VALID_LENGTHS)
     )
-    out = out.withColumn("TELEFONOS", numbers)
-    out = add(
-        out, "TELEFONO", "C15", "Celda sin numero recuperable a NULL",
-        lambda c: F.when(F.size("TELEFONOS") > 0, c),
+
+    text = "Texto sin espacios extremos; vacio y marcador a NULL"
+    out = layer(df, [(c, "C1", text, null_if_missing) for c in R.SOURCE_COLUMNS])
+    out = layer(
+        out,
+        [
+            ("DEPARTAMENTO", "C4", "CIUDAD CAPITAL al departamento oficial",
+             lambda c: F.when(c == CAPITAL, R.CAPITAL_DEPARTMENT).otherwise(c)),
+            ("MUNICIPIO", "C4", "Zona capitalina a columna propia",
+             lambda c: F.when(capital, R.CAPITAL_MUNICIPALITY).otherwise(c)),
+            ("DEPARTAMENTAL", "C7", "Tildes segun catalogo propio",
+             lambda c: let(
+                 comparison_key(c),
+                 lambda k: F.when(k.isin(*divisions), relabel(k, divisions)).otherwise(c),
+             )),
+            ("DIRECCION", "C12", "Fecha final recortada", cut_date),
+            ("SUPERVISOR", "C18", "Grafias contaminadas corregidas", fix_person_spelling),
+            ("DIRECTOR", "C20", "Titulo separado del nombre",
+             lambda c: F.regexp_replace(c, f"(?U){TITLE}", "")),
+            ("AREA", "C23", "SIN ESPECIFICAR a NULL",
+             lambda c: F.nullif(c, F.lit(R.UNSPECIFIED_AREA))),
+        ],
+        TELEFONOS=numbers,
     )
-    out = add(out, "SUPERVISOR", "C18", "Grafias contaminadas corregidas", fix_person_spelling)
-    out = add(
-        out, "SUPERVISOR", "C19", "Nombre ausente a NULL", lambda c: F.when(is_name(c), c)
+    out = layer(
+        out,
+        [
+            ("DEPARTAMENTO", "C5", "Nombre oficial segun diccionario cerrado",
+             lambda c: relabel(c, R.DEPARTMENTS)),
+            ("DIRECCION", "C11", "Municipio final recortado",
+             lambda c: F.when(
+                 municipality.isNotNull(), cut_municipality(c, municipality)
+             ).otherwise(c)),
+            # A cell that still holds a readable number keeps its text.
+            ("TELEFONO", "C15", "Celda sin numero recuperable a NULL",
+             lambda c: F.when(F.size("TELEFONOS") > 0, c)),
+            ("SUPERVISOR", "C19", "Nombre ausente a NULL", lambda c: F.when(is_name(c), c)),
+            ("DIRECTOR", "C19", "Nombre ausente a NULL", lambda c: F.when(is_name(c), c)),
+        ],
     )
-    out = add(
-        out, "DIRECTOR", "C20", "Titulo separado del nombre",
-        lambda c: F.regexp_replace(c, f"(?U){TITLE}", ""),
+    out = layer(
+        out,
+        [("DIRECCION", "C13", "Letra O por cero en contexto numerico", zero_for_letter)],
     )
-    out = add(out, "DIRECTOR", "C19", "Nombre ausente a NULL", lambda c: F.when(is_name(c), c))
-    out = add(
-        out, "AREA", "C23", "SIN ESPECIFICAR a NULL",
-        lambda c: F.nullif(c, F.lit(R.UNSPECIFIED_AREA)),
+    out = layer(
+        out,
+        [
+            ("DIRECCION", "C10", "Direccion sin informacion a NULL",
+             lambda c: F.when(
+                 ~(
+                     F.coalesce(unaccented(c) == unaccented(municipality), F.lit(False))
+                     | found(c, R.ADDRESS_MARKERS["solo puntuacion"])
+                 ),
+                 c,
+             )),
+        ],
     )
 
     def kept(name: str, fresh: Column) -> Column:

@@ -32,6 +32,9 @@ def ascii_pattern(pattern: str) -> str:
     return q(
         pattern.replace(r"\s\x1c-\x1f", r"\s").replace(r"[\s]", r"\s")
         .replace(r"\A", "^").replace(r"\z", "$")
+        # A word boundary that knows accented letters, before the one pattern
+        # that is run on accented text.
+        .replace(r"\b[A-ZÑ]{1,4}", r"(?:^|[^\p{L}\p{N}_])[A-ZÑ]{1,4}")
     )
 
 

@@ -24,7 +24,7 @@ from tamiz.plans import reports, validation
 from tamiz.session import scratch_dir
 from tamiz.sources import csv_union
 from tamiz.sources.sinks import write_csv
-from tamiz.workload.messy import messy
+from tamiz.workload.messy import messy, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = ["archivo_origen", "fila_origen"]
@@ -38,8 +38,21 @@ def on_messy(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(messy(spark, sf_dir))
 
 
+# Primary keys, by which a small table is spread over the cores.
+PRIMARY_KEYS = {
+    "documents": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "events": ["event_id"],
+    "part": ["p_partkey"],
+}
+
+
 def on_table(name: str, build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(table(spark, sf_dir, name))
+    return lambda spark, sf_dir: build(
+        spread(table(spark, sf_dir, name), *PRIMARY_KEYS[name])
+    )
 
 
 def joined(df: DataFrame, column: str, separator: str = " | ") -> DataFrame:
