@@ -37,9 +37,9 @@ def first_examples(
     source = df.select(*order, value.alias("_value"), labels.alias("_labels"))
     identity = digest(F.col("_value")) if long_values else [F.col("_value")]
     keys = [F.col(c) for c in ("h1", "h2")] if long_values else [F.col("_value")]
-    # Nulls are dropped after the explode: a condition on the array itself would
-    # make the optimizer repeat the work behind it in a filter.
-    tagged = source.select(F.explode("_labels").alias(name), *order, *identity).where(
+    # The outer form and a null test after it: for a plain explode the optimizer
+    # adds a filter on the array's size, which would run all patterns twice.
+    tagged = source.select(F.explode_outer("_labels").alias(name), *order, *identity).where(
         F.col(name).isNotNull()
     )
     position = F.min(F.struct(*order) if len(order) > 1 else F.col(order[0]))

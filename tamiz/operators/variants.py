@@ -122,7 +122,7 @@ def near_pairs(
     reduced = F.array("clave")
     for _ in range(max_distance):
         reduced = shorten(reduced)
-    shapes = names.select("bloque", "clave", "registros", F.explode(reduced).alias("_shape"))
+    shapes = names.select("bloque", "clave", "registros", F.explode_outer(reduced).alias("_shape"))
     left = shapes.select(
         "bloque", "_shape", F.col("clave").alias("clave_a"), F.col("registros").alias("registros_a")
     )

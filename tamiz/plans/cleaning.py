@@ -378,5 +378,5 @@ def marcar_duplicados(df: DataFrame) -> DataFrame:
 
 def telefonos_por_fila(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per recovered number."""
-    numbers = F.posexplode(split_numbers(F.col("TELEFONO"))).alias("posicion", "numero")
-    return df.select(*columns, numbers)
+    numbers = F.posexplode_outer(split_numbers(F.col("TELEFONO"))).alias("posicion", "numero")
+    return df.select(*columns, numbers).where(F.col("numero").isNotNull())
