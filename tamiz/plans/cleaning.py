@@ -201,7 +201,7 @@ def staged(df: DataFrame) -> tuple[DataFrame, list[Step]]:
                 ),
             ),
             "ESTABLECIMIENTO_CLAVE": name_key(F.col("ESTABLECIMIENTO__0")),
-            "DIRECCION_SIN_NUMERO": F.coalesce(F.col("AREA__0") != R.RURAL, F.lit(False))
+            "DIRECCION_SIN_NUMERO": F.coalesce(last("AREA") != R.RURAL, F.lit(False))
             & last("DIRECCION").isNotNull()
             & ~house_number,
             "DIRECTOR_TITULO": kept("DIRECTOR_TITULO", F.nullif(title, F.lit(""))),

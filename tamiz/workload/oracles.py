@@ -690,7 +690,7 @@ CLEAN_SELECT = f"""SELECT CODIGO_0 AS CODIGO, DISTRITO_0 AS DISTRITO, dep2 AS DE
   coalesce({full("DISTRITO_0", r"\d{2}-")}, false) AS DISTRITO_REVISAR,
   CASE WHEN capital AND {full("MUNICIPIO_0", R.ZONE)} THEN MUNICIPIO_0 END AS ZONA_CAPITAL,
   {name_key("ESTABLECIMIENTO_0")} AS ESTABLECIMIENTO_CLAVE,
-  coalesce(AREA_0 <> 'RURAL', false) AND d4 IS NOT NULL
+  coalesce(area1 <> 'RURAL', false) AND d4 IS NOT NULL
     AND NOT coalesce(regexp_matches(d4, {HOUSE_RE}), false) AS DIRECCION_SIN_NUMERO,
   array_to_string(tels, ' | ') AS TELEFONOS,
   nullif(regexp_extract(coalesce(DIRECTOR_0, ''), {TITLE_RE}, 1), '') AS DIRECTOR_TITULO,
