@@ -28,9 +28,10 @@ TAILS = "".join(chr(0x11A8 + i) for i in range(27))
 
 ENTRY, PAIR = "\u0001", "\u0002"
 
-# Characters outside the Latin ranges that never expand. This short class is
-# tried first, as the full one has some two hundred ranges.
-UNUSUAL = r"[^\x00-\x7f\xa0-\xbb\xbf-\u0131]"
+# Every character that expands lies in here. This short class is tried first,
+# as the full one has some two hundred ranges and is ten times slower.
+UNUSUAL_RANGES = ((0xBC, 0xBE), (0x132, sys.maxunicode))
+UNUSUAL = "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in UNUSUAL_RANGES) + "]"
 
 
 def fold_character(char: str) -> str:

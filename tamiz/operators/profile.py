@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from tamiz.functions.text import (
     all_blank,
     full_match,
-    has_edge_space,
     has_inner_run,
-    is_blank,
     percentage,
     plain,
     trimmed,
@@ -52,6 +50,18 @@ def metric_rows(
     )
 
 
+def with_trimmed(df: DataFrame, columns: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The columns and their trimmed texts, each trimmed once per row."""
+    names = {c: f"_t{i}" for i, c in enumerate(columns)}
+    return df.select(*columns, *[trimmed(F.col(c)).alias(t) for c, t in names.items()]), names
+
+
+def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct non-blank trimmed values per column."""
+    texts = df.select(*[trimmed(F.col(c)).alias(c) for c in columns])
+    return distinct_counts(texts, {c: F.when(F.col(c) != "", F.col(c)) for c in columns})
+
+
 def _attach_distinct(
     table: DataFrame, counts: DataFrame, name: str, columns: list[str]
 ) -> DataFrame:
@@ -65,26 +75,21 @@ def _attach_distinct(
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Type, rows, missing, distinct values and space defects per column."""
     types = dict(df.dtypes)
-    source = df.select(*columns)
-    table = unpivot_metrics(
-        source,
-        {
-            c: {
-                "tipo_leido": F.lit(types[c]),
-                "registros": F.count("*"),
-                "faltantes": F.count_if(is_blank(F.col(c))),
-                "porcentaje_faltantes": percentage(
-                    F.count_if(is_blank(F.col(c))), F.count("*")
-                ),
-                "espacios_inicio_fin": F.count_if(has_edge_space(F.col(c))),
-                "espacios_multiples": F.count_if(has_inner_run(trimmed(F.col(c)))),
-            }
-            for c in columns
-        },
-    )
-    counts = distinct_counts(
-        source, {c: F.nullif(trimmed(F.col(c)), F.lit("")) for c in columns}
-    )
+    source, texts = with_trimmed(df, columns)
+
+    def metrics(c: str) -> dict[str, Column]:
+        missing = F.count_if(F.col(texts[c]) == "")
+        return {
+            "tipo_leido": F.lit(types[c]),
+            "registros": F.count("*"),
+            "faltantes": missing,
+            "porcentaje_faltantes": percentage(missing, F.count("*")),
+            "espacios_inicio_fin": F.count_if(plain(F.col(c)) != F.col(texts[c])),
+            "espacios_multiples": F.count_if(has_inner_run(F.col(texts[c]))),
+        }
+
+    table = unpivot_metrics(source, {c: metrics(c) for c in columns})
+    counts = distinct_values(df, columns)
     return _attach_distinct(
         table,
         counts,
@@ -100,17 +105,13 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 def missing_table(df: DataFrame, columns: list[str], markers: list[str]) -> DataFrame:
     """Cells that are blank or hold one of the upper-case markers."""
 
-    def is_missing(c: str) -> Column:
-        return F.upper(trimmed(F.col(c))).isin(*markers)
-
+    flags = df.select(*[F.upper(trimmed(F.col(c))).isin(*markers).alias(c) for c in columns])
+    counts = {c: F.count_if(F.col(c)) for c in columns}
     table = unpivot_metrics(
-        df.select(*columns),
+        flags,
         {
-            c: {
-                "faltantes": F.count_if(is_missing(c)),
-                "porcentaje": percentage(F.count_if(is_missing(c)), F.count("*"), 4),
-            }
-            for c in columns
+            c: {"faltantes": n, "porcentaje": percentage(n, F.count("*"), 4)}
+            for c, n in counts.items()
         },
     )
     return table.orderBy(F.desc("faltantes"), "variable")
@@ -127,13 +128,14 @@ def unique_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def format_table(df: DataFrame, columns: list[str], only_findings: bool = True) -> DataFrame:
     """Edge spaces, runs of spaces in the raw text, and final full stops."""
+    source, texts = with_trimmed(df, columns)
     table = unpivot_metrics(
-        df.select(*columns),
+        source,
         {
             c: {
-                "espacios_inicio_fin": F.count_if(has_edge_space(F.col(c))),
+                "espacios_inicio_fin": F.count_if(plain(F.col(c)) != F.col(texts[c])),
                 "espacios_multiples": F.count_if(has_inner_run(plain(F.col(c)))),
-                "punto_final": F.count_if(trimmed(F.col(c)).endswith(".")),
+                "punto_final": F.count_if(F.col(texts[c]).endswith(".")),
             }
             for c in columns
         },
@@ -147,11 +149,11 @@ def dimension_summary(df: DataFrame, columns: list[str], lineage: list[str]) ->
     """Rows, informative rows, blank rows, variables and lineage columns."""
     blank = all_blank([F.col(c) for c in columns])
     return metric_rows(
-        df.select(*columns),
+        df.select(blank.alias("vacia")),
         [
             ("Registros crudos", F.count("*")),
-            ("Registros no vacíos", F.count_if(~blank)),
-            ("Filas completamente vacías", F.count_if(blank)),
+            ("Registros no vacíos", F.count_if(~F.col("vacia"))),
+            ("Filas completamente vacías", F.count_if("vacia")),
             ("Variables originales", F.lit(len(columns))),
             ("Columnas de trazabilidad", F.lit(len(lineage))),
         ],
@@ -167,10 +169,10 @@ def schema_listing(df: DataFrame) -> DataFrame:
 
 def phone_summary(df: DataFrame, phone: str, letters: str, standard: str) -> DataFrame:
     """Blank, standard, other, and cells holding letters."""
-    text = trimmed(F.col(phone))
+    text = F.col("texto")
     good = full_match(text, standard)
     return metric_rows(
-        df.select(phone),
+        df.select(trimmed(F.col(phone)).alias("texto")),
         [
             ("Vacíos", F.count_if(text == "")),
             ("Exactamente 8 dígitos", F.count_if(good)),
@@ -184,14 +186,12 @@ def phone_summary(df: DataFrame, phone: str, letters: str, standard: str) -> Dat
 
 def constant_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns with exactly one distinct non-blank value."""
-    counts = distinct_counts(
-        df.select(*columns),
-        {c: F.nullif(trimmed(F.col(c)), F.lit("")) for c in columns},
-    )
     values = unpivot_metrics(
-        df.select(*columns),
-        {c: {"valor": F.max(F.nullif(trimmed(F.col(c)), F.lit("")))} for c in columns},
+        df.select(*[trimmed(F.col(c)).alias(c) for c in columns]),
+        {c: {"valor": F.max(F.col(c))} for c in columns},
     )
-    return values.join(F.broadcast(counts.where("unicos = 1")), "variable").select(
+    constant = distinct_values(df, columns).where("unicos = 1")
+    # One row per column on both sides.
+    return values.join(F.broadcast(constant), "variable").select(
         "variable", "valor"
     )
