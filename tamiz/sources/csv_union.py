@@ -7,7 +7,10 @@ line breaks inside quotes is read by as many tasks as it has splits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,37 +18,39 @@ from tamiz.functions.text import all_blank
 from tamiz.operators.profile import metric_rows
 
 GLOB = "*.csv"
+# Files up to this size may be read by a single task.
+WHOLE_FILE_BYTES = 256 * 1024 * 1024
 LINEAGE = ("archivo_origen", "fila_origen")
 
 
+def _file_name() -> Column:
+    """Name of the scanned file; the scan gives it percent-encoded."""
+    return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
     # Listing only: the content column is never read.
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", GLOB)
         .load(path)
-        .select("path", "length")
+        .select(F.col("_metadata.file_path").alias("path"), "length")
     )
 
 
 def check_files(spark: SparkSession, path: str, expected: int | None = None) -> str:
     """File-count guard; returns the first file in name order."""
-    found = (
-        _files(spark, path)
-        .agg(
-            F.count("*").alias("n"),
-            F.min("path").alias("first"),
-            F.min(F.when(F.col("length") == 0, F.col("path"))).alias("empty"),
-        )
-        .first()
-    )
-    if expected is not None and found["n"] != expected:
-        raise ValueError(f"Se esperaban {expected} archivos CSV y se encontraron {found['n']}.")
-    if found["n"] == 0:
+    files = _files(spark, path)
+    # The driver's own listing; a scan passes over files of no bytes.
+    listed = len(files.inputFiles())
+    if expected is not None and listed != expected:
+        raise ValueError(f"Se esperaban {expected} archivos CSV y se encontraron {listed}.")
+    if listed == 0:
         raise FileNotFoundError(f"No hay archivos CSV en {path}.")
-    if found["empty"] is not None:
-        raise ValueError(f"El archivo {found['empty']} no contiene encabezado.")
-    return found["first"]
+    found = files.agg(F.count("*").alias("n"), F.min("path").alias("first")).first()
+    if found["n"] < listed:
+        raise ValueError(f"{listed - found['n']} archivos no contienen encabezado.")
+    return unquote(found["first"])
 
 
 def _reader(spark: SparkSession, columns: list[str], multiline: bool):
@@ -69,14 +74,14 @@ def read_header(spark: SparkSession, file: str) -> list[str]:
     )
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return (
         spark.read.option("pathGlobFilter", GLOB)
         .option("lineSep", "\n")
         .text(path)
         .select(
             "value",
-            F.col("_metadata.file_name").alias("archivo"),
+            _file_name().alias("archivo"),
             F.col("_metadata.file_path").alias("ruta"),
             F.col("_metadata.file_block_start").alias("bloque"),
             F.monotonically_increasing_id().alias("posicion"),
@@ -131,7 +136,7 @@ def number_records(df: DataFrame) -> DataFrame:
     columns = df.columns
     placed = df.select(
         *columns,
-        F.col("_metadata.file_name").alias(LINEAGE[0]),
+        _file_name().alias(LINEAGE[0]),
         F.col("_metadata.file_path").alias("_ruta"),
         F.col("_metadata.file_block_start").alias("_bloque"),
         F.monotonically_increasing_id().alias("_posicion"),
@@ -153,6 +158,83 @@ def number_records(df: DataFrame) -> DataFrame:
     )
 
 
+def _stitch_records(lines: DataFrame) -> DataFrame:
+    """(archivo, registro, texto) from lines, joining lines inside quotes.
+
+    A line starts inside quotes if an odd number of quotes comes before it.
+    The count runs within each split, and the totals of the splits before it
+    are added from a small table, so no file is ever read by one task. Blank
+    lines between records are skipped; the header is record 1.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    in_split = Window.partitionBy("ruta", "bloque").orderBy("posicion")
+    empty = F.col("value").isin("", "\r").cast("int")
+    run = lines.select("*", (quotes % 2).alias("impar")).withColumn(
+        "impares", F.sum("impar").over(in_split)
+    )
+    # Records that start in a split, if it begins outside or inside quotes.
+    inner = (F.col("impares") - F.col("impar")) % 2
+    run = run.withColumns(
+        {
+            "fuera": F.sum(((inner == 0) & (empty == 0)).cast("long")).over(in_split),
+            "dentro": F.sum(((inner == 1) & (empty == 0)).cast("long")).over(in_split),
+        }
+    )
+    splits = run.groupBy("ruta", "bloque").agg(
+        F.max("impares").alias("i"), F.max("fuera").alias("f"), F.max("dentro").alias("d")
+    )
+    before = Window.partitionBy("ruta").orderBy("bloque").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    splits = splits.withColumn("previas", F.coalesce(F.sum("i").over(before), F.lit(0)) % 2)
+    starts = F.when(F.col("previas") == 0, F.col("f")).otherwise(F.col("d"))
+    splits = splits.select(
+        "ruta", "bloque", "previas", F.coalesce(F.sum(starts).over(before), F.lit(0)).alias("anteriores")
+    )
+    placed = run.join(splits, ["ruta", "bloque"]).select(
+        "archivo", "ruta", "bloque", "posicion", "value",
+        ((F.col("previas") + F.col("impares") - F.col("impar")) % 2).alias("abre"),
+        ((F.col("previas") + F.col("impares")) % 2).alias("cierra"),
+        (
+            F.col("anteriores")
+            + F.when(F.col("previas") == 0, F.col("fuera")).otherwise(F.col("dentro"))
+        ).alias("registro"),
+    )
+    alone = (F.col("abre") == 0) & (F.col("cierra") == 0)
+    whole = placed.where(alone & ~F.col("value").isin("", "\r")).select(
+        "archivo", "registro", F.col("value").alias("texto")
+    )
+    pieces = F.array_sort(F.collect_list(F.struct("bloque", "posicion", "value")))
+    broken = (
+        placed.where(~alone)
+        .groupBy("archivo", "ruta", "registro")
+        .agg(F.array_join(pieces["value"], "\n").alias("texto"))
+        .drop("ruta")
+    )
+    return whole.unionByName(broken)
+
+
+def _read_stitched(spark: SparkSession, files: list[str], columns: list[str]) -> DataFrame:
+    """Large files with line breaks inside quotes, read by split; with lineage."""
+    records = _stitch_records(_lines(spark, files))
+    text = F.regexp_replace("texto", "\\A\ufeff|\r\\z", "")
+    schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in columns)
+    cells = F.from_csv(text, schema, {"escape": '"', "mode": "FAILFAST", "maxCharsPerColumn": "-1"})
+    parsed = records.select(
+        cells.alias("c"), F.col("archivo").alias(LINEAGE[0]), F.col("registro").alias(LINEAGE[1])
+    )
+    names = F.array(*[F.coalesce(F.col("c")[c], F.lit("")) for c in columns])
+    wrong = F.raise_error(
+        F.concat(F.lit("El encabezado de "), F.col(LINEAGE[0]), F.lit(" no coincide."))
+    ).cast("boolean")
+    is_data = F.when(F.col(LINEAGE[1]) > 1, True).when(
+        names == F.array(*[F.lit(c) for c in columns]), False
+    ).otherwise(wrong)
+    return parsed.where(is_data).select(
+        *[F.coalesce(F.col("c")[c], F.lit("")).alias(c) for c in columns], *LINEAGE
+    )
+
+
 def read_union(
     spark: SparkSession,
     path: str,
@@ -160,6 +242,7 @@ def read_union(
     expected_files: int | None = None,
     multiline: bool | None = None,
     lineage: bool = True,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """All records of all files, unchanged, with their origin.
 
@@ -167,11 +250,14 @@ def read_union(
     differs from the first one in names or order (letter case included when
     the session is case sensitive), or a record has another width.
 
-    `multiline`: None finds out by counting quotes per line. Files with line
-    breaks inside quotes are read whole by one task each, all others by split.
+    `multiline`: None finds out by counting quotes per line. Files without
+    line breaks inside quotes are read by split. Those that have some are read
+    by one task each up to `whole_file_bytes`; larger ones are read by split as
+    lines, which are then put together again.
     """
     first = check_files(spark, path, expected_files)
     names = columns or read_header(spark, first)
+    wanted = [*names, *LINEAGE] if lineage else names
 
     def load(target, whole: bool) -> DataFrame:
         frame = (
@@ -185,14 +271,23 @@ def read_union(
 
     if multiline is not None:
         return load(path, multiline)
-    # File names only: the listing that the driver holds for any scan.
-    broken = {r["ruta"] for r in files_with_quoted_breaks(spark, path).collect()}
+    # File names and sizes only: the listing that the driver holds for any scan.
+    # The path column of a scan is a URI, and a reader wants it decoded.
+    broken = {unquote(r["ruta"]) for r in files_with_quoted_breaks(spark, path).collect()}
     if not broken:
         return load(path, False)
-    every = {r["path"] for r in _files(spark, path).select("path").collect()}
-    single = sorted(every - broken)
-    whole = load(sorted(broken), True)
-    return whole.unionByName(load(single, False)) if single else whole
+    sizes = {unquote(r["path"]): r["length"] for r in _files(spark, path).collect()}
+    plain = sorted(set(sizes) - broken)
+    small = sorted(f for f in broken if sizes[f] <= whole_file_bytes)
+    large = sorted(f for f in broken if sizes[f] > whole_file_bytes)
+    parts = []
+    if plain:
+        parts.append(load(plain, False))
+    if small:
+        parts.append(load(small, True))
+    if large:
+        parts.append(_read_stitched(spark, large, names).select(*wanted))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_by_name(spark: SparkSession, path: str, lineage: bool = True) -> DataFrame:
@@ -210,14 +305,15 @@ def read_by_name(spark: SparkSession, path: str, lineage: bool = True) -> DataFr
     )
     out = None
     for group in sorted(groups, key=lambda g: g["rutas"][0]):
-        part = _reader(spark, group["columnas"], True).csv(group["rutas"]).na.fill("")
+        part = _reader(spark, group["columnas"], True).csv([unquote(r) for r in group["rutas"]]).na.fill("")
         part = number_records(part) if lineage else part
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
 def malformed_records(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Records wider or narrower than the header, with file name (S6, report)."""
+    """Records wider or narrower than the header, with file name and the cells
+    that could be read (S6, report)."""
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in [*columns, "_corrupt_record"]]
     )
@@ -227,7 +323,7 @@ def malformed_records(spark: SparkSession, path: str, columns: list[str]) -> Dat
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .csv(path)
-        .select(F.col("_metadata.file_name").alias("archivo"), "_corrupt_record")
+        .select(_file_name().alias("archivo"), *columns, "_corrupt_record")
         .where(F.col("_corrupt_record").isNotNull())
     )
 

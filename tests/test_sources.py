@@ -35,6 +35,44 @@ def test_good_files_with_blank_lines_commas_and_quoted_breaks(spark, tmp_path):
     assert dict(df.dtypes)["fila_origen"] == "bigint"
 
 
+@pytest.mark.parametrize("split_bytes", ["64", "300", "1000000"])
+def test_large_files_with_quoted_breaks_are_read_by_split(spark, tmp_path, split_bytes):
+    def record(i):
+        if i % 7 == 0:
+            return f'"{i}","uno\n\ndos, ""x"" {i}\n"\n'
+        return f'{i},""\n\n' if i % 5 == 0 else f'{i},"a, ""{i}"""\n'
+
+    put(tmp_path, "a.csv", "K,V\r\n" + "".join(record(i) for i in range(200)))
+    put(tmp_path, "b.csv", "K,V\r\n" + "".join(record(i) for i in range(3)), bom=False)
+    put(tmp_path, "c.csv", "K,V\n1,2\n")
+    whole = listed(U.read_union(spark, str(tmp_path)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        by_split = listed(U.read_union(spark, str(tmp_path), whole_file_bytes=0))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert by_split == whole and len(whole) == 204
+    assert [n for k, _, f, n in sorted(whole, key=lambda r: (r[2], int(r[0]))) if f == "a.csv"] == list(range(2, 202))
+
+
+@pytest.mark.parametrize("second", ['Y,X\n"1\n",2\n', 'X,Y\n"1\n"\n', 'X,Y\n"1\n",2,3\n'])
+def test_large_files_are_checked_too(spark, tmp_path, second):
+    put(tmp_path, "a.csv", "X,Y\n1,2\n")
+    put(tmp_path, "b.csv", second)
+    with pytest.raises(Exception, match="encabezado|Malformed|MALFORMED"):
+        U.read_union(spark, str(tmp_path), whole_file_bytes=0).select("X").collect()
+
+
+@pytest.mark.parametrize("size", [0, 10**6])
+def test_file_names_with_spaces_and_accents(spark, tmp_path, size):
+    put(tmp_path, "a ñ%20.csv", 'X,Y\n"1\n",2\n')
+    put(tmp_path, "b c.csv", "X,Y\n3,4\n")
+    got = listed(U.read_union(spark, str(tmp_path), whole_file_bytes=size))
+    assert [r[2:] for r in got] == [("a ñ%20.csv", 2), ("b c.csv", 2)]
+    assert U.read_by_name(spark, str(tmp_path)).count() == 2
+
+
 def test_files_with_quoted_breaks_are_found(spark, tmp_path):
     put(tmp_path, "a.csv", 'X,Y\n"1 ""a""",2\n')
     put(tmp_path, "b.csv", 'X,Y\n"1\n",2\n')
