@@ -54,12 +54,15 @@ def join_lookup(
 
     The table is counted (never further than the limit). A small one is
     broadcast; a larger one is repeated under a salt, and rows spread over the
-    salts, so that a frequent key is divided among tasks.
+    salts, so that a frequent key is divided among tasks. The salt follows from
+    a row and its input partition: copies of one row spread too, and a task
+    that runs again gives the same salts in whatever order it reads.
     """
     size = lookup.select(*keys).limit(broadcast_rows + 1).count()
     if size <= broadcast_rows:
         return rows.join(F.broadcast(lookup), keys, how)
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+    spread = F.xxhash64(F.spark_partition_id(), *rows.columns)
+    salted_rows = rows.withColumn("_salt", F.pmod(spread, F.lit(SALTS)))
     salted_lookup = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     )

@@ -21,6 +21,8 @@ GLOB = "*.csv"
 # Files up to this size may be read by a single task.
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
 LINEAGE = ("archivo_origen", "fila_origen")
+# The table of splits is broadcast up to this many rows (some 100 bytes each).
+BROADCAST_SPLITS = 1_000_000
 
 
 def _file_name() -> Column:
@@ -152,6 +154,11 @@ def number_records(df: DataFrame) -> DataFrame:
         "_bloque",
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 2 - F.col("_primera")).alias("_salto"),
     )
+    # A partition holds at most one split's worth of bytes, so there are no more
+    # splits than files and partitions together; both are known from the plan.
+    # Beyond the limit the join shuffles by split, whose size is bounded too.
+    if len(df.inputFiles()) + df.rdd.getNumPartitions() <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     numbered = placed.join(offsets, ["_ruta", "_bloque"])
     return numbered.select(
         *columns, LINEAGE[0], (F.col("_posicion") + F.col("_salto")).alias(LINEAGE[1])
@@ -250,7 +257,8 @@ def read_union(
     differs from the first one in names or order (letter case included when
     the session is case sensitive), or a record has another width.
 
-    `multiline`: None finds out by counting quotes per line. Files without
+    `multiline`: None finds out by counting quotes per line, one more pass over
+    the bytes that True or False saves when the answer is known. Files without
     line breaks inside quotes are read by split. Those that have some are read
     by one task each up to `whole_file_bytes`; larger ones are read by split as
     lines, which are then put together again.
