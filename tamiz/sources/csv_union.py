@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +31,14 @@ def _file_name() -> Column:
     return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
+Paths = str | list[str]
+
+
+def _files(spark: SparkSession, path: Paths, glob: str = GLOB) -> DataFrame:
     # Listing only: the content column is never read.
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", GLOB)
+        .option("pathGlobFilter", glob)
         .load(path)
         .select(F.col("_metadata.file_path").alias("path"), "length")
     )
@@ -55,14 +59,14 @@ def check_files(spark: SparkSession, path: str, expected: int | None = None) ->
     return unquote(found["first"])
 
 
-def _reader(spark: SparkSession, columns: list[str], multiline: bool):
+def _reader(spark: SparkSession, columns: list[str], multiline: bool, glob: str = GLOB):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", multiline)
-        .option("pathGlobFilter", GLOB)
+        .option("pathGlobFilter", glob)
         # Width is checked on whole records, whatever columns a query uses.
         .option("columnPruning", False)
     )
@@ -76,9 +80,9 @@ def read_header(spark: SparkSession, file: str) -> list[str]:
     )
 
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _lines(spark: SparkSession, path: Paths, glob: str = GLOB) -> DataFrame:
     return (
-        spark.read.option("pathGlobFilter", GLOB)
+        spark.read.option("pathGlobFilter", glob)
         .option("lineSep", "\n")
         .text(path)
         .select(
@@ -91,14 +95,16 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def files_with_quoted_breaks(spark: SparkSession, path: str) -> DataFrame:
+def files_with_quoted_breaks(
+    spark: SparkSession, path: Paths, glob: str = GLOB
+) -> DataFrame:
     """Files in which some record continues on the next line.
 
     If every line has an even number of quotes, every line starts outside
     quotes, so no record does.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return _lines(spark, path).where(quotes % 2 == 1).select("ruta").distinct()
+    return _lines(spark, path, glob).where(quotes % 2 == 1).select("ruta").distinct()
 
 
 def header_report(spark: SparkSession, path: str) -> DataFrame:
@@ -221,70 +227,62 @@ def _stitch_records(lines: DataFrame) -> DataFrame:
     return whole.unionByName(broken)
 
 
-def _read_stitched(spark: SparkSession, files: list[str], columns: list[str]) -> DataFrame:
+def _read_stitched(
+    spark: SparkSession, files: list[str], columns: list[str], strict: bool
+) -> DataFrame:
     """Large files with line breaks inside quotes, read by split; with lineage."""
-    records = _stitch_records(_lines(spark, files))
+    records = _stitch_records(_lines(spark, files, "*"))
     text = F.regexp_replace("texto", "\\A\ufeff|\r\\z", "")
     schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in columns)
-    cells = F.from_csv(text, schema, {"escape": '"', "mode": "FAILFAST", "maxCharsPerColumn": "-1"})
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    cells = F.from_csv(text, schema, {"escape": '"', "mode": mode, "maxCharsPerColumn": "-1"})
     parsed = records.select(
         cells.alias("c"), F.col("archivo").alias(LINEAGE[0]), F.col("registro").alias(LINEAGE[1])
     )
-    names = F.array(*[F.coalesce(F.col("c")[c], F.lit("")) for c in columns])
-    wrong = F.raise_error(
-        F.concat(F.lit("El encabezado de "), F.col(LINEAGE[0]), F.lit(" no coincide."))
-    ).cast("boolean")
-    is_data = F.when(F.col(LINEAGE[1]) > 1, True).when(
-        names == F.array(*[F.lit(c) for c in columns]), False
-    ).otherwise(wrong)
+    is_data = F.col(LINEAGE[1]) > 1
+    if strict:
+        names = F.array(*[F.coalesce(F.col("c")[c], F.lit("")) for c in columns])
+        wrong = F.raise_error(
+            F.concat(F.lit("El encabezado de "), F.col(LINEAGE[0]), F.lit(" no coincide."))
+        ).cast("boolean")
+        is_data = (
+            F.when(is_data, True)
+            .when(names == F.array(*[F.lit(c) for c in columns]), False)
+            .otherwise(wrong)
+        )
     return parsed.where(is_data).select(
         *[F.coalesce(F.col("c")[c], F.lit("")).alias(c) for c in columns], *LINEAGE
     )
 
 
-def read_union(
+def _load(
     spark: SparkSession,
-    path: str,
-    columns: list[str] | None = None,
-    expected_files: int | None = None,
-    multiline: bool | None = None,
-    lineage: bool = True,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    path: Paths,
+    names: list[str],
+    multiline: bool | None,
+    lineage: bool,
+    whole_file_bytes: int,
+    strict: bool,
+    glob: str = GLOB,
 ) -> DataFrame:
-    """All records of all files, unchanged, with their origin.
-
-    Raises when the number of files differs, a file has no header, a header
-    differs from the first one in names or order (letter case included when
-    the session is case sensitive), or a record has another width.
-
-    `multiline`: None finds out by counting quotes per line, one more pass over
-    the bytes that True or False saves when the answer is known. Files without
-    line breaks inside quotes are read by split. Those that have some are read
-    by one task each up to `whole_file_bytes`; larger ones are read by split as
-    lines, which are then put together again.
-    """
-    first = check_files(spark, path, expected_files)
-    names = columns or read_header(spark, first)
+    """Records of files with the given header; see `read_union`."""
     wanted = [*names, *LINEAGE] if lineage else names
 
-    def load(target, whole: bool) -> DataFrame:
-        frame = (
-            _reader(spark, names, whole)
-            .option("enforceSchema", False)
-            .option("mode", "FAILFAST")
-            .csv(target)
-            .na.fill("")
-        )
+    def load(target: Paths, whole: bool) -> DataFrame:
+        reader = _reader(spark, names, whole, glob)
+        if strict:
+            reader = reader.option("enforceSchema", False).option("mode", "FAILFAST")
+        frame = reader.csv(target).na.fill("")
         return number_records(frame) if lineage else frame
 
     if multiline is not None:
         return load(path, multiline)
     # File names and sizes only: the listing that the driver holds for any scan.
     # The path column of a scan is a URI, and a reader wants it decoded.
-    broken = {unquote(r["ruta"]) for r in files_with_quoted_breaks(spark, path).collect()}
+    broken = {unquote(r["ruta"]) for r in files_with_quoted_breaks(spark, path, glob).collect()}
     if not broken:
         return load(path, False)
-    sizes = {unquote(r["path"]): r["length"] for r in _files(spark, path).collect()}
+    sizes = {unquote(r["path"]): r["length"] for r in _files(spark, path, glob).collect()}
     plain = sorted(set(sizes) - broken)
     small = sorted(f for f in broken if sizes[f] <= whole_file_bytes)
     large = sorted(f for f in broken if sizes[f] > whole_file_bytes)
@@ -294,15 +292,47 @@ def read_union(
     if small:
         parts.append(load(small, True))
     if large:
-        parts.append(_read_stitched(spark, large, names).select(*wanted))
+        parts.append(_read_stitched(spark, large, names, strict).select(*wanted))
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_by_name(spark: SparkSession, path: str, lineage: bool = True) -> DataFrame:
+def read_union(
+    spark: SparkSession,
+    path: Paths,
+    columns: list[str] | None = None,
+    expected_files: int | None = None,
+    multiline: bool | None = None,
+    lineage: bool = True,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
+) -> DataFrame:
+    """All records of all files, unchanged, with their origin.
+
+    Raises when the number of files differs, a file has no header, a header
+    differs from the first one in names or order (letter case included when
+    the session is case sensitive), or a record has another width.
+
+    `multiline`: None finds out by counting quotes per line, one more pass over
+    the bytes that True or False saves when the answer is known. Files without
+    line breaks inside quotes are read by split. Those that have some are read
+    by one task each up to `whole_file_bytes`; larger ones are read by split as
+    lines, which are then put together again.
+    """
+    first = check_files(spark, path, expected_files)
+    names = columns or read_header(spark, first)
+    return _load(spark, path, names, multiline, lineage, whole_file_bytes, strict=True)
+
+
+def read_by_name(
+    spark: SparkSession,
+    path: str,
+    multiline: bool | None = None,
+    lineage: bool = True,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
+) -> DataFrame:
     """Union by column name; differing headers are allowed.
 
-    Files with the same header are read together. A column that a file lacks
-    is null in its records.
+    Files with the same header are read together, as in `read_union`. A column
+    that a file lacks is null in its records.
     """
     check_files(spark, path)
     groups = (
@@ -311,12 +341,14 @@ def read_by_name(spark: SparkSession, path: str, lineage: bool = True) -> DataFr
         .agg(F.sort_array(F.collect_list("ruta")).alias("rutas"))
         .collect()
     )
-    out = None
-    for group in sorted(groups, key=lambda g: g["rutas"][0]):
-        part = _reader(spark, group["columnas"], True).csv([unquote(r) for r in group["rutas"]]).na.fill("")
-        part = number_records(part) if lineage else part
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    parts = [
+        _load(
+            spark, [unquote(r) for r in group["rutas"]], group["columnas"], multiline, lineage,
+            whole_file_bytes, strict=False,
+        )
+        for group in sorted(groups, key=lambda g: g["rutas"][0])
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def malformed_records(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -337,15 +369,17 @@ def malformed_records(spark: SparkSession, path: str, columns: list[str]) -> Dat
 
 
 def load_text(
-    spark: SparkSession, path: str, required: list[str] | None = None, multiline: bool = True
+    spark: SparkSession,
+    path: str,
+    required: list[str] | None = None,
+    multiline: bool | None = None,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """All-text loader; blanks stay "", texts such as NA stay literal.
 
     `path` is one file or one folder of part files. `required` columns that
     are absent raise ValueError, a missing path FileNotFoundError.
     """
-    from pyspark.errors import AnalysisException
-
     try:
         columns = read_header(spark, path)
     except AnalysisException as error:
@@ -353,7 +387,9 @@ def load_text(
     absent = [c for c in required or [] if c not in columns]
     if absent:
         raise ValueError("Faltan variables requeridas: " + ", ".join(absent))
-    return _reader(spark, columns, multiline).csv(path).na.fill("")
+    return _load(
+        spark, path, columns, multiline, False, whole_file_bytes, strict=False, glob="*"
+    )
 
 
 def file_profile(df: DataFrame) -> DataFrame:

@@ -144,6 +144,10 @@ def test_loader_checks(spark, tmp_path):
     assert listed(U.load_text(spark, str(tmp_path / "a.csv"), ["X"])) == [("007", "")]
     with pytest.raises(ValueError, match="Z"):
         U.load_text(spark, str(tmp_path / "a.csv"), ["X", "Z"])
+    put(tmp_path, "datos.txt", 'X,Y\n"1\n2",3\n')
+    for size in (0, 10**6):
+        got = U.load_text(spark, str(tmp_path / "datos.txt"), whole_file_bytes=size)
+        assert [(r.X.replace("\r", ""), r.Y) for r in got.collect()] == [("1\n2", "3")]
     with pytest.raises(FileNotFoundError):
         U.load_text(spark, str(tmp_path / "none.csv"))
 
