@@ -44,9 +44,9 @@ def duplicate_rows(
     """
     if drop_blank:
         df = df.where(~all_blank([F.col(c) for c in columns]))
-    limit = {} if heavy_rows is None else {"heavy_rows": heavy_rows}
     found = join_per_key(
-        _keyed(df, columns), duplicate_groups(df, columns), ["h1", "h2"], "copias", **limit
+        _keyed(df, columns), duplicate_groups(df, columns), ["h1", "h2"], "copias",
+        heavy_rows=heavy_rows,
     )
     return found.drop("h1", "h2")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.text import digest, percentage
 from tamiz.operators.profile import unpivot_metrics
+from tamiz.operators.skew import BROADCAST_ROWS
 
 EXAMPLE_SEPARATOR = " ¦ "
 
@@ -23,6 +24,7 @@ def first_examples(
     separator: str = EXAMPLE_SEPARATOR,
     name: str = "etiqueta",
     long_values: bool = False,
+    label_count: int | None = None,
 ) -> DataFrame:
     """First n distinct values per label, in row order, joined to one text.
 
@@ -32,7 +34,8 @@ def first_examples(
 
     `long_values` keeps long texts out of the shuffles: fingerprints travel,
     and the texts of the chosen rows (n per label) are read in a second scan
-    by a join with that small table. It needs `order` to identify a row.
+    by a join with that table. It needs `order` to identify a row. The table is
+    broadcast if `label_count`, the fixed number of labels, makes it small.
     """
     source = df.select(*order, value.alias("_value"), labels.alias("_labels"))
     identity = digest(F.col("_value")) if long_values else [F.col("_value")]
@@ -55,8 +58,9 @@ def first_examples(
         chosen = ranked.select(
             name, "_rank", *[p.alias(c) for p, c in zip(place, order)]
         )
-        # At most n rows per label.
-        ranked = df.select(*order, value.alias("_value")).join(F.broadcast(chosen), order)
+        if label_count is not None and n * label_count <= BROADCAST_ROWS:
+            chosen = F.broadcast(chosen)
+        ranked = df.select(*order, value.alias("_value")).join(chosen, order)
     ordered = F.array_sort(F.collect_list(F.struct("_rank", "_value")))
     return ranked.groupBy(name).agg(
         F.array_join(ordered["_value"], separator).alias("ejemplos")
@@ -101,7 +105,8 @@ def pattern_inventory(
     if with_examples:
         labels = F.array(*[F.when(F.col(names[k]), F.lit(k)) for k in flags])
         examples = first_examples(
-            flagged, labels, F.col("texto"), order, n, name=label, long_values=long_values
+            flagged, labels, F.col("texto"), order, n, name=label,
+            long_values=long_values, label_count=len(flags),
         )
         # One row per pattern on both sides.
         table = table.join(F.broadcast(examples), label, "left").withColumn(

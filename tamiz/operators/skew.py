@@ -21,18 +21,22 @@ def join_per_key(
     keys: list[str],
     weight: str,
     how: str = "inner",
-    heavy_rows: int = HEAVY_ROWS,
+    heavy_rows: int | None = None,
 ) -> DataFrame:
     """rows joined with `per_key` (one row per key, `weight` rows behind it).
 
     Rows of heavy keys never move: those keys are few and are broadcast. All
     other rows meet their key in an ordinary shuffle join, where no key has
-    more than `heavy_rows` rows (or falls behind the HEAVY_KEYS largest).
+    more than `heavy_rows` rows (HEAVY_ROWS unless given), except those that fall
+    behind the HEAVY_KEYS largest. For a left join, `per_key` should list every
+    key (with nulls to attach where there is nothing), or a heavy key that it
+    lacks goes unnoticed.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    least = HEAVY_ROWS if heavy_rows is None else heavy_rows
     heavy = (
-        per_key.where(F.col(weight) >= heavy_rows)
+        per_key.where(F.col(weight) >= least)
         .orderBy(F.desc(weight), *keys)
         .limit(HEAVY_KEYS)
     )

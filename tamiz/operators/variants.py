@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.text import name_key, trimmed
 from tamiz.operators.distinct import distinct_counts_by
+from tamiz.operators.skew import join_per_key
 
 
 def spelling_groups(
@@ -52,6 +53,29 @@ def spelling_groups(
     return groups.select("clave", "escrituras", *distinct, "registros", "formas")
 
 
+def spelling_forms(
+    df: DataFrame, value: Column, keep: Column | None = None, key=name_key
+) -> DataFrame:
+    """The spellings themselves: (clave, nombre, registros, escrituras) rows.
+
+    The same groups as `spelling_groups` without a list per key, for keys that
+    may have any number of forms.
+    """
+    rows = df.select(value.alias("nombre"), (F.lit(True) if keep is None else keep).alias("_keep"))
+    forms = (
+        rows.where("_keep")
+        .groupBy("nombre")
+        .agg(F.count("*").alias("registros"))
+        .withColumn("clave", F.coalesce(key(F.col("nombre")), F.lit("")))
+    )
+    several = (
+        forms.groupBy("clave").agg(F.count("*").alias("escrituras")).where("escrituras > 1")
+    )
+    return join_per_key(forms, several, ["clave"], "escrituras").select(
+        "clave", "nombre", "registros", "escrituras"
+    )
+
+
 def label_by_count(df: DataFrame, column: str, one: str, several: str) -> DataFrame:
     """Adds `categoria` from a count and sorts by it."""
     labelled = df.withColumn("categoria", F.when(F.col(column) == 1, one).otherwise(several))
@@ -61,7 +85,7 @@ def label_by_count(df: DataFrame, column: str, one: str, several: str) -> DataFr
 def preferred_spelling(
     df: DataFrame, value: Column, jurisdiction: Column, keep: Column
 ) -> DataFrame:
-    """Most frequent spelling per (key, jurisdiction) where there are several.
+    """Most frequent spelling per (key, jurisdiction), with the number of forms.
 
     Ties go to the form with more accents kept, then to the last in order.
     """
@@ -77,14 +101,10 @@ def preferred_spelling(
         .withColumn("clave", name_key(F.col("nombre")))
     )
     best = F.max(F.struct("n", F.octet_length("nombre").alias("bytes"), "nombre"))
-    return (
-        counted.groupBy("clave", "jurisdiccion")
-        .agg(
-            best["nombre"].alias("nombre_preferido"),
-            F.count("*").alias("escrituras"),
-            F.sum("n").alias("registros"),
-        )
-        .where("escrituras > 1")
+    return counted.groupBy("clave", "jurisdiccion").agg(
+        best["nombre"].alias("nombre_preferido"),
+        F.count("*").alias("escrituras"),
+        F.sum("n").alias("registros"),
     )
 
 

@@ -282,12 +282,9 @@ def imputar_supervisor(df: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"))
         .groupBy("_distrito")
         .agg(
-            F.min("_nombre").alias("_unico"),
-            F.count("_nombre").alias("_nombres"),
+            F.when(F.count("_nombre") == 1, F.min("_nombre")).alias("_unico"),
             F.sum("n").alias("_filas"),
         )
-        .where("_nombres = 1")
-        .drop("_nombres")
     )
     absent = F.col("_nombre").isNull() & (F.col("_distrito") != "")
     filled = join_per_key(prepared.where(absent), per_district, ["_distrito"], "_filas", "left")

@@ -417,6 +417,7 @@ SELECT doc_id, {unaccented(t('text'))} AS sin_tildes, {comparison_key(t('text'))
 
 # --- variants ---------------------------------------------------------------------------
 
+EST = t("ESTABLECIMIENTO")
 
 def variants_sql(source: str, value: str, keep: str, distinct: dict[str, str]) -> str:
     counts = "".join(f" count(DISTINCT {c}) AS {n}," for n, c in distinct.items())
@@ -429,6 +430,10 @@ ORACLES["entity_variants"] = messy_oracle(f"""
 SELECT *, CASE WHEN municipios = 1 THEN 'posible duplicado' ELSE 'homonimos' END AS categoria FROM (
 {variants_sql("messy", t("ESTABLECIMIENTO"), f"{t('ESTABLECIMIENTO')} <> ''",
               {"codigos": "CODIGO", "municipios": "MUNICIPIO"})})""")
+ORACLES["spelling_forms"] = messy_oracle(f"""
+SELECT * FROM (SELECT clave, nombre, registros, count(*) OVER (PARTITION BY clave) AS escrituras FROM (
+  SELECT {name_key(EST)} AS clave, {EST} AS nombre, count(*) AS registros FROM messy
+  WHERE {EST} <> '' GROUP BY 1, 2)) WHERE escrituras > 1""")
 for column in ("SUPERVISOR", "DIRECTOR"):
     inner = variants_sql(
         "messy", t(column), f"{name_class(column)} = 'nombre aparente'",
@@ -571,7 +576,6 @@ def absent(c: str) -> str:
     return f"{name_class(c)} <> 'nombre aparente'"
 
 
-EST = t("ESTABLECIMIENTO")
 LEDGER_COUNTS = {
     **CATEGORY_COUNTS,
     "telefono_vacio": count_if(f"{TEL} = ''"),

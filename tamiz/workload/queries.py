@@ -329,6 +329,11 @@ QUERIES: dict[str, Query] = {
     "name_variants_director": on_messy(
         lambda d: joined(D.variantes_nombre(d, "DIRECTOR", "DEPARTAMENTAL"), "formas")
     ),
+    "spelling_forms": on_messy(
+        lambda d: variants.spelling_forms(
+            d, trimmed(c("ESTABLECIMIENTO")), trimmed(c("ESTABLECIMIENTO")) != ""
+        )
+    ),
     "spelling_groups_part": on_table("part", part_spellings),
     "fuzzy_pairs": on_table("part", near_part_names),
     # consistency

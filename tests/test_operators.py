@@ -100,6 +100,13 @@ def test_spelling_groups(spark):
     }
 
 
+def test_spelling_forms_with_a_heavy_key(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 2)
+    df = spark.createDataFrame([("-" * i,) for i in range(1, 40)] + [("A.",), ("a",), ("B",)], "n string")
+    got = variants.spelling_forms(df, F.col("n")).collect()
+    assert len(got) == 41 and {r.escrituras for r in got} == {39, 2}
+
+
 def edit_distance(a, b):
     previous = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tamiz.operators import skew
 from tamiz.plans import cleaning as C
 from tamiz.plans import registry as R
 from tamiz.plans import reports, validation
@@ -92,7 +93,9 @@ def test_types_are_checked(messy):
     assert report["V5"] == 1
 
 
-def test_supervisor_only_where_district_has_one_name(spark):
+@pytest.mark.parametrize("heavy_rows", [2, 10**6])
+def test_supervisor_only_where_district_has_one_name(spark, monkeypatch, heavy_rows):
+    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy_rows)
     df = spark.createDataFrame(
         [("d1", "ANA PEREZ"), ("d1", ""), ("d1", "---"), ("d2", "ANA PEREZ"), ("d2", "EVA RUIZ"), ("d2", ""), ("", ""), ("d3", None)],
         "DISTRITO string, SUPERVISOR string",
@@ -104,7 +107,9 @@ def test_supervisor_only_where_district_has_one_name(spark):
     ]
 
 
-def test_merge_and_marks_keep_every_row(messy):
+@pytest.mark.parametrize("heavy_rows", [2, 10**6])
+def test_merge_and_marks_keep_every_row(messy, monkeypatch, heavy_rows):
+    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy_rows)
     n = messy.count()
     merged = C.fusionar_escrituras(messy, "SUPERVISOR", "DEPARTAMENTAL")
     assert merged.count() == n
