@@ -615,7 +615,7 @@ FROM ({FULL_LEDGER_SQL})""")
 # --- ingest -----------------------------------------------------------------------------
 
 ORACLES["record_lineage"] = """
-SELECT o_orderkey, 'orders.parquet' AS archivo_origen, row_number() OVER () + 1 AS fila_origen FROM orders"""
+SELECT o_orderkey, 'orders.parquet' AS archivo_origen, row_number() OVER (ORDER BY o_orderkey) + 1 AS fila_origen FROM orders"""
 ORACLES["file_profile"] = messy_oracle("""
 SELECT archivo_origen AS archivo, count(*) AS registros, CAST(17 AS BIGINT) AS variables
 FROM messy GROUP BY 1""")

@@ -6,6 +6,8 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from tamiz import api
+from tamiz.__main__ import main
 from tamiz.plans import reports
 from tamiz.sources import csv_union as U
 from tamiz.sources.sinks import write_csv
@@ -181,3 +183,17 @@ def test_ingest_summary(spark, tmp_path):
     got = {r.metrica: r.valor for r in U.ingest_summary(df).collect()}
     assert got["Archivos unidos"] == 2 and got["Filas completamente vacías conservadas"] == 2
     assert listed(U.file_profile(df)) == [("a.csv", 2, 2), ("b.csv", 1, 2)]
+
+
+def test_jobs_from_raw_files_to_reports(spark, messy, tmp_path, capsys):
+    raw = tmp_path / "raw"
+    write_csv(messy.drop(*U.LINEAGE).coalesce(2), str(raw))
+    main(["union", str(raw), str(tmp_path / "out"), "--files", "2"])
+    assert f"Registros crudos generados: {messy.count():,}" in capsys.readouterr().out
+    union = api.cargar_datos(spark, str(tmp_path / "out"))
+    assert union.drop(*U.LINEAGE).exceptAll(messy.drop(*U.LINEAGE)).count() == 0
+    assert union.select(*U.LINEAGE).distinct().count() == messy.count()
+    main(["reports", str(tmp_path / "out"), str(tmp_path / "reports")])
+    assert len(capsys.readouterr().out.split()) == 7
+    with pytest.raises(ValueError, match="requeridas"):
+        api.cargar_datos(spark, str(tmp_path / "reports" / "diagnostico_codigo"))
