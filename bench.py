@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS
 (default 8) the local cores. Each query runs once to warm up; the reported
-time is the median of the next BENCH_RUNS (default 3) runs, planning included.
+time is the median of the next BENCH_RUNS (default 2) runs, planning included.
 All rows are produced (noop sink) and none are collected.
 """
 
@@ -37,7 +37,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(cpus=cpus, app="bench")
     times = {}
     for name in HEADLINE:

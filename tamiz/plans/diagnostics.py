@@ -39,6 +39,16 @@ def _lineage(df: DataFrame) -> list[str]:
     return [c for c in R.LINEAGE if c in df.columns]
 
 
+def _ordered(df: DataFrame, orden) -> tuple[DataFrame, list[str]]:
+    """Columns that say which example comes first: those given, else the
+    lineage, else the order in which the rows are read."""
+    if orden:
+        return df, list(orden)
+    if len(_lineage(df)) == len(R.LINEAGE):
+        return df, R.LINEAGE
+    return df.withColumn("_orden", F.monotonically_increasing_id()), ["_orden"]
+
+
 # --- profile -----------------------------------------------------------------
 
 def resumen_variables(df, columnas=tuple(R.GEOGRAPHIC_COLUMNS)) -> DataFrame:
@@ -77,7 +87,7 @@ def resumen_dimension(df, columnas=tuple(R.SOURCE_COLUMNS)) -> DataFrame:
 
 # --- phones --------------------------------------------------------------------
 
-def telefonos_no_estandar(df) -> DataFrame:
+def telefonos_no_estandar(df, extra=()) -> DataFrame:
     numbers = df.where(is_nonstandard_phone(F.col("TELEFONO"))).withColumn(
         "numeros_recuperados", split_numbers(F.col("TELEFONO"))
     )
@@ -88,15 +98,17 @@ def telefonos_no_estandar(df) -> DataFrame:
         "numeros_recuperados",
         F.size("numeros_recuperados").cast("long").alias("cantidad_recuperada"),
         *_lineage(df),
+        *extra,
     )
 
 
-def categorias_telefono(df, orden=tuple(R.LINEAGE), ejemplos: int = 5) -> DataFrame:
+def categorias_telefono(df, orden=None, ejemplos: int = 5) -> DataFrame:
     """Non-standard cells per class, with the first examples of each."""
-    detail = telefonos_no_estandar(df)
+    df, order = _ordered(df, orden)
+    detail = telefonos_no_estandar(df, extra=[c for c in order if c not in R.LINEAGE])
     counts = detail.groupBy("categoria").agg(F.count("*").alias("cantidad"))
     examples = patterns.first_examples(
-        detail, F.array("categoria"), F.col("TELEFONO"), list(orden), ejemplos,
+        detail, F.array("categoria"), F.col("TELEFONO"), order, ejemplos,
         separator=" | ", name="categoria",
     )
     # One row per class on both sides.
@@ -108,31 +120,34 @@ def categorias_telefono(df, orden=tuple(R.LINEAGE), ejemplos: int = 5) -> DataFr
 # --- free text -------------------------------------------------------------------
 
 def inventario_escritura(
-    df, columna, orden=tuple(R.LINEAGE), textos_largos=False
+    df, columna, orden=None, textos_largos=False
 ) -> DataFrame:
+    df, order = _ordered(df, orden)
     return patterns.pattern_inventory(
-        df, _t(columna), R.predicates(R.WRITING_PATTERNS), list(orden),
+        df, _t(columna), R.predicates(R.WRITING_PATTERNS), order,
         long_values=textos_largos,
     )
 
 
-def marcadores_direccion(df, columna="DIRECCION", orden=tuple(R.LINEAGE)) -> DataFrame:
+def marcadores_direccion(df, columna="DIRECCION", orden=None) -> DataFrame:
+    df, order = _ordered(df, orden)
     return patterns.pattern_inventory(
-        df, unaccented(_t(columna)), R.predicates(R.ADDRESS_MARKERS), list(orden),
+        df, unaccented(_t(columna)), R.predicates(R.ADDRESS_MARKERS), order,
         label="marcador", residual=R.NO_MARKER, scope=F.col("texto") != "",
     )
 
 
 def direccion_redundante(
-    df, direccion="DIRECCION", municipio="MUNICIPIO", orden=tuple(R.LINEAGE)
+    df, direccion="DIRECCION", municipio="MUNICIPIO", orden=None
 ) -> DataFrame:
+    df, order = _ordered(df, orden)
     prepared = df.withColumn("_municipio", unaccented(_t(municipio))).withColumn(
         "_direccion", unaccented(_t(direccion))
     )
     equal = F.col("_direccion") == F.col("_municipio")
     inside = consistency.contains_other(F.col("_direccion"), F.col("_municipio"))
     cases = prepared.select(
-        *orden,
+        *order,
         "_direccion",
         F.when((F.col("_direccion") != "") & equal, "direccion == municipio")
         .when((F.col("_direccion") != "") & inside, "direccion contiene municipio")
@@ -140,7 +155,7 @@ def direccion_redundante(
     )
     return _exclusive_cases(
         cases, "_caso", "_direccion", "caso",
-        ["direccion == municipio", "direccion contiene municipio"], list(orden),
+        ["direccion == municipio", "direccion contiene municipio"], order,
     )
 
 
@@ -165,19 +180,21 @@ def _exclusive_cases(df, case, value, label, labels, order) -> DataFrame:
     )
 
 
-def direccion_contaminada(df, columna="DIRECCION", orden=tuple(R.LINEAGE)) -> DataFrame:
+def direccion_contaminada(df, columna="DIRECCION", orden=None) -> DataFrame:
+    df, order = _ordered(df, orden)
     return patterns.pattern_inventory(
-        df, unaccented(_t(columna)), R.predicates(R.CONTAMINATION), list(orden),
+        df, unaccented(_t(columna)), R.predicates(R.CONTAMINATION), order,
         with_percentage=False,
     )
 
 
-def nombres_ausentes(df, columna, orden=tuple(R.LINEAGE)) -> DataFrame:
+def nombres_ausentes(df, columna, orden=None) -> DataFrame:
+    df, order = _ordered(df, orden)
     classed = df.select(
-        *orden, _t(columna).alias("_texto"), name_class(F.col(columna)).alias("_clase")
+        *order, _t(columna).alias("_texto"), name_class(F.col(columna)).alias("_clase")
     )
     return _exclusive_cases(
-        classed, "_clase", "_texto", "categoria", list(NAME_CLASSES), list(orden)
+        classed, "_clase", "_texto", "categoria", list(NAME_CLASSES), order
     )
 
 
@@ -300,13 +317,14 @@ def diagnostico_codigo(df) -> DataFrame:
     )
 
 
-def diagnostico_distrito(df, orden=tuple(R.LINEAGE)) -> DataFrame:
+def diagnostico_distrito(df, orden=None) -> DataFrame:
+    df, order = _ordered(df, orden)
     classed = df.select(
-        *orden, _t("DISTRITO").alias("_valor"), district_class(F.col("DISTRITO")).alias("categoria")
+        *order, _t("DISTRITO").alias("_valor"), district_class(F.col("DISTRITO")).alias("categoria")
     )
     counts = frequency.class_counts(classed, F.col("categoria"), "categoria")
     examples = patterns.first_examples(
-        classed, F.array("categoria"), F.col("_valor"), list(orden), 4,
+        classed, F.array("categoria"), F.col("_valor"), order, 4,
         separator=" | ", name="categoria",
     )
     # One row per format class on both sides.

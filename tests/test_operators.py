@@ -175,3 +175,13 @@ def test_minority_category_ties_and_blanks(spark):
     row = frequency.category_inventory(df, ["v"]).first()
     assert (row.categorias_distintas, row.vacios, row.categoria_minoritaria, row.frecuencia_minoritaria) == (4, 2, "a", 1)
     assert row.porcentaje_minoritaria == 16.67
+
+
+def test_examples_without_lineage_follow_reading_order(messy):
+    bare = messy.orderBy("fila_origen", "archivo_origen").drop(*R.LINEAGE).coalesce(1)
+    table = {r.categoria: r for r in D.nombres_ausentes(bare, "DIRECTOR").collect()}
+    assert table["solo simbolos"].ejemplos.split(" ¦ ")[0] in ("---", "000000")
+    for build in (D.categorias_telefono, D.diagnostico_distrito, D.marcadores_direccion,
+                  D.direccion_redundante, D.direccion_contaminada):
+        assert "_orden" not in build(bare).columns and build(bare).count() > 0
+    assert D.inventario_escritura(bare, "DIRECTOR").count() == len(R.WRITING_PATTERNS)
