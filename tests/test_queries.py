@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tamiz.workload.oracles import ORACLES
+from tamiz.workload.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -33,14 +35,16 @@ def table(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 3
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, small_dir, oracle, name):
     got = contract.queries()[name](spark, small_dir)
     want = oracle.execute(contract.oracle_sql()[name])
