@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.labelled import training_rows
 
-LENGTH = 24
-STRIDE = 12
+LENGTH = 16
+STRIDE = 8
 HIDDEN = 8
 WORD_DIM = 8
 CHAR_DIM = 8
@@ -28,9 +28,12 @@ CHAR_BUCKETS = 1 << 13
 VOCABULARY = 20_000
 #: Documents of each label learnt from, and windows taken from each of them.
 SAMPLE = 1200
-WINDOWS = 48
+WINDOWS = 64
+#: Windows of a clean document that a round adds.
+HARD = 4
 WINDOW_CHARS = 2_000
-EPOCHS = 14
+EPOCHS = 2
+DECAY = 0.002
 STRIP = ".,;:!?\"'()[]{}*-_"
 KNOWN_WORDS = 300_000
 f32 = np.float32
@@ -206,7 +209,7 @@ class Network:
         g = np.zeros((len(touched), grads.shape[1]), f32)
         np.add.at(g, inverse, grads)
         seen[name][touched] += g**2
-        self.p[name][touched] -= 0.1 * g / np.sqrt(seen[name][touched])
+        self.p[name][touched] -= 0.1 * g / np.sqrt(seen[name][touched]) + DECAY * self.p[name][touched]
 
     def scores(self, windows: list[list[str]]) -> np.ndarray:
         scorer = Scorer(self)
@@ -282,9 +285,9 @@ def fit(
     """Learns from at most ``bound`` documents of each label and ``WINDOWS`` windows of each of them.
 
     A label names a text, not a window. The window of a toxic text is first the
-    one with the word that most prefers toxic texts, and after half of the
-    epochs the one that the network finds worst. Without labels of both kinds
-    all scores are 0.5 or the one label.
+    one with the word that most prefers toxic texts; in later rounds it is the
+    one that the network finds worst, and the clean windows that it finds worst
+    are added. Without labels of both kinds all scores are 0.5 or the one label.
     """
 
     @F.arrow_udf("array<string>")
@@ -294,10 +297,15 @@ def fit(
     rows = training_rows(docs, labels, "toxic", bound, doc_id=doc_id, columns=(text,))
     sample = rows.select("doc_id", "label", chosen(F.col(f"`{text}`")).alias("windows")).collect()
     sample = sorted(sample, key=lambda r: r["doc_id"])
-    groups = {k: [[w.split(" ") if w else [] for w in r["windows"]] for r in sample if r["label"] == k] for k in (0, 1)}
+    return learnt([[w.split(" ") if w else [] for w in r["windows"]] for r in sample], [r["label"] for r in sample])
+
+
+def learnt(texts: list[list[list[str]]], labels: list[int]) -> Network:
+    """A network for texts given as lists of windows."""
+    groups = {k: [text for text, label in zip(texts, labels) if label == k and text] for k in (0, 1)}
     if not groups[0] or not groups[1]:
         network = Network([])
-        network.constant = 0.5 if not sample else float(bool(groups[1]))
+        network.constant = float(bool(groups[1])) if groups[0] or groups[1] else 0.5
         return network
     in_docs = {k: Counter(w for doc in group for w in {x for window in doc for x in window}) for k, group in groups.items()}
 
@@ -306,18 +314,21 @@ def fit(
         return float(np.log(toxic / ((in_docs[0][word] + 0.1) / (len(groups[0]) + 1)))) * min(1.0, in_docs[1][word] / 5)
 
     both = in_docs[0] + in_docs[1]
-    vocabulary = [w for w, n in sorted(both.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n > 1]
+    vocabulary = [w for w, n in sorted(both.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n > 2]
     network = Network(vocabulary)
-    clean = [w for doc in groups[0] for w in doc[:4]]
-    worst = [max(doc, key=lambda w: max(map(preference, w), default=-9.0)) for doc in groups[1] if doc]
-    for _ in range(2):
-        windows = clean + worst
-        labels_of = np.concatenate((np.zeros(len(clean)), np.ones(len(worst)))).astype(f32)
-        network.fit(windows, labels_of, EPOCHS // 2)
-        worst = []
-        for doc in groups[1]:
-            if doc:
-                worst.append(doc[int(network.scores(doc).argmax())])
+    clean = [w for doc in groups[0] for w in doc[:HARD]]
+    worst = [max(doc, key=lambda w: max(map(preference, w), default=-9.0)) for doc in groups[1]]
+    for last in (False, False, True):
+        times = max(1, round(len(clean) / len(worst) / 4))
+        labels_of = np.concatenate((np.zeros(len(clean)), np.ones(len(worst) * times))).astype(f32)
+        network.fit(clean + worst * times, labels_of, EPOCHS)
+        if not last:
+            worst = [doc[int(network.scores(doc).argmax())] for doc in groups[1]]
+            hard = []
+            for doc in groups[0]:
+                scores = network.scores(doc)
+                hard += [doc[i] for i in np.argsort(-scores)[:HARD] if scores[i] > 0.02]
+            clean += hard
     return network
 
 
