@@ -43,7 +43,9 @@ CONTEXT = SPAN + BEFORE
 HOT = 100_000
 BUCKET_BYTES = 16 << 20
 LEAST_BUCKETS = 32
-CHUNK = 1 << 21
+CHUNK = 1 << 19
+#: Hash buckets for each bucket of documents; they hold expanded surroundings, so they are smaller.
+FINER = 4
 U64 = np.uint64
 
 
@@ -334,6 +336,7 @@ def scan_suffixes(table: pa.Table) -> pa.Table:
         [np.frombuffer(x, np.uint8, n * CONTEXT, 8 * n * len(FIELDS)) for (_, x), n in zip(parts, counts)]
     ).reshape(-1, CONTEXT)
     owner = np.repeat([p for p, _ in parts], counts)
+    del parts
     age = np.empty(len(ids), np.int64)
     age[np.lexsort((within, rows, ids))] = np.arange(len(ids))
 
@@ -385,7 +388,9 @@ def cut(docs: pa.Table, spans: pa.Table) -> pa.Table:
         both = np.frombuffer(unpacked(blob), np.int64).reshape(2, -1)
         np.add.at(steps, both[0], 1)
         np.add.at(steps, both[1], -1)
-    gone = np.cumsum(steps[:-1]) > 0
+    np.cumsum(steps, out=steps)
+    gone = steps[:-1] > 0
+    del steps
     edges = np.concatenate(([False], gone, [False]))
     at = np.flatnonzero(edges[1:] != edges[:-1])
     begins, ends = at[::2], at[1::2]
@@ -431,11 +436,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         record.alias("record"),
     )
     rows = rows.withColumn("p", F.pmod(F.xxhash64("row"), F.lit(buckets))).repartition(buckets, "p")
-    hashes = rows.groupBy("p").applyInArrow(lambda t: send_hashes(t, buckets), HASHES)
+    hashes = rows.groupBy("p").applyInArrow(lambda t: send_hashes(t, FINER * buckets), HASHES)
     repeated = hashes.groupBy("b").applyInArrow(lambda t: find_repeated(t, hot), REPEATED)
     repeated = repeated.repartition(buckets, "p")
     entries = rows.groupBy("p").cogroup(repeated.groupBy("p")).applyInArrow(
-        lambda d, r: send_contexts(d, r, buckets), ENTRIES
+        lambda d, r: send_contexts(d, r, FINER * buckets), ENTRIES
     )
     spans = entries.groupBy("b").applyInArrow(scan_suffixes, SPANS).repartition(buckets, "p")
     kind = rows.schema["record"].dataType.simpleString()
