@@ -41,11 +41,11 @@ WINDOW = SPAN - GRAM + 1
 BEFORE = SPAN - GRAM
 CONTEXT = SPAN + BEFORE
 HOT = 100_000
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
 CHUNK = 1 << 19
 #: Hash buckets for each bucket of documents; they hold expanded surroundings, so they are smaller.
-FINER = 4
+FINER = 2
 U64 = np.uint64
 
 
