@@ -315,6 +315,21 @@ def maximal_repeats(rights: list[bytes], lefts: list[bytes], common: list[int]):
             begin = cut + 1
 
 
+def longest_spans(run: np.ndarray, common: list[int], ages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(member, bytes before, bytes ahead) of what the maximal repeats of a run remove, without what others cover."""
+    rights = [r.tobytes() for r in run[:, :SPAN]]
+    lefts = [r.tobytes() for r in run[:, SPAN:]]
+    best = np.zeros((len(run), BEFORE + 1), np.uint8)  # bytes ahead, by bytes before
+    for back, ahead, group in maximal_repeats(rights, lefts, common):
+        group = np.array(group)
+        later = np.delete(group, ages[group].argmin())
+        best[later, back] = np.maximum(best[later, back], ahead)
+    beyond = np.maximum.accumulate(best[:, :0:-1], axis=1)[:, ::-1]  # the most with more bytes before
+    best[:, :-1][best[:, :-1] <= beyond] = 0
+    member, back = np.nonzero(best)
+    return member, back, best[member, back].astype(np.int64)
+
+
 SPANS = "p long, blob binary"
 
 
@@ -357,17 +372,9 @@ def scan_suffixes(table: pa.Table) -> pa.Table:
     pairs = pairs[common[pairs] + before[pairs] >= SPAN]
     later = np.where(age[entry[pairs]] > age[entry[pairs + 1]], pairs, pairs + 1)
     found.append((entry[later], before[pairs], common[pairs]))
-    listed: list[tuple[int, int, int]] = []
     for a, b in zip(begins[ends - begins > 1].tolist(), ends[ends - begins > 1].tolist()):
-        run = contexts[a : b + 1]
-        rights = [r.tobytes() for r in run[:, :SPAN]]
-        lefts = [r.tobytes() for r in run[:, SPAN:]]
-        own, ages = entry[a : b + 1].tolist(), age[entry[a : b + 1]].tolist()
-        for back, ahead, group in maximal_repeats(rights, lefts, common[a:b].tolist()):
-            oldest = min(group, key=ages.__getitem__)
-            listed += [(own[m], back, ahead) for m in group if m != oldest]
-    if listed:
-        found.append(tuple(np.array(listed, np.int64).T))
+        member, back, ahead = longest_spans(contexts[a : b + 1], common[a:b].tolist(), age[entry[a : b + 1]])
+        found.append((entry[a : b + 1][member], back, ahead))
     which, back, ahead = (np.concatenate(x) for x in zip(*found))
     for p, g in dealt(owner[which], 0):
         at = place[which[g]]
