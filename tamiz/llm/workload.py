@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 
 from tamiz.llm import (
     decontamination,
+    license_scan,
     packing,
     quality_classifier,
     quality_rules,
     repeats,
     sharding,
     simhash,
+    token_counts,
     toxicity,
 )
-from tamiz.llm.common import frozen, held_out, load
+from tamiz.llm.common import frozen, held_out, load, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +44,16 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality_classifier.with_score(docs, model, ["n_chars"]), 0.7)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(load(spark, sf_dir, "documents"), license_scan.known_texts(spark))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.with_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"), "n_tokens")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = quality_rules.with_statistics(load(spark, sf_dir, "documents")).select("doc_id", "statistics")
     counted = frozen(counted, "quality-statistics")
@@ -101,6 +113,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_license_scan": op3_license_scan,
+    "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
     "op7_suffix_array": op7_suffix_array,
@@ -188,4 +202,33 @@ WITH items AS ({_shingles_sql("benchmark", "item_id")}
 SELECT doc_id, item_id, shared, shingles FROM found JOIN sizes USING (item_id) WHERE 10 * shared >= 8 * shingles
 """
 
-LLM_ORACLES: dict[str, str] = {"op5_quality_rules": RULES_SQL, "op9_decontamination": CONTAINED_SQL}
+def _quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    plain = f"""regexp_replace(array_to_string(list_filter(string_split(lower(coalesce({text}, '')), chr(10)),
+      lambda x: NOT regexp_matches(x, {_quoted(license_scan.COPYRIGHT_LINE)})), ' '), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"""
+    spaced = f"' ' || replace(trim({plain}), ' ', '  ') || ' '"
+    for spelling, common in license_scan.SPELLINGS.items():
+        one, other = (x.replace(" ", "  ") for x in (spelling, common))
+        spaced = f"replace({spaced}, ' {one} ', ' {other} ')"
+    return f"trim(replace({spaced}, '  ', ' '))"
+
+
+LICENSE_SQL = f"""
+WITH known AS (
+  SELECT DISTINCT license, {_canonical_sql("text")} AS c
+  FROM (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in license_scan.KNOWN)}) AS k(license, text)
+), units AS (
+  SELECT doc_id, 0 AS line, text AS unit FROM documents
+  UNION ALL
+  SELECT doc_id, i AS line, lines[i] AS unit FROM (
+    SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+), canon AS (SELECT doc_id, line, {_canonical_sql("unit")} AS c FROM units)
+SELECT doc_id, CASE WHEN line = 0 THEN 'text' ELSE 'line' END AS scope, line, license
+FROM canon JOIN known USING (c) WHERE c <> ''
+"""
+
+LLM_ORACLES: dict[str, str] = {"op3_license_scan": LICENSE_SQL, "op5_quality_rules": RULES_SQL, "op9_decontamination": CONTAINED_SQL}
