@@ -251,13 +251,18 @@ def registro_transformaciones(df: DataFrame) -> DataFrame:
 def corregir_municipio(df: DataFrame, catalogo: DataFrame) -> DataFrame:
     """Official municipality spelling by department and municipality together.
 
-    `catalogo`: departamento, municipio (as text) and oficial, one row per
-    pair. A name alone never matches, so homonyms stay apart.
+    `catalogo`: departamento, municipio (as text) and oficial. Pairs that fold
+    alike are one; if their official spellings differ, the pair matches
+    nothing. A name alone never matches, so homonyms stay apart.
     """
-    lookup = catalogo.select(
-        comparison_key(trimmed(F.col("departamento"))).alias("_dep"),
-        comparison_key(trimmed(F.col("municipio"))).alias("_mun"),
-        F.col("oficial").alias("_oficial"),
+    lookup = (
+        catalogo.groupBy(
+            comparison_key(trimmed(F.col("departamento"))).alias("_dep"),
+            comparison_key(trimmed(F.col("municipio"))).alias("_mun"),
+        )
+        .agg(F.min("oficial").alias("_oficial"), F.max("oficial").alias("_otra"))
+        .where("_oficial = _otra")
+        .drop("_otra")
     )
     keyed = df.withColumn("_dep", comparison_key(trimmed(F.col("DEPARTAMENTO")))).withColumn(
         "_mun", comparison_key(trimmed(F.col("MUNICIPIO")))

@@ -137,3 +137,20 @@ def test_ledger_rows_and_before_after(messy, cleaned):
     assert list(sorted(report)) == sorted(reports.METRICS)
     assert report["Registros"] == (messy.count(), messy.count())
     assert report["Variables con formato inconsistente"][0] > report["Variables con formato inconsistente"][1] - 1
+
+
+def test_catalog_twins_do_not_multiply_rows(spark):
+    catalog = spark.createDataFrame(
+        [
+            ("ALTA VERAPAZ", "COBAN", "COBÁN"),
+            ("ALTA VERAPAZ", "COBÁN", "COBÁN"),
+            ("PETEN", "FLORES", "FLORES"),
+            ("PETÉN", "FLORES", "Flores"),
+        ],
+        "departamento string, municipio string, oficial string",
+    )
+    rows = spark.createDataFrame(
+        [("Alta Verapaz", "coban"), ("PETEN", "FLORES")], "DEPARTAMENTO string, MUNICIPIO string"
+    )
+    got = sorted(tuple(r) for r in C.corregir_municipio(rows, catalog).collect())
+    assert got == [("Alta Verapaz", "COBÁN", True), ("PETEN", "FLORES", False)]
