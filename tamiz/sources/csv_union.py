@@ -19,8 +19,6 @@ from tamiz.functions.text import all_blank
 from tamiz.operators.profile import metric_rows
 
 GLOB = "*.csv"
-# Files up to this size may be read by a single task.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 LINEAGE = ("archivo_origen", "fila_origen")
 # The table of splits is broadcast up to this many rows (some 100 bytes each).
 BROADCAST_SPLITS = 1_000_000
@@ -95,16 +93,16 @@ def _lines(spark: SparkSession, path: Paths, glob: str = GLOB) -> DataFrame:
     )
 
 
-def files_with_quoted_breaks(
-    spark: SparkSession, path: Paths, glob: str = GLOB
-) -> DataFrame:
-    """Files in which some record continues on the next line.
+def files_beyond_lines(spark: SparkSession, path: Paths, glob: str = GLOB) -> DataFrame:
+    """Files that reading line by line could get wrong.
 
     If every line has an even number of quotes, every line starts outside
-    quotes, so no record does.
+    quotes, so no record continues on the next line. A line of blanks is a
+    record, and the reader of lines would skip it.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return _lines(spark, path, glob).where(quotes % 2 == 1).select("ruta").distinct()
+    skipped = ~F.col("value").isin("", "\r") & F.col("value").rlike("\\A[\\x00-\\x20]+\\z")
+    return _lines(spark, path, glob).where((quotes % 2 == 1) | skipped).select("ruta").distinct()
 
 
 def header_report(spark: SparkSession, path: str) -> DataFrame:
@@ -171,129 +169,32 @@ def number_records(df: DataFrame) -> DataFrame:
     )
 
 
-def _stitch_records(lines: DataFrame) -> DataFrame:
-    """(archivo, registro, texto) from lines, joining lines inside quotes.
-
-    A line starts inside quotes if an odd number of quotes comes before it.
-    The count runs within each split, and the totals of the splits before it
-    are added from a small table, so no file is ever read by one task. Blank
-    lines between records are skipped; the header is record 1.
-    """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    in_split = Window.partitionBy("ruta", "bloque").orderBy("posicion")
-    empty = F.col("value").isin("", "\r").cast("int")
-    run = lines.select("*", (quotes % 2).alias("impar")).withColumn(
-        "impares", F.sum("impar").over(in_split)
-    )
-    # Records that start in a split, if it begins outside or inside quotes.
-    inner = (F.col("impares") - F.col("impar")) % 2
-    run = run.withColumns(
-        {
-            "fuera": F.sum(((inner == 0) & (empty == 0)).cast("long")).over(in_split),
-            "dentro": F.sum(((inner == 1) & (empty == 0)).cast("long")).over(in_split),
-        }
-    )
-    splits = run.groupBy("ruta", "bloque").agg(
-        F.max("impares").alias("i"), F.max("fuera").alias("f"), F.max("dentro").alias("d")
-    )
-    before = Window.partitionBy("ruta").orderBy("bloque").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    splits = splits.withColumn("previas", F.coalesce(F.sum("i").over(before), F.lit(0)) % 2)
-    starts = F.when(F.col("previas") == 0, F.col("f")).otherwise(F.col("d"))
-    splits = splits.select(
-        "ruta", "bloque", "previas", F.coalesce(F.sum(starts).over(before), F.lit(0)).alias("anteriores")
-    )
-    placed = run.join(splits, ["ruta", "bloque"]).select(
-        "archivo", "ruta", "bloque", "posicion", "value",
-        ((F.col("previas") + F.col("impares") - F.col("impar")) % 2).alias("abre"),
-        ((F.col("previas") + F.col("impares")) % 2).alias("cierra"),
-        (
-            F.col("anteriores")
-            + F.when(F.col("previas") == 0, F.col("fuera")).otherwise(F.col("dentro"))
-        ).alias("registro"),
-    )
-    alone = (F.col("abre") == 0) & (F.col("cierra") == 0)
-    whole = placed.where(alone & ~F.col("value").isin("", "\r")).select(
-        "archivo", "registro", F.col("value").alias("texto")
-    )
-    pieces = F.array_sort(F.collect_list(F.struct("bloque", "posicion", "value")))
-    broken = (
-        placed.where(~alone)
-        .groupBy("archivo", "ruta", "registro")
-        .agg(F.array_join(pieces["value"], "\n").alias("texto"))
-        .drop("ruta")
-    )
-    return whole.unionByName(broken)
-
-
-def _read_stitched(
-    spark: SparkSession, files: list[str], columns: list[str], strict: bool
-) -> DataFrame:
-    """Large files with line breaks inside quotes, read by split; with lineage."""
-    records = _stitch_records(_lines(spark, files, "*"))
-    text = F.regexp_replace("texto", "\\A\ufeff|\r\\z", "")
-    schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in columns)
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    cells = F.from_csv(text, schema, {"escape": '"', "mode": mode, "maxCharsPerColumn": "-1"})
-    parsed = records.select(
-        cells.alias("c"), F.col("archivo").alias(LINEAGE[0]), F.col("registro").alias(LINEAGE[1])
-    )
-    is_data = F.col(LINEAGE[1]) > 1
-    if strict:
-        names = F.array(*[F.coalesce(F.col("c")[c], F.lit("")) for c in columns])
-        wrong = F.raise_error(
-            F.concat(F.lit("El encabezado de "), F.col(LINEAGE[0]), F.lit(" no coincide."))
-        ).cast("boolean")
-        is_data = (
-            F.when(is_data, True)
-            .when(names == F.array(*[F.lit(c) for c in columns]), False)
-            .otherwise(wrong)
-        )
-    return parsed.where(is_data).select(
-        *[F.coalesce(F.col("c")[c], F.lit("")).alias(c) for c in columns], *LINEAGE
-    )
-
-
 def _load(
     spark: SparkSession,
     path: Paths,
     names: list[str],
     multiline: bool | None,
     lineage: bool,
-    whole_file_bytes: int,
-    strict: bool,
     glob: str = GLOB,
 ) -> DataFrame:
     """Records of files with the given header; see `read_union`."""
-    wanted = [*names, *LINEAGE] if lineage else names
 
     def load(target: Paths, whole: bool) -> DataFrame:
         reader = _reader(spark, names, whole, glob)
-        if strict:
-            reader = reader.option("enforceSchema", False).option("mode", "FAILFAST")
+        reader = reader.option("enforceSchema", False).option("mode", "FAILFAST")
         frame = reader.csv(target).na.fill("")
         return number_records(frame) if lineage else frame
 
     if multiline is not None:
         return load(path, multiline)
-    # File names and sizes only: the listing that the driver holds for any scan.
+    # File names only: the listing that the driver holds for any scan.
     # The path column of a scan is a URI, and a reader wants it decoded.
-    broken = {unquote(r["ruta"]) for r in files_with_quoted_breaks(spark, path, glob).collect()}
-    if not broken:
+    whole = {unquote(r["ruta"]) for r in files_beyond_lines(spark, path, glob).collect()}
+    if not whole:
         return load(path, False)
-    sizes = {unquote(r["path"]): r["length"] for r in _files(spark, path, glob).collect()}
-    plain = sorted(set(sizes) - broken)
-    small = sorted(f for f in broken if sizes[f] <= whole_file_bytes)
-    large = sorted(f for f in broken if sizes[f] > whole_file_bytes)
-    parts = []
-    if plain:
-        parts.append(load(plain, False))
-    if small:
-        parts.append(load(small, True))
-    if large:
-        parts.append(_read_stitched(spark, large, names, strict).select(*wanted))
-    return reduce(DataFrame.unionByName, parts)
+    plain = {unquote(r["path"]) for r in _files(spark, path, glob).collect()} - whole
+    parts = [load(sorted(plain), False)] if plain else []
+    return reduce(DataFrame.unionByName, [*parts, load(sorted(whole), True)])
 
 
 def read_union(
@@ -303,7 +204,6 @@ def read_union(
     expected_files: int | None = None,
     multiline: bool | None = None,
     lineage: bool = True,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """All records of all files, unchanged, with their origin.
 
@@ -311,15 +211,15 @@ def read_union(
     differs from the first one in names or order (letter case included when
     the session is case sensitive), or a record has another width.
 
-    `multiline`: None finds out by counting quotes per line, one more pass over
-    the bytes that True or False saves when the answer is known. Files without
-    line breaks inside quotes are read by split. Those that have some are read
-    by one task each up to `whole_file_bytes`; larger ones are read by split as
-    lines, which are then put together again.
+    `multiline`: None finds out by looking at every line, one more pass over
+    the bytes that True or False saves when the answer is known. Files whose
+    every line is a record are read by split. Any other file is read by one
+    task, whatever its size, since where a quote opens depends on all before
+    it. Both ways give the same records.
     """
     first = check_files(spark, path, expected_files)
     names = columns or read_header(spark, first)
-    return _load(spark, path, names, multiline, lineage, whole_file_bytes, strict=True)
+    return _load(spark, path, names, multiline, lineage)
 
 
 def read_by_name(
@@ -327,12 +227,12 @@ def read_by_name(
     path: str,
     multiline: bool | None = None,
     lineage: bool = True,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """Union by column name; differing headers are allowed.
 
     Files with the same header are read together, as in `read_union`. A column
-    that a file lacks is null in its records.
+    that a file lacks is null in its records; a record that is wider or
+    narrower than its header raises.
     """
     check_files(spark, path)
     groups = (
@@ -342,10 +242,7 @@ def read_by_name(
         .collect()
     )
     parts = [
-        _load(
-            spark, [unquote(r) for r in group["rutas"]], group["columnas"], multiline, lineage,
-            whole_file_bytes, strict=False,
-        )
+        _load(spark, [unquote(r) for r in group["rutas"]], group["columnas"], multiline, lineage)
         for group in sorted(groups, key=lambda g: g["rutas"][0])
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -373,12 +270,12 @@ def load_text(
     path: str,
     required: list[str] | None = None,
     multiline: bool | None = None,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """All-text loader; blanks stay "", texts such as NA stay literal.
 
-    `path` is one file or one folder of part files. `required` columns that
-    are absent raise ValueError, a missing path FileNotFoundError.
+    `path` is one file or one folder of part files with the same header.
+    `required` columns that are absent raise ValueError, a missing path
+    FileNotFoundError; a record of another width raises when it is read.
     """
     try:
         columns = read_header(spark, path)
@@ -387,9 +284,7 @@ def load_text(
     absent = [c for c in required or [] if c not in columns]
     if absent:
         raise ValueError("Faltan variables requeridas: " + ", ".join(absent))
-    return _load(
-        spark, path, columns, multiline, False, whole_file_bytes, strict=False, glob="*"
-    )
+    return _load(spark, path, columns, multiline, False, glob="*")
 
 
 def file_profile(df: DataFrame) -> DataFrame:

@@ -37,49 +37,79 @@ def test_good_files_with_blank_lines_commas_and_quoted_breaks(spark, tmp_path):
     assert dict(df.dtypes)["fila_origen"] == "bigint"
 
 
-@pytest.mark.parametrize("split_bytes", ["64", "300", "1000000"])
-def test_large_files_with_quoted_breaks_are_read_by_split(spark, tmp_path, split_bytes):
-    def record(i):
-        if i % 7 == 0:
-            return f'"{i}","uno\n\ndos, ""x"" {i}\n"\n'
-        return f'{i},""\n\n' if i % 5 == 0 else f'{i},"a, ""{i}"""\n'
-
-    put(tmp_path, "a.csv", "K,V\r\n" + "".join(record(i) for i in range(200)))
-    put(tmp_path, "b.csv", "K,V\r\n" + "".join(record(i) for i in range(3)), bom=False)
-    put(tmp_path, "c.csv", "K,V\n1,2\n")
-    whole = listed(U.read_union(spark, str(tmp_path)))
+def by_csv_module(folder):
+    """Cells, file and record number as Python reads them; a line of no characters is no record."""
+    rows = []
+    for path in folder.glob("*.csv"):
+        with path.open(encoding="utf-8-sig", newline="") as file:
+            records = [r for r in csv.reader(file) if r]
+        rows += [(*r, path.name, n) for n, r in enumerate(records[1:], 2)]
+    return sorted(tuple(x.replace("\r\n", "\n") if isinstance(x, str) else x for x in r) for r in rows)
+
+
+def broken_record(i):
+    if i % 7 == 0:
+        return f'"{i}","uno\n\ndos, ""x"" {i}\n"\n'
+    return f'{i},""\n\n' if i % 5 == 0 else f'{i},"a, ""{i}"""\n'
+
+
+@pytest.mark.parametrize("split_bytes", ["8", "300", "1000000"])
+@pytest.mark.parametrize(
+    "text",
+    [
+        "K,V\n" + "".join(broken_record(i) for i in range(200)),
+        'X,Y\n1,5" pipe\n2,b\n3,c\n4,6" d\n5,e\n',
+        'X,Y\n1,"5"" pipe"\n\n2,b\n , \n',
+        "X\n1\n   \n2\n\n \t\n",
+    ],
+)
+def test_records_equal_the_csv_module(spark, tmp_path, text, split_bytes):
+    put(tmp_path, "a.csv", text)
+    put(tmp_path, "b.csv", text.split("\n")[0] + "\n" + ",".join("12"[: text.split("\n")[0].count(",") + 1]) + "\n", bom=False)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
     try:
-        by_split = listed(U.read_union(spark, str(tmp_path), whole_file_bytes=0))
+        want = by_csv_module(tmp_path)
+        for read in (U.read_union, U.read_by_name):
+            got = [tuple(x.replace("\r\n", "\n") if isinstance(x, str) else x for x in r) for r in listed(read(spark, str(tmp_path)))]
+            assert sorted(got) == want
+        assert sorted(r[:-2] for r in want) == sorted(
+            tuple(x.replace("\r\n", "\n") for x in r) for r in listed(U.load_text(spark, str(tmp_path)))
+        )
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert by_split == whole and len(whole) == 204
-    assert [n for k, _, f, n in sorted(whole, key=lambda r: (r[2], int(r[0]))) if f == "a.csv"] == list(range(2, 202))
 
 
-@pytest.mark.parametrize("second", ['Y,X\n"1\n",2\n', 'X,Y\n"1\n"\n', 'X,Y\n"1\n",2,3\n'])
-def test_large_files_are_checked_too(spark, tmp_path, second):
+@pytest.mark.parametrize("second", ['Y,X\n"1\n",2\n', 'X,Y\n"1\n"\n', 'X,Y\n"1\n",2,3\n', "X,Y\n1,2\n   \n"])
+def test_files_read_whole_are_checked_too(spark, tmp_path, second):
     put(tmp_path, "a.csv", "X,Y\n1,2\n")
     put(tmp_path, "b.csv", second)
-    with pytest.raises(Exception, match="encabezado|Malformed|MALFORMED"):
-        U.read_union(spark, str(tmp_path), whole_file_bytes=0).select("X").collect()
+    with pytest.raises(Exception, match="b.csv|CSV|Malformed|MALFORMED"):
+        U.read_union(spark, str(tmp_path)).select("X").collect()
+
+
+@pytest.mark.parametrize("text", ["X,Y\n1,2,3\n", "X,Y\n1\n"])
+def test_no_loader_cuts_or_pads_records(spark, tmp_path, text):
+    put(tmp_path, "a.csv", text)
+    for read in (U.load_text, U.read_by_name):
+        with pytest.raises(Exception, match="a.csv|CSV|Malformed|MALFORMED"):
+            read(spark, str(tmp_path)).collect()
 
 
-@pytest.mark.parametrize("size", [0, 10**6])
-def test_file_names_with_spaces_and_accents(spark, tmp_path, size):
+def test_file_names_with_spaces_and_accents(spark, tmp_path):
     put(tmp_path, "a ñ%20.csv", 'X,Y\n"1\n",2\n')
     put(tmp_path, "b c.csv", "X,Y\n3,4\n")
-    got = listed(U.read_union(spark, str(tmp_path), whole_file_bytes=size))
+    got = listed(U.read_union(spark, str(tmp_path)))
     assert [r[2:] for r in got] == [("a ñ%20.csv", 2), ("b c.csv", 2)]
     assert U.read_by_name(spark, str(tmp_path)).count() == 2
 
 
-def test_files_with_quoted_breaks_are_found(spark, tmp_path):
-    put(tmp_path, "a.csv", 'X,Y\n"1 ""a""",2\n')
+def test_files_that_lines_get_wrong_are_found(spark, tmp_path):
+    put(tmp_path, "a.csv", 'X,Y\n"1 ""a""",2\n\n')
     put(tmp_path, "b.csv", 'X,Y\n"1\n",2\n')
-    found = [r.ruta for r in U.files_with_quoted_breaks(spark, str(tmp_path)).collect()]
-    assert len(found) == 1 and found[0].endswith("b.csv")
+    put(tmp_path, "c.csv", "X,Y\n1,2\n  \n")
+    found = [r.ruta for r in U.files_beyond_lines(spark, str(tmp_path)).collect()]
+    assert sorted(x[-5:] for x in found) == ["b.csv", "c.csv"]
 
 
 def test_header_only_file_gives_no_rows(spark, tmp_path):
@@ -147,9 +177,8 @@ def test_loader_checks(spark, tmp_path):
     with pytest.raises(ValueError, match="Z"):
         U.load_text(spark, str(tmp_path / "a.csv"), ["X", "Z"])
     put(tmp_path, "datos.txt", 'X,Y\n"1\n2",3\n')
-    for size in (0, 10**6):
-        got = U.load_text(spark, str(tmp_path / "datos.txt"), whole_file_bytes=size)
-        assert [(r.X.replace("\r", ""), r.Y) for r in got.collect()] == [("1\n2", "3")]
+    got = U.load_text(spark, str(tmp_path / "datos.txt"))
+    assert [(r.X.replace("\r", ""), r.Y) for r in got.collect()] == [("1\n2", "3")]
     with pytest.raises(FileNotFoundError):
         U.load_text(spark, str(tmp_path / "none.csv"))
 
