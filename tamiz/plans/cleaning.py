@@ -312,8 +312,11 @@ def imputar_supervisor(df: DataFrame) -> DataFrame:
 
 
 def fusionar_escrituras(df: DataFrame, nombre: str, jurisdiccion: str) -> DataFrame:
-    """The most frequent spelling of a person within a jurisdiction for all of them."""
-    keep = is_name(F.col(nombre))
+    """The most frequent spelling of a person within a jurisdiction for all of them.
+
+    Rows without a jurisdiction may be about different people and are not merged.
+    """
+    keep = is_name(F.col(nombre)) & (trimmed(F.col(jurisdiccion)) != "")
     preferred = preferred_spelling(df, F.col(nombre), F.col(jurisdiccion), keep).select(
         F.col("clave").alias("_clave"),
         F.col("jurisdiccion").alias("_jurisdiccion"),
@@ -336,23 +339,28 @@ def fusionar_escrituras(df: DataFrame, nombre: str, jurisdiccion: str) -> DataFr
 
 
 def marcar_duplicados(df: DataFrame) -> DataFrame:
-    """Marks rows that share name key and municipality; deletes nothing.
+    """Marks rows that share name key and place; deletes nothing.
 
+    A place is department and municipality together, so homonyms stay apart.
     `CANDIDATO_DUPLICADO`: another row has the same key. `CONFIRMADO`: another
-    row also agrees in JORNADA, PLAN and DIRECCION.
+    row also agrees in JORNADA, PLAN and DIRECCION. A row without name,
+    department or municipality is not comparable and gets neither mark.
     """
-    group = ["_clave", "_municipio"]
+    group = ["_clave", "_departamento", "_municipio"]
     detail = [trimmed(F.col(c)) for c in ("JORNADA", "PLAN", "DIRECCION")]
     keyed = df.withColumns(
         {
             "_clave": name_key(trimmed(F.col("ESTABLECIMIENTO"))),
+            "_departamento": trimmed(F.col("DEPARTAMENTO")),
             "_municipio": trimmed(F.col("MUNICIPIO")),
         }
     )
-    keyed = keyed.select("*", *digest(F.col("_clave"), F.col("_municipio"), *detail))
-    named = F.col("_clave") != ""
+    keyed = keyed.select("*", *digest(*[F.col(c) for c in group], *detail))
+    comparable = (
+        (F.col("_clave") != "") & (F.col("_departamento") != "") & (F.col("_municipio") != "")
+    )
     fine = (
-        keyed.where(named)
+        keyed.where(comparable)
         .groupBy(*group, "h1", "h2")
         .agg(F.count("*").alias("_iguales"))
     )
@@ -364,14 +372,14 @@ def marcar_duplicados(df: DataFrame) -> DataFrame:
     per_row_key = join_per_key(fine, coarse, group, "_combinaciones").select(
         "h1", "h2", "_iguales", "_grupo"
     )
-    marked = join_per_key(keyed.where(named), per_row_key, ["h1", "h2"], "_iguales", "left")
+    marked = join_per_key(keyed.where(comparable), per_row_key, ["h1", "h2"], "_iguales", "left")
     return marked.select(
         *df.columns,
         F.col("_grupo").isNotNull().alias("CANDIDATO_DUPLICADO"),
         F.coalesce(F.col("_iguales") > 1, F.lit(False)).alias("CONFIRMADO"),
     ).unionByName(
-        df.where(name_key(trimmed(F.col("ESTABLECIMIENTO"))) == "").select(
-            "*",
+        keyed.where(~comparable).select(
+            *df.columns,
             F.lit(False).alias("CANDIDATO_DUPLICADO"),
             F.lit(False).alias("CONFIRMADO"),
         )

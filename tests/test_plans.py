@@ -154,3 +154,27 @@ def test_catalog_twins_do_not_multiply_rows(spark):
     )
     got = sorted(tuple(r) for r in C.corregir_municipio(rows, catalog).collect())
     assert got == [("Alta Verapaz", "COBÁN", True), ("PETEN", "FLORES", False)]
+
+
+def test_homonyms_and_blank_places_are_not_duplicates(spark):
+    columns = ["ESTABLECIMIENTO", "DEPARTAMENTO", "MUNICIPIO", "JORNADA", "PLAN", "DIRECCION"]
+    rows = [
+        ("INEB", "PETEN", "LA LIBERTAD", "M", "D", "x"),
+        ("INEB", "HUEHUETENANGO", "LA LIBERTAD", "M", "D", "x"),
+        ("INEB", "IZABAL", "", "M", "D", "x"),
+        ("INEB", "IZABAL", None, "M", "D", "x"),
+        ("COLEGIO", "JALAPA", "JALAPA", "M", "D", "x"),
+        ("Colegio.", " JALAPA ", "JALAPA", "M", "D", "x"),
+        ("COLEGIO", "JALAPA", "JALAPA", "V", "D", "x"),
+        (None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    got = [(r.CANDIDATO_DUPLICADO, r.CONFIRMADO) for r in C.marcar_duplicados(df).orderBy("ESTABLECIMIENTO", "JORNADA").collect()]
+    assert len(got) == 8 and got.count((True, True)) == 2 and got.count((True, False)) == 1
+
+
+def test_people_without_jurisdiction_are_not_merged(spark):
+    rows = [("JOSÉ PÉREZ", ""), ("JOSE PEREZ", None), ("ANA LÓPEZ", "NORTE"), ("ANA LOPEZ", "NORTE")]
+    df = spark.createDataFrame(rows, "SUPERVISOR string, DEPARTAMENTAL string")
+    got = sorted(r.SUPERVISOR_FUSIONADO for r in C.fusionar_escrituras(df, "SUPERVISOR", "DEPARTAMENTAL").collect())
+    assert got == ["ANA LÓPEZ", "ANA LÓPEZ", "JOSE PEREZ", "JOSÉ PÉREZ"]
