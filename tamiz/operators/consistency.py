@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.functions.text import plain
+from tamiz.operators.distinct import distinct_counts_by
 
 
 def dependency_violations(
@@ -13,17 +14,13 @@ def dependency_violations(
 ) -> DataFrame:
     """Determinant values with more than one value of some dependent column.
 
-    The distinct (determinant, dependent) combinations are formed first, with
-    map-side merging, so a frequent determinant is spread by its dependents.
+    Fingerprints of the dependents are made distinct first, with map-side
+    merging, so a frequent determinant is spread by its dependents and no wide
+    value is shuffled.
     """
-    combos = df.select(
-        *[c.alias(n) for n, c in {**determinant, **dependent}.items()]
-    ).distinct()
-    counted = combos.groupBy(*determinant).agg(
-        *[F.count_distinct(n).alias(f"distintos_{n}") for n in dependent]
-    )
-    several = F.greatest(*[F.col(f"distintos_{n}") for n in dependent], F.lit(0))
-    return counted.where(several > 1)
+    labelled = {f"distintos_{n}": c for n, c in dependent.items()}
+    counted = distinct_counts_by(df, determinant, labelled)
+    return counted.where(F.greatest(*[F.col(n) for n in labelled], F.lit(0)) > 1)
 
 
 def distinct_pairs(df: DataFrame, a: Column, b: Column, where: Column | None = None) -> DataFrame:
