@@ -22,12 +22,14 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def write_csv(
-    df: DataFrame, path: str, bom: bool = True, single: bool = False, mode: str = "errorifexists"
+    df: DataFrame, path: str, bom: bool = True, single: bool = False, mode: str = "errorifexists",
+    folders: tuple[str, ...] = (),
 ) -> None:
     """Header, no index, quotes doubled, blanks written as empty fields.
 
     Every part file starts with a byte order mark. `single` gathers the rows
     in one task and is meant for reports, whose size does not follow the data.
+    `folders` names columns by whose values the files are put in folders.
     """
     out = flat(df)
     if bom:
@@ -36,6 +38,7 @@ def write_csv(
         out = out.coalesce(1)
     (
         out.write.mode(mode)
+        .partitionBy(*folders)
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")

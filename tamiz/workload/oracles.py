@@ -629,6 +629,9 @@ ORACLES["csv_ingest_summary"] = messy_oracle(INGEST)
 ORACLES["ingest_summary"] = messy_oracle(
     INGEST + "\nUNION ALL SELECT 'Archivos unidos', count(DISTINCT archivo_origen) FROM messy"
 )
+ORACLES["csv_lineage"] = messy_oracle("""
+SELECT archivo_origen AS origen, CODIGO, TELEFONO,
+  row_number() OVER (PARTITION BY archivo_origen ORDER BY fila_origen) + 1 AS fila_origen FROM messy""")
 ORACLES["csv_round_trip"] = messy_oracle(
     f"SELECT {COLS}, count(*) AS copias FROM messy GROUP BY {COLS}"
 )
@@ -747,7 +750,8 @@ SELECT archivo_origen, fila_origen, DISTRITO, coalesce(nombre, unico) AS SUPERVI
   nombre IS NULL AND unico IS NOT NULL AS SUPERVISOR_IMPUTADO FROM s LEFT JOIN u ON d = DISTRITO""")
 ORACLES["clean_person_merge"] = messy_oracle(f""",
 p AS (SELECT {t('DIRECTOR')} AS nombre, {t('DEPARTAMENTAL')} AS jur, {name_key(t('DIRECTOR'))} AS clave,
-  count(*) AS n FROM messy WHERE {name_class('DIRECTOR')} = 'nombre aparente' GROUP BY ALL),
+  count(*) AS n FROM messy WHERE {name_class('DIRECTOR')} = 'nombre aparente' AND {t('DEPARTAMENTAL')} <> ''
+  GROUP BY ALL),
 best AS (SELECT clave, jur, arg_max(nombre, (n, strlen(nombre), nombre)) AS preferido FROM p
   GROUP BY 1, 2 HAVING count(*) > 1)
 SELECT archivo_origen, fila_origen, DIRECTOR,
@@ -755,10 +759,12 @@ SELECT archivo_origen, fila_origen, DIRECTOR,
     ELSE nullif({t('DIRECTOR')}, '') END AS DIRECTOR_FUSIONADO
 FROM messy LEFT JOIN best ON best.clave = {name_key(t('DIRECTOR'))} AND best.jur = {t('DEPARTAMENTAL')}""")
 ORACLES["clean_duplicate_marks"] = messy_oracle(f""",
-k AS (SELECT *, {name_key(EST)} AS clave FROM messy)
+k AS (SELECT *, {name_key(EST)} AS clave, {t('DEPARTAMENTO')} AS dep, {t('MUNICIPIO')} AS mun FROM messy)
 SELECT archivo_origen, fila_origen,
-  clave <> '' AND count(*) OVER (PARTITION BY clave, {MU}) > 1 AS CANDIDATO_DUPLICADO,
-  clave <> '' AND count(*) OVER (PARTITION BY clave, {MU}, {t('JORNADA')}, {t('PLAN')}, {t('DIRECCION')}) > 1
+  clave <> '' AND dep <> '' AND mun <> '' AND count(*) OVER (PARTITION BY clave, dep, mun) > 1
+    AS CANDIDATO_DUPLICADO,
+  clave <> '' AND dep <> '' AND mun <> ''
+    AND count(*) OVER (PARTITION BY clave, dep, mun, {t('JORNADA')}, {t('PLAN')}, {t('DIRECCION')}) > 1
     AS CONFIRMADO FROM k""")
 
 
@@ -781,7 +787,11 @@ def equivalents_of(table: str) -> str:
       WHERE valor <> '' GROUP BY 1, 2 HAVING count(*) > 1))"""
 
 
-def validation_sql(table: str) -> str:
+def validation_sql(table: str, places: str | None = None) -> str:
+    """`places`: the known pairs of department and municipality, as rows."""
+    unknown = "0" if places is None else count_if(
+        f"{t('MUNICIPIO')} <> '' AND ({t('DEPARTAMENTO')}, {t('MUNICIPIO')}) NOT IN ({places})"
+    )
     official = in_list(R.DEPARTMENTS.values())
     address = "coalesce(DIRECCION, '')"
     invalid = [
@@ -799,7 +809,7 @@ def validation_sql(table: str) -> str:
         ("V3", "telefonos en formato aprobado",
          f"(SELECT {count_if(f'{TEL} <> {q(str())} AND NOT ({readable})')} FROM {table})"),
         ("V4", "departamentos y municipios en catalogo",
-         f"(SELECT {count_if(f'{DEP} <> {q(str())} AND {DEP} NOT IN {official}')} FROM {table})"),
+         f"(SELECT {count_if(f'{DEP} <> {q(str())} AND {DEP} NOT IN {official}')} + {unknown} FROM {table})"),
         ("V5", "tipos correctos", "0"),
         ("V6", "categorias sin variantes equivalentes", equivalents_of(table)),
         ("V7", "valores invalidos del diagnostico en cero",
@@ -813,6 +823,9 @@ def validation_sql(table: str) -> str:
 
 
 ORACLES["validate_raw"] = messy_oracle(validation_sql("messy"))
+ORACLES["validate_places"] = messy_oracle(validation_sql("messy", """('PETEN', 'LA LIBERTAD'),
+  ('PETEN', 'SAN JOSE'), ('QUICHE', 'COBAN'), ('IZABAL', 'COBAN'), ('SOLOLA', 'CHISEC'),
+  ('JALAPA', 'SANTA BARBARA'), ('QUICHÉ', 'COBÁN'), ('PETEN', 'CHISEC'), ('PETÉN', 'CHISEC')"""))
 CLEAN_TABLE = f"{CLEAN_CTES}, clean AS MATERIALIZED ({CLEAN_SELECT})\n"
 ORACLES["validate_clean"] = messy_oracle(CLEAN_TABLE + validation_sql("clean"))
 

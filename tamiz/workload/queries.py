@@ -81,6 +81,20 @@ def csv_round_trip(spark, sf_dir):
     return back.groupBy(*R.SOURCE_COLUMNS).agg(F.count("*").alias("copias"))
 
 
+def csv_lineage(spark, sf_dir):
+    """One CSV file per origin, written in record order; records are numbered when read back."""
+    folder = scratch_dir(spark, "tamiz-csv")
+    source = messy(spark, sf_dir).withColumnRenamed("archivo_origen", "origen")
+    ordered = (
+        source.withColumn("carpeta", c("origen"))
+        .repartition("carpeta")
+        .sortWithinPartitions("carpeta", "fila_origen")
+    )
+    write_csv(ordered.drop("fila_origen"), f"{folder}/datos", folders=("carpeta",))
+    back = csv_union.read_union(spark, f"{folder}/datos/*", expected_files=R.EXPECTED_FILES)
+    return back.select("origen", "CODIGO", "TELEFONO", "fila_origen")
+
+
 def csv_ingest_summary(spark, sf_dir):
     folder = scratch_dir(spark, "tamiz-csv")
     write_csv(messy(spark, sf_dir).drop(*KEY), f"{folder}/datos")
@@ -134,8 +148,7 @@ def documents_first_examples(df):
         "doc_id", trimmed(c("text")).alias("texto"), F.array("source").alias("etiquetas")
     )
     return patterns.first_examples(
-        flagged, c("etiquetas"), F.substring("texto", 1, F.length("texto")), ["doc_id"], 3,
-        name="source", long_values=True,
+        flagged, c("etiquetas"), c("texto"), ["doc_id"], 3, name="source", long_values=True,
     )
 
 
@@ -174,7 +187,8 @@ def outside_nation(spark, sf_dir):
 
 # --- cleaning ----------------------------------------------------------------------
 
-# A catalog of official spellings for the municipalities of the registry view.
+# A catalog of official spellings for the municipalities of the registry view,
+# with a pair written twice and one whose official spellings differ.
 CATALOG = [
     ("PETEN", "LA LIBERTAD", "La Libertad"),
     ("PETEN", "SAN JOSE", "San José"),
@@ -182,7 +196,11 @@ CATALOG = [
     ("IZABAL", "COBAN", "Cobán"),
     ("SOLOLA", "CHISEC", "Chisec"),
     ("JALAPA", "SANTA BARBARA", "Santa Bárbara"),
+    ("QUICHÉ", "COBÁN", "Cobán"),
+    ("PETEN", "CHISEC", "Chisec"),
+    ("PETÉN", "CHISEC", "CHISEC"),
 ]
+CATALOG_SCHEMA = "departamento string, municipio string, oficial string"
 
 
 def clean_rows(df):
@@ -190,7 +208,7 @@ def clean_rows(df):
 
 
 def municipality_spelling(spark, sf_dir):
-    catalog = spark.createDataFrame(CATALOG, "departamento string, municipio string, oficial string")
+    catalog = spark.createDataFrame(CATALOG, CATALOG_SCHEMA)
     return C.corregir_municipio(messy(spark, sf_dir), catalog).select(
         *KEY, "DEPARTAMENTO", "MUNICIPIO", "MUNICIPIO_EN_CATALOGO"
     )
@@ -216,6 +234,13 @@ def validation_after(spark, sf_dir):
     return validation.reporte_validacion(written_clean(spark, messy(spark, sf_dir)))
 
 
+def validation_of_places(spark, sf_dir):
+    """The rules with the check of department and municipality together."""
+    return validation.reporte_validacion(
+        messy(spark, sf_dir), spark.createDataFrame(CATALOG, CATALOG_SCHEMA)
+    )
+
+
 def before_after(spark, sf_dir):
     raw = messy(spark, sf_dir)
     return reports.informe_calidad(
@@ -361,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "file_profile": on_messy(csv_union.file_profile),
     "ingest_summary": on_messy(csv_union.ingest_summary),
     "csv_round_trip": csv_round_trip,
+    "csv_lineage": csv_lineage,
     "csv_ingest_summary": csv_ingest_summary,
     # cleaning, validation, reports
     "clean_rows": on_messy(clean_rows),
@@ -376,6 +402,7 @@ QUERIES: dict[str, Query] = {
         lambda d: C.marcar_duplicados(d).select(*KEY, "CANDIDATO_DUPLICADO", "CONFIRMADO")
     ),
     "validate_raw": on_messy(validation.reporte_validacion),
+    "validate_places": validation_of_places,
     "validate_clean": validation_after,
     "before_after": before_after,
 }
