@@ -11,6 +11,8 @@ from tamiz.session import scratch_dir
 
 #: ASCII white space, 0x09 to 0x0D and 0x20: what separates words.
 SPACES = "\t\n\x0b\x0c\r "
+#: Bytes of one Arrow batch between a task and its Python worker.
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,6 +30,15 @@ def frozen(df: DataFrame, prefix: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame) -> None:
+    """Sets the session of ``df`` to hand rows to Python in batches of about ``BATCH_BYTES``.
+
+    The usual bound is on rows alone, and so many texts may have any size. The
+    setting counts when a query starts, so it stays on.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have."""
     taken, name = {c.lower() for c in df.columns}, base

@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.llm.common import bounded_batches
+
 PIECES = (
     "doc_id {id_type}, start long, length long, doc_tokens long, bucket int, ids binary"
 )
 #: Encoded words that a Python worker keeps, over all its tasks, before it starts anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000
 #: Punctuation that never shares a pre-token with the letters before it.
 MARKS = ".,;:!?"
 
@@ -128,6 +130,7 @@ def pack(
                 ["doc_id", "start", "length", "doc_tokens", "bucket", "ids"],
             )
 
+    bounded_batches(docs)
     pieces = source.mapInArrow(cut, schema)
     return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 

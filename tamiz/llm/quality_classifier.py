@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.llm.common import bounded_batches
 from tamiz.llm.labelled import training_rows
 
 WORD_BUCKETS = 1 << 13
@@ -168,4 +169,5 @@ def with_score(
     def score(texts: pa.Array, *numbers: pa.Array) -> pa.Array:
         return pa.array([model.probability(i, x) for i, x in _each(texts, numbers)], pa.float64())
 
+    bounded_batches(docs)
     return docs.withColumn(name, score(F.col(f"`{text}`"), *[F.col(f"`{m}`").cast("double") for m in metadata]))

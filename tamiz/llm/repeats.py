@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import bucket_count, free_name, text_bytes
+from tamiz.llm.common import bounded_batches, bucket_count, free_name, text_bytes
 
 SPAN = 100
 GRAM = 32
@@ -434,6 +434,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     The texts are shuffled once; the three passes over them read that shuffle.
     """
+    bounded_batches(docs)
     record = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
     buckets = bucket_count(text_bytes(docs, text), BUCKET_BYTES, LEAST_BUCKETS)
     rows = docs.select(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import components, frozen, free_name
+from tamiz.llm.common import bounded_batches, components, frozen, free_name
 
 BITS = 64
 #: Pairs of nodes that a task holds at once.
@@ -63,6 +63,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text", name
     def fingerprint(texts: pa.Array) -> pa.Array:
         return pa.array([text_fingerprint(t or b"", shingle) for t in texts.cast(pa.binary()).to_pylist()], pa.int64())
 
+    bounded_batches(docs)
     return docs.withColumn(name, fingerprint(F.col(f"`{text}`")))
 
 

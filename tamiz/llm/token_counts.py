@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.llm.common import bounded_batches
+
 #: Nodes that a task keeps before it starts a new trie.
 NODES = 1_500_000
 SPACE = "▁"
@@ -105,4 +107,5 @@ def with_counts(docs: DataFrame, model_path: str, text: str = "text", name: str
                 [sum(map(trie.__getitem__, (w.decode() for w in (t or b"").split()))) for t in values], pa.int64()
             )
 
+    bounded_batches(docs)
     return docs.withColumn(name, counts(F.col(f"`{text}`")))

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.llm.common import bounded_batches
 from tamiz.llm.labelled import training_rows
 
 LENGTH = 16
@@ -345,4 +346,5 @@ def with_score(docs: DataFrame, network: Network, text: str = "text", name: str
             return pa.array([network.constant] * len(texts), pa.float64())
         return pa.array(Scorer(network).of_texts([t or "" for t in texts.to_pylist()]), pa.float64())
 
+    bounded_batches(docs)
     return docs.withColumn(name, score(F.col(f"`{text}`")))
