@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import bounded_batches
+from tamiz.llm.common import bounded_batches, release_memory
 
 PIECES = (
     "doc_id {id_type}, start long, length long, doc_tokens long, bucket int, ids binary"
@@ -129,6 +129,7 @@ def pack(
                 ],
                 ["doc_id", "start", "length", "doc_tokens", "bucket", "ids"],
             )
+        release_memory()
 
     bounded_batches(docs)
     pieces = source.mapInArrow(cut, schema)

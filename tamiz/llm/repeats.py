@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import bounded_batches, bucket_count, free_name, text_bytes
+from tamiz.llm.common import bounded_batches, bucket_count, lean, lean_pair, text_bytes
 
 SPAN = 100
 GRAM = 32
@@ -421,12 +421,21 @@ def cut(docs: pa.Table, spans: pa.Table) -> pa.Table:
     )
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def cut_text(docs: pa.Table, spans: pa.Table) -> pa.Table:
+    """As ``cut``, with the kept bytes as text; characters that a cut splits are dropped."""
+    done = cut(docs, spans)
+    kept = pa.array([x.decode("utf-8", "ignore") for x in done.column("kept").to_pylist()], pa.string())
+    return done.set_column(done.column_names.index("kept"), "kept", kept)
+
+
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT, as_text: bool = False
+) -> DataFrame:
     """(record, kept, n_bytes, removed): every row of ``docs`` without passages that occur earlier.
 
     ``record`` holds the other columns as a struct, ``kept`` the remaining
-    bytes (a character may be cut), ``removed`` the maximal removed runs as
-    (start, end) in bytes. A byte goes if it lies in a string of 100 bytes of
+    bytes (a character may be cut) or, ``as_text``, what they hold of whole
+    characters, ``removed`` the maximal removed runs as (start, end) in bytes. A byte goes if it lies in a string of 100 bytes of
     its text that also starts earlier: in a row with a smaller doc_id, or
     earlier in the same text; overlaps count. Rows of one doc_id follow the
     order of the table, null ids come last. Null texts are empty; texts below
@@ -444,16 +453,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         record.alias("record"),
     )
     rows = rows.withColumn("p", F.pmod(F.xxhash64("row"), F.lit(buckets))).repartition(buckets, "p")
-    hashes = rows.groupBy("p").applyInArrow(lambda t: send_hashes(t, FINER * buckets), HASHES)
-    repeated = hashes.groupBy("b").applyInArrow(lambda t: find_repeated(t, hot), REPEATED)
+    hashes = rows.groupBy("p").applyInArrow(lean(lambda t: send_hashes(t, FINER * buckets)), HASHES)
+    repeated = hashes.groupBy("b").applyInArrow(lean(lambda t: find_repeated(t, hot)), REPEATED)
     repeated = repeated.repartition(buckets, "p")
     entries = rows.groupBy("p").cogroup(repeated.groupBy("p")).applyInArrow(
-        lambda d, r: send_contexts(d, r, FINER * buckets), ENTRIES
+        lean_pair(lambda d, r: send_contexts(d, r, FINER * buckets)), ENTRIES
     )
-    spans = entries.groupBy("b").applyInArrow(scan_suffixes, SPANS).repartition(buckets, "p")
+    spans = entries.groupBy("b").applyInArrow(lean(scan_suffixes), SPANS).repartition(buckets, "p")
     kind = rows.schema["record"].dataType.simpleString()
-    result = f"record {kind}, kept binary, n_bytes long, removed array<struct<start:bigint,end:bigint>>"
-    return rows.groupBy("p").cogroup(spans.groupBy("p")).applyInArrow(cut, result)
+    result = f"record {kind}, kept {'string' if as_text else 'binary'}, n_bytes long, removed array<struct<start:bigint,end:bigint>>"
+    return rows.groupBy("p").cogroup(spans.groupBy("p")).applyInArrow(lean_pair(cut_text if as_text else cut), result)
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -461,12 +470,6 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Characters that a cut splits are dropped. Null texts become empty.
     """
-    done = remove_repeats(docs, doc_id, text)
-
-    @F.arrow_udf("string")
-    def decoded(kept: pa.Array) -> pa.Array:
-        return pa.array([x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
-
-    name = free_name(docs, "kept_text")
-    columns = [F.col(name).alias(c) if c == text else F.col(f"record.`{c}`").alias(c) for c in docs.columns]
-    return done.withColumn(name, decoded("kept")).select(*columns)
+    done = remove_repeats(docs, doc_id, text, as_text=True)
+    columns = [F.col("kept").alias(c) if c == text else F.col(f"record.`{c}`").alias(c) for c in docs.columns]
+    return done.select(*columns)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import bounded_batches, components, frozen, free_name
+from tamiz.llm.common import bounded_batches, components, frozen, free_name, lean
 
 BITS = 64
 #: Pairs of nodes that a task holds at once.
@@ -173,7 +173,7 @@ def links(fingerprints: DataFrame, budget: int, subtree: int = 2048, crowded: in
         heavy = frozen(sizes.where((F.col("n") > crowded) & (F.col("own") > 0)).select("node"), "trie-crowded")
         more = depth < BITS and heavy.limit(1).count() > 0
         light = visits.join(heavy, "node", "left_anti") if more else visits
-        part = light.groupBy("node").applyInArrow(walk, "u long, v long")
+        part = light.groupBy("node").applyInArrow(lean(walk), "u long, v long")
         found = part if found is None else found.unionByName(part)
         if not more:
             return found
