@@ -15,7 +15,8 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.common import bounded_batches, components, frozen, free_name, lean
@@ -207,22 +208,45 @@ def near_duplicates(marked: DataFrame, budget: int = 2, doc_id: str = "doc_id")
     return marked.join(classes, "fingerprint", "left")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, budget: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def places(docs: DataFrame) -> tuple[Column, Column] | None:
+    """What tells the rows of a table in files apart (hash of the file, row within it); None where there are no files."""
+    try:
+        known = docs.metadataColumn("_metadata")
+        file, at = F.xxhash64(known["file_path"]), known["row_index"]
+        docs.select(file, at)
+    except AnalysisException:
+        return None
+    return file, at
+
+
+def keep_one(
+    docs: DataFrame,
+    shingle: int = 3,
+    budget: int = 2,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    written: bool = False,
+) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: one row of every component stays.
 
     It is the row with the smallest doc_id; of rows with equal ids one (null
     ids come last). Columns are those of ``docs``; a table without rows stays
     empty.
+
+    Rows are told apart by their place in files, so ``docs`` is written first
+    unless ``written`` says that it is no more than the read of a table. Texts
+    are read twice and shuffled once, by place, at every size of the input.
     """
-    columns = docs.columns
-    row = free_name(docs, "row_number_of_table")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    if "fingerprint" in {c.lower() for c in columns}:
-        numbered = numbered.withColumnsRenamed({c: "given_" + c for c in columns if c.lower() == "fingerprint"})
-    marked = frozen(with_fingerprint(numbered, shingle, text), "simhash-rows")
-    narrow = marked.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(row).alias("row"), "fingerprint")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    first = near_duplicates(narrow, budget).groupBy("root").agg(F.min(order).alias("first"))
-    kept = frozen(first.select(F.col("first.row").alias(row)), "simhash-kept")
-    rows = marked.join(kept, row, "left_semi").drop(row, "fingerprint")
-    return rows.withColumnsRenamed({"given_" + c: c for c in columns if c.lower() == "fingerprint"}).select(*[f"`{c}`" for c in columns])
+    columns = [f"`{c}`" for c in docs.columns]
+    place = places(docs) if written else None
+    if place is None:
+        docs = frozen(docs, "simhash-rows")
+        place = places(docs)
+    narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), place[0].alias("file"), place[1].alias("at"))
+    marked = frozen(with_fingerprint(narrow, shingle).drop("text"), "simhash-fingerprints")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "file", "at")
+    first = near_duplicates(marked, budget).groupBy("root").agg(F.min(order).alias("first"))
+    file, at = free_name(docs, "file_of_table"), free_name(docs, "row_of_file")
+    kept = frozen(first.select(F.col("first.file").alias(file), F.col("first.at").alias(at)), "simhash-kept")
+    placed = docs.withColumns({file: place[0], at: place[1]})
+    return placed.join(kept.hint("shuffle_hash"), [file, at], "left_semi").select(*columns)

@@ -473,6 +473,11 @@ def test_simhash_keeps_one(odd, none):
         (False, 1), (False, 3), (False, 6), (False, 7), (False, 9), (False, 9), (True, 0)
     ]
     assert simhash.keep_one(none).count() == 0
+    table = common.frozen(odd, "test-written")
+    assert sorted(map(str, simhash.keep_one(table, written=True).collect())) == sorted(
+        map(str, simhash.keep_one(table).collect())
+    )
+    assert simhash.keep_one(common.frozen(none, "test-written"), written=True).count() == 0
 
 
 # ---- pipeline
