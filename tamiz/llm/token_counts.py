@@ -20,20 +20,22 @@ from tamiz.llm.common import bounded_batches
 #: Nodes that a task keeps before it starts a new trie.
 NODES = 1_500_000
 SPACE = "▁"
+NO_END = object()
 
 
 def zipf_scores(path: str) -> dict[str, float]:
     """Log-probabilities of the pieces of a SentencePiece file.
 
     The file ranks its pieces and gives no probabilities; a Zipf-Mandelbrot law
-    over the rank, p ~ 1 / (rank + 2.7), stands for them.
+    over the rank, p ~ 1 / (rank + 2.7), stands for them. Pieces for single
+    bytes have no rank by use and are left out.
     """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     size = model.get_piece_size()
     pieces = [
-        (i, model.id_to_piece(i)) for i in range(size) if not (model.is_control(i) or model.is_unknown(i))
+        (i, model.id_to_piece(i)) for i in range(size) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
     ]
     whole = math.log(sum(1 / (rank + 2.7) for rank in range(1, len(pieces) + 1)))
     return {piece: -math.log(rank + 2.7) - whole for rank, (_, piece) in enumerate(pieces, 1)}
@@ -42,15 +44,17 @@ def zipf_scores(path: str) -> dict[str, float]:
 class CountTrie(dict):
     """Counts of pre-tokens by ``self[word]``; ``scores`` are log-probabilities of pieces.
 
-    A character that no piece covers is spelt by its UTF-8 bytes, each a token
-    ``<0xNN>`` (with the least score if the model lacks it). Among equally good
-    segmentations the one with fewest tokens counts.
+    A character that is no piece itself may also be spelt by its UTF-8 bytes,
+    each a token with the least score. Among equally good segmentations the one
+    with fewest tokens counts.
     """
 
     def __init__(self, scores: dict[str, float], limit: int = NODES):
         super().__init__()
         self.scores, self.limit = scores, limit
-        self.longest = max(map(len, scores), default=1)
+        #: Ends of pieces; None for those that are no pieces themselves.
+        self.ends: dict[str, float | None] = dict.fromkeys(p[k:] for p in scores for k in range(1, len(p)))
+        self.ends.update(scores)
         self.least = min(scores.values(), default=0.0)
         self.reset()
 
@@ -60,21 +64,26 @@ class CountTrie(dict):
         self.best = [0.0]
         self.tokens = [0]
 
-    def spelt(self, char: str) -> tuple[float, int]:
-        data = char.encode("utf-8", "surrogatepass")
-        return sum(self.scores.get(f"<0x{b:02X}>", self.least) for b in data), len(data)
-
     def grow(self, path: list[int], word: str, depth: int) -> int:
         """The node for ``word[:depth]`` below the nodes of ``path``."""
-        score, n = self.spelt(word[depth - 1])
-        best = (self.best[path[depth - 1]] + score, -(self.tokens[path[depth - 1]] + n))
-        for start in range(max(0, depth - self.longest), depth):
-            score = self.scores.get(word[start:depth])
-            if score is not None:
-                best = max(best, (self.best[path[start]] + score, -(self.tokens[path[start]] + 1)))
-        self.best.append(best[0])
-        self.tokens.append(-best[1])
-        return len(self.best) - 1
+        best, tokens, ends = self.best, self.tokens, self.ends
+        top, least = -math.inf, 0
+        if word[depth - 1] not in self.scores:
+            spelt = len(word[depth - 1].encode())
+            top, least = best[path[-1]] + spelt * self.least, tokens[path[-1]] + spelt
+        for start in range(depth - 1, -1, -1):
+            score = ends.get(word[start:depth], NO_END)
+            if score is NO_END:  # no piece ends with this, so none with more
+                break
+            if score is None:
+                continue
+            node = path[start]
+            score += best[node]
+            if score > top or (score == top and tokens[node] + 1 < least):
+                top, least = score, tokens[node] + 1
+        best.append(top)
+        tokens.append(least)
+        return len(best) - 1
 
     def __missing__(self, word: str) -> int:
         if len(self.best) > self.limit:

@@ -217,14 +217,15 @@ def test_license_scan(spark, odd, none):
 
 def best_count(scores, word):
     marked = token_counts.SPACE + word
-    trie = token_counts.CountTrie(scores)
+    least = min(scores.values())
     best = [(0.0, 0)]
     for end in range(1, len(marked) + 1):
-        score, n = trie.spelt(marked[end - 1])
-        options = [(best[end - 1][0] + score, best[end - 1][1] - n)]
-        options += [
+        options = [
             (best[a][0] + scores[marked[a:end]], best[a][1] - 1) for a in range(end) if marked[a:end] in scores
         ]
+        if marked[end - 1] not in scores:
+            n = len(marked[end - 1].encode())
+            options.append((best[end - 1][0] + n * least, best[end - 1][1] - n))
         best.append(max(options))
     return -best[-1][1]
 
@@ -241,6 +242,10 @@ def test_token_counts(spark, small_dir, odd, none):
         for w in [w for w in words if known[w] is None]:
             known[w] = best_count(scores, w)
         assert (r.n_words, r.n_tokens) == (len(words), sum(known[w] for w in words))
+    rare = ["<0x41>", "\U0001f98b", "a\u4e00\U0001f98bb", "e" * 40]
+    assert "<0x41>" not in scores and "e" in scores
+    trie = token_counts.CountTrie(scores)
+    assert [trie[w] for w in rare] == [best_count(scores, w) for w in rare]
     small = token_counts.CountTrie(scores, limit=50)
     assert [small[w] for w in list(known)[:200]] == [known[w] for w in list(known)[:200]]
     counted = {(r.doc_id, r.text): r.own for r in token_counts.with_counts(odd, PIECES, name="own").collect()}
