@@ -21,8 +21,8 @@ from tamiz.llm.common import bounded_batches, release_memory
 PIECES = (
     "doc_id {id_type}, start long, length long, doc_tokens long, bucket int, ids binary"
 )
-#: Encoded words that a Python worker keeps, over all its tasks, before it starts anew.
-CACHED_WORDS = 250_000
+#: Encoded words of one generation; a Python worker keeps two, over all its tasks.
+CACHED_WORDS = 400_000
 #: Punctuation that never shares a pre-token with the letters before it.
 MARKS = ".,;:!?"
 
@@ -39,7 +39,8 @@ class WordIds(dict):
     The tokenizer drops white space, lower-cases, and joins characters neither
     across white space nor across the border of letters and ``MARKS``, so a
     text's ids are those of such parts one after another. Strings that may
-    hold a special token ("<|") are encoded as they stand.
+    hold a special token ("<|") are encoded as they stand. A full generation
+    of words makes way for a new one, which takes over what is met again.
     """
 
     def __init__(self, path: str):
@@ -47,10 +48,13 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         core = word.rstrip(MARKS)
-        if "<|" in word:
+        if word in self.older:
+            packed = self.older[word]
+        elif "<|" in word:
             packed = self.encoded(word)
         elif core and core != word:
             packed = self[core] + self[word[len(core) :]]
@@ -59,6 +63,7 @@ class WordIds(dict):
         else:
             packed = self.encoded(word)
         if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
             self.clear()
         self[word] = packed
         return packed
