@@ -8,6 +8,7 @@ pieces of equal length form a bucket, from which batches are drawn.
 
 from __future__ import annotations
 
+import string
 import sys
 import types
 from collections.abc import Iterator
@@ -49,6 +50,11 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.older: dict[str, bytes] = {}
+        normalizer, splitter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        letters = string.ascii_lowercase
+        normal = normalizer.normalize_str(letters) if normalizer else letters
+        #: Whether a word of the letters a-z reaches the model as it stands, in one piece.
+        self.plain = splitter is not None and [x for x, _ in splitter.pre_tokenize_str(normal)] == [letters]
 
     def __missing__(self, word: str) -> bytes:
         core = word.rstrip(MARKS)
@@ -69,7 +75,11 @@ class WordIds(dict):
         return packed
 
     def encoded(self, word: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if self.plain and word.isascii() and word.isalpha() and word.islower():
+            ids = [token.id for token in self.tokenizer.model.tokenize(word)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return b"".join(i.to_bytes(4, "little") for i in ids)
 
     def of(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))

@@ -485,6 +485,14 @@ def test_simhash_keeps_one(odd, none):
     assert simhash.keep_one(common.frozen(none, "test-written"), written=True).count() == 0
 
 
+def test_words_equal_whole_texts(spark, small_dir):
+    words, whole = packing.WordIds(BPE), Tokenizer.from_file(BPE)
+    texts = [t or "" for t in texts_of(spark, small_dir).values()] + ["it's don't x's", "naïve COBÁN, a!b?", "zz" * 300]
+    assert words.plain
+    for text in texts:
+        assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 # ---- pipeline
 
 
