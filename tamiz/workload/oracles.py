@@ -531,6 +531,11 @@ def ledger_sql(columns: list[str], rows: list[tuple], counts: dict[str, str]) ->
                 fixed = entry[c]
                 share = pct(count, "count(*)") if fixed is None else f"CAST({fixed} AS DOUBLE)"
                 fields.append(f"{share} AS porcentaje")
+            elif c == "ejemplo":
+                counted = count.removeprefix("count(*)")
+                shown = f"min(nullif({t(entry['variable'])}, '')){counted}"
+                known = count.startswith("count(*)")
+                fields.append((f"coalesce({shown}, '')" if known else "''") + " AS ejemplo")
             else:
                 fields.append(f"{q(entry[c])} AS {c}")
         parts.append(f"SELECT {', '.join(fields)} FROM messy")
