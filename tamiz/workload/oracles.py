@@ -544,7 +544,7 @@ def ledger_sql(columns: list[str], rows: list[tuple], counts: dict[str, str]) ->
 
 CATEGORY_COUNTS = {
     "todas": "count(*)",
-    "cero": "0",
+    "formato_irregular": count_if(" OR ".join(f"{c} <> upper({t(c)})" for c in ("SECTOR", "STATUS", "MODALIDAD"))),
     "sin_jornada": count_if(f"{t('JORNADA')} = 'SIN JORNADA'"),
     "sin_especificar": count_if(f"{t('AREA')} = 'SIN ESPECIFICAR'"),
     "rural_capital": count_if(RURAL_CAPITAL),

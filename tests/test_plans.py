@@ -139,6 +139,14 @@ def test_ledger_rows_and_before_after(messy, cleaned):
     assert report["Variables con formato inconsistente"][0] > report["Variables con formato inconsistente"][1] - 1
 
 
+def test_ledgers_show_the_rows_given(messy):
+    changed = messy.withColumn("SECTOR", F.when(F.col("CODIGO").isNotNull(), F.lit(" privado")))
+    (formats,) = reports.resumen_calidad_categoricas(changed).where("variable LIKE 'SECTOR/%'").collect()
+    assert formats.cantidad >= changed.where("SECTOR IS NOT NULL").count() > 0
+    (outside,) = reports.libro_de_defectos(changed).where("variable = 'SECTOR'").collect()
+    assert (outside.cantidad, outside.ejemplo) == (changed.where("SECTOR IS NOT NULL").count(), "privado")
+
+
 def test_catalog_twins_do_not_multiply_rows(spark):
     catalog = spark.createDataFrame(
         [
