@@ -24,7 +24,7 @@ PIECES = (
 )
 #: Encoded words of one generation; a Python worker keeps two, over all its tasks.
 CACHED_WORDS = 400_000
-#: Punctuation that never shares a pre-token with the letters before it.
+#: Punctuation that never shares a pre-token with a letter or number before it.
 MARKS = ".,;:!?"
 
 
@@ -38,10 +38,12 @@ class WordIds(dict):
     """Ids of a white-space-free string as little-endian 32-bit integers, encoded once.
 
     The tokenizer drops white space, lower-cases, and joins characters neither
-    across white space nor across the border of letters and ``MARKS``, so a
-    text's ids are those of such parts one after another. Strings that may
-    hold a special token ("<|") are encoded as they stand. A full generation
-    of words makes way for a new one, which takes over what is met again.
+    across white space nor across the border of a letter or number and
+    ``MARKS``, so a text's ids are those of such parts one after another. It
+    does join ``MARKS`` to other symbols before them; such words are encoded
+    whole. Strings that may hold a special token ("<|") are encoded as they
+    stand. A full generation of words makes way for a new one, which takes over
+    what is met again.
     """
 
     def __init__(self, path: str):
@@ -55,6 +57,17 @@ class WordIds(dict):
         normal = normalizer.normalize_str(letters) if normalizer else letters
         #: Whether a word of the letters a-z reaches the model as it stands, in one piece.
         self.plain = splitter is not None and [x for x, _ in splitter.pre_tokenize_str(normal)] == [letters]
+        self.apart: dict[str, bool] = {}
+
+    def parts_from_marks(self, char: str) -> bool:
+        """Whether each of ``MARKS`` is a pre-token of its own after ``char``, as the tokenizer has it."""
+        if char not in self.apart:
+            normalizer, splitter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+            pairs = [normalizer.normalize_str(char + m) if normalizer else char + m for m in MARKS]
+            self.apart[char] = splitter is not None and all(
+                splitter.pre_tokenize_str(pair)[-1][0] == m for pair, m in zip(pairs, MARKS)
+            )
+        return self.apart[char]
 
     def __missing__(self, word: str) -> bytes:
         core = word.rstrip(MARKS)
@@ -62,7 +75,7 @@ class WordIds(dict):
             packed = self.older[word]
         elif "<|" in word:
             packed = self.encoded(word)
-        elif core and core != word:
+        elif core and core != word and self.parts_from_marks(core[-1]):
             packed = self[core] + self[word[len(core) :]]
         elif word.isascii() and word != word.lower():
             packed = self[word.lower()]

@@ -493,6 +493,13 @@ def test_words_equal_whole_texts(spark, small_dir):
         assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_words_keep_runs_of_symbols():
+    words, whole = packing.WordIds(BPE), Tokenizer.from_file(BPE)
+    texts = ['(foo). "hello", f(x); [1], **note**: done". {};', '329B"!! a\u0301. \u0130. X\u0130! a\u037e. \u00bd, \u3042.', "(FOO). 'S. ...a..."]
+    for text in texts:
+        assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 # ---- pipeline
 
 
