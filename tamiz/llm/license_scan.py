@@ -29,8 +29,14 @@ SPELLINGS = {
     "copyright owner": "copyright holder",
     "copyright owners": "copyright holders",
 }
-#: How a line begins that names rights and is left out.
-COPYRIGHT_LINE = r"^\s*(copyright\b|\(c\)|©|all rights reserved)"
+_YEAR = r"[<\[{(]?(\d{4}|year|yyyy)"
+#: Lines that name who holds the rights and are left out. Licence wording that happens to begin a
+#: line with "copyright" or an item "(c)" stays: a sign, a year, "by" or a company must follow.
+COPYRIGHT_LINE = (
+    rf"^\s*(copyright[\s:,]*(\(c\)|©|{_YEAR}|by\s)"
+    r"|copyright\s.*\s((19|20)\d\d|inc|llc|ltd|gmbh|corp|corporation|foundation|other contributors)\.?\s*$"
+    rf"|\(c\)\s*(copyright\s|{_YEAR}|by\s)|©|all rights reserved\W*$)"
+)
 
 #: Names and texts of common licences and notices.
 KNOWN = (

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import textwrap
 import zlib
 
 import duckdb
@@ -215,6 +216,57 @@ def test_license_scan(spark, odd, none):
     assert license_scan.scan(odd, known).count() == license_scan.scan(none, known).count() == 0
 
 
+def wrapped(text, width):
+    """``text`` wrapped anew, its first line (the copyright notice) and paragraphs kept."""
+    first, *rest = text.split("\n\n")
+    return "\n\n".join([first, *(textwrap.fill(p, width, break_on_hyphens=False) for p in rest)])
+
+
+ISC = """Copyright (c) 2004-2010 by Internet Systems Consortium, Inc. ("ISC")
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+MIT = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+
+def test_licenses_match_at_every_wrap_width(spark):
+    texts = [(name, w, wrapped(text, w)) for name, text in (("ISC", ISC), ("MIT", MIT)) for w in (20, 40, 60, 72, 76, 78, 80, 100, 999)]
+    texts += [("ISC", 0, ISC), ("MIT", 0, MIT), ("MIT", 1, MIT.replace("(c) 2020 Someone", "OpenJS Foundation and other contributors"))]
+    docs = spark.createDataFrame([(i, x[2]) for i, x in enumerate(texts)], "doc_id long, text string")
+    found = license_scan.scan(docs, license_scan.known_texts(spark)).where("line = 0").collect()
+    assert sorted((r.doc_id, r.license) for r in found) == [(i, x[0]) for i, x in enumerate(texts)]
+    lines = ["(c) You must retain, in the Source form", "copyright license to reproduce", "All rights reserved and more"]
+    kept = spark.createDataFrame([(x,) for x in lines], "text string").select(license_scan.canonical(F.col("text")))
+    assert all(r[0] for r in kept.collect())
+
+
 def best_count(scores, word):
     marked = token_counts.SPACE + word
     least = min(scores.values())
