@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import pathlib
 import random
 import textwrap
 import zlib
@@ -267,6 +268,31 @@ def test_licenses_match_at_every_wrap_width(spark):
     assert all(r[0] for r in kept.collect())
 
 
+def test_usual_licenses_are_known(spark):
+    folder = pathlib.Path(license_scan.__file__).parent / "licenses"
+    gpl = (folder / "GPL-3.0.txt").read_text()
+    apache = (folder / "Apache-2.0.txt").read_text()
+    rows = [
+        ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+        ("MPL-2.0", "# SPDX-License-Identifier: MPL-2.0"),
+        ("BSD-3-Clause", "This project is licensed under the BSD 3-Clause License."),
+        ("GPL-3.0-or-later", "Licensed under the GNU General Public License, version 3 or later"),
+        ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+        ("MIT", "MIT License\n\n" + MIT),
+        ("MIT", "The MIT License (MIT)\n\n" + wrapped(MIT, 60)),
+        ("ISC", "ISC License\n\n" + ISC),
+        ("GPL-3.0", gpl),
+        ("GPL-3.0", gpl.replace("https://", "http://")),
+        ("GPL-3.0", gpl[: gpl.index("How to Apply")]),
+        ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2019 Someone")),
+        ("Apache-2.0", apache[apache.index("TERMS AND") : apache.index("APPENDIX")]),
+    ]
+    rows += [(f.name.removesuffix(".txt").removesuffix(".2"), f.read_text()) for f in sorted(folder.iterdir())]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = license_scan.scan(docs, license_scan.known_texts(spark)).where("line = 0").collect()
+    assert sorted((r.doc_id, r.license) for r in found) == [(i, name) for i, (name, _) in enumerate(rows)]
+
+
 def best_count(scores, word):
     marked = token_counts.SPACE + word
     least = min(scores.values())
