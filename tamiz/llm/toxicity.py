@@ -27,12 +27,10 @@ WORD_DIM = 8
 CHAR_DIM = 8
 CHAR_BUCKETS = 1 << 13
 VOCABULARY = 20_000
-#: Documents of each label learnt from, and windows taken from each of them.
+#: Documents of each label learnt from, with all of their windows.
 SAMPLE = 1200
-WINDOWS = 64
 #: Windows of a clean document that a round adds.
 HARD = 4
-WINDOW_CHARS = 2_000
 EPOCHS = 2
 DECAY = 0.002
 STRIP = ".,;:!?\"'()[]{}*-_"
@@ -272,18 +270,16 @@ class Scorer(dict):
         return result
 
 
-def _windows_of(text: str) -> list[str]:
-    """A bounded choice of the windows of one text, as words with a blank between, by hash."""
-    words = [word_core(w) for w in text.split()]
-    windows = [" ".join(words[a : a + LENGTH]) for a in window_starts(len(words))]
-    windows = [w for w in windows if len(w) <= WINDOW_CHARS]
-    return sorted(windows, key=lambda w: zlib.crc32(w.encode("utf-8", "replace")))[:WINDOWS]
+def _windows_of(words: list[str]) -> list[list[str]]:
+    """All windows of one text, in the order of their hashes."""
+    windows = [words[a : a + LENGTH] for a in window_starts(len(words))]
+    return sorted(windows, key=lambda w: zlib.crc32(" ".join(w).encode("utf-8", "replace")))
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, doc_id: str = "doc_id", text: str = "text"
 ) -> Network:
-    """Learns from at most ``bound`` documents of each label and ``WINDOWS`` windows of each of them.
+    """Learns from all windows of at most ``bound`` documents of each label; the driver holds their words.
 
     A label names a text, not a window. The window of a toxic text is first the
     one with the word that most prefers toxic texts; in later rounds it is the
@@ -291,14 +287,14 @@ def fit(
     are added. Without labels of both kinds all scores are 0.5 or the one label.
     """
 
-    @F.arrow_udf("array<string>")
-    def chosen(texts: pa.Array) -> pa.Array:
-        return pa.array([_windows_of(t or "") for t in texts.to_pylist()], pa.list_(pa.string()))
+    @F.arrow_udf("string")
+    def cores(texts: pa.Array) -> pa.Array:
+        return pa.array([" ".join(map(word_core, (t or "").split())) for t in texts.to_pylist()], pa.string())
 
     rows = training_rows(docs, labels, "toxic", bound, doc_id=doc_id, columns=(text,))
-    sample = rows.select("doc_id", "label", chosen(F.col(f"`{text}`")).alias("windows")).collect()
+    sample = rows.select("doc_id", "label", cores(F.col(f"`{text}`")).alias("words")).collect()
     sample = sorted(sample, key=lambda r: r["doc_id"])
-    return learnt([[w.split(" ") if w else [] for w in r["windows"]] for r in sample], [r["label"] for r in sample])
+    return learnt([_windows_of(r["words"].split(" ") if r["words"] else []) for r in sample], [r["label"] for r in sample])
 
 
 def learnt(texts: list[list[list[str]]], labels: list[int]) -> Network:

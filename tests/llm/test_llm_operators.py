@@ -168,6 +168,18 @@ def test_classifiers_odd_rows(spark, odd, none, labels):
     assert toxicity.with_score(none, network, name="own").count() == 0
 
 
+def test_toxicity_learns_from_every_window(spark, monkeypatch):
+    words = [f"w{i}" for i in range(2000)] + ["long" * 200] * 16
+    texts = [(i, " ".join(words), int(i % 2)) for i in range(1, 40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "learnt", lambda windows, labels: seen.extend(zip(labels, windows)))
+    toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    want = sorted(words[a : a + toxicity.LENGTH] for a in toxicity.window_starts(len(words)))
+    assert {label for label, _ in seen} == {0, 1}
+    assert all(sorted(windows) == want for _, windows in seen)
+
+
 def test_network_gradients():
     network = toxicity.Network(["a", "b"], seed=5)
     network.p = {k: v.astype(np.float64) for k, v in network.p.items()}
