@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.common import held_out
 
 
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of all documents to learn from, before any bound; never held-out ones."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
+    return known.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("label"))
+
+
+def log_odds_shift(labels: DataFrame, label: str, bound: int) -> float:
+    """Log-odds of label 1 among all documents to learn from, less those among at most ``bound`` of each label.
+
+    Added to the logit of a model of the sample, it makes scores mean the same
+    at every size; 0 below the bound, and where one label does not occur.
+    """
+    counts = {r["label"]: r["count"] for r in known_labels(labels, label).groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return 0.0
+    return math.log(counts[1] / counts[0]) - math.log(min(counts[1], bound) / min(counts[0], bound))
+
+
 def training_rows(
     docs: DataFrame, labels: DataFrame, label: str, bound: int, seed: int = 7, doc_id: str = "doc_id", columns=("text",)
 ) -> DataFrame:
@@ -18,8 +38,7 @@ def training_rows(
     of rows that share an id one is taken. The chosen ids are few by
     construction, so they are broadcast and no text of another row moves.
     """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("label"))
+    known = known_labels(labels, label)
     order = [F.xxhash64(F.lit(seed), "doc_id"), "doc_id"]
     chosen = [known.where(F.col("label") == value).orderBy(*order).limit(bound) for value in (0, 1)]
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), *[F.col(f"`{c}`") for c in columns])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.common import bounded_batches
-from tamiz.llm.labelled import training_rows
+from tamiz.llm.labelled import log_odds_shift, training_rows
 
 WORD_BUCKETS = 1 << 13
 FACTORS = 8
@@ -91,7 +91,7 @@ class FactorisationMachine:
         return float(1 / (1 + np.exp(-np.clip(self.logit(index, value), -30, 30))))
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 2):
-        """Logistic loss, AdaGrad over batches; each class weighs as often as it occurs."""
+        """Logistic loss, AdaGrad over batches; each class weighs as often as it occurs in ``rows``."""
         if not len(rows):
             return self
         share = np.clip(labels.mean(), 0.01, 0.99)
@@ -138,6 +138,8 @@ def fit(
 ) -> FactorisationMachine:
     """Learns from at most ``bound`` documents of each label; features are made where the texts are.
 
+    The bias is moved to the shares of the labels among all documents to learn
+    from, so scores do not shift where the bound cuts one label more.
     Without labels every score is 0.5; with labels of one kind it is near that label.
     """
     model = FactorisationMachine(WORD_BUCKETS + BINS * (STATISTICS + len(metadata)))
@@ -152,7 +154,9 @@ def fit(
     vector = sparse(F.col(f"`{text}`"), *[F.col(f"`{m}`").cast("double") for m in metadata])
     sample = sorted(rows.select("doc_id", "label", vector.alias("x")).collect(), key=lambda r: r["doc_id"])
     vectors = [(np.array(r["x"]["index"]), np.array(r["x"]["value"])) for r in sample]
-    return model.fit(vectors, np.array([r["label"] for r in sample], float))
+    model.fit(vectors, np.array([r["label"] for r in sample], float))
+    model.bias += log_odds_shift(known, "quality", bound)
+    return model
 
 
 def with_score(

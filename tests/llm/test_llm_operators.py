@@ -143,6 +143,16 @@ def test_held_out_accuracy(spark, name, label):
     assert np.mean([r.predicted == r[label] for r in rows]) > (0.93 if label == "quality" else 0.85)
 
 
+def test_quality_scores_do_not_shift_with_the_bound(spark):
+    rows = [(i, f"some words about nothing {i % 7}", int(i % 10 != 0)) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    means = []
+    for bound in (200, 5000):
+        model = quality_classifier.fit(docs.select("doc_id", "text"), docs.select("doc_id", "quality"), bound=bound)
+        means.append(quality_classifier.with_score(docs, model, name="own").agg(F.avg("own")).first()[0])
+    assert all(abs(m - 0.9) < 0.04 for m in means), means
+
+
 def test_factorisation_identity():
     model = quality_classifier.FactorisationMachine(50, seed=3)
     model.w = np.random.default_rng(1).normal(size=50)
