@@ -44,6 +44,8 @@ HOT = 100_000
 BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
 CHUNK = 1 << 19
+#: Surroundings compared at once.
+PART = 1 << 15
 #: Hash buckets for each bucket of documents; they hold expanded surroundings, so they are smaller.
 FINER = 2
 U64 = np.uint64
@@ -98,6 +100,13 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(hashes)
 
 
+def up_to(place: np.ndarray, before: int) -> np.ndarray:
+    """Each number of the ranges [place - before, place] once, ascending; ``place`` ascends, none below 0."""
+    begin = np.maximum(place - before, np.concatenate(([0], place[:-1] + 1)))
+    count = place - begin + 1
+    return np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
+
+
 class Bucket:
     """The texts of a bucket one after another, in the order (doc_id, row); null ids come last."""
 
@@ -132,8 +141,8 @@ class Bucket:
         right, left = self.starts[doc + 1] - place, np.minimum(place - self.starts[doc], before)
         steps = np.concatenate((np.arange(SPAN), -1 - np.arange(BEFORE)))
         out = np.empty((len(place), CONTEXT), np.uint8)
-        for k in range(0, len(place), 1 << 16):
-            part = slice(k, k + (1 << 16))
+        for k in range(0, len(place), 1 << 13):
+            part = slice(k, k + (1 << 13))
             at = place[part, None] + steps
             there = np.concatenate(
                 (steps[:SPAN] < right[part, None], -1 - steps[SPAN:] < left[part, None]), axis=1
@@ -147,6 +156,19 @@ def reach(contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (contexts[:, SPAN:] != 0).sum(axis=1), (contexts[:, :SPAN] != 0).sum(axis=1)
 
 
+def merged(place: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First places and distinct contexts of at least ``SPAN`` bytes, and the spans of the other places."""
+    left, right = reach(contexts)
+    enough = left + right >= SPAN
+    place, contexts, left, right = place[enough], contexts[enough], left[enough], right[enough]
+    text = contexts.view(f"S{CONTEXT}").ravel()
+    by_text = np.lexsort((place, text))
+    new = np.ones(len(place), bool)
+    new[1:] = text[by_text][1:] != text[by_text][:-1]
+    first, again = by_text[new], by_text[~new]
+    return place[first], contexts[first], np.stack((place[again] - left[again], place[again] + right[again]))
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     import zstandard
 
@@ -225,8 +247,7 @@ def send_contexts(docs: pa.Table, repeated: pa.Table, buckets: int) -> pa.Table:
     place, value, crowded = place[in_set], value[in_set], hot[at[in_set]] == 1
     before = np.where(crowded, 0, BEFORE)
     if crowded.any():  # each string of SPAN bytes around a crowded anchor stands for itself
-        around = np.unique((place[crowded, None] - np.arange(WINDOW)).ravel())
-        around = around[around >= 0]
+        around = up_to(place[crowded], BEFORE)
         doc = bucket.doc(around)
         around = around[around + SPAN <= bucket.starts[doc + 1]]
         far = gram_hashes(bucket.data)
@@ -236,21 +257,21 @@ def send_contexts(docs: pa.Table, repeated: pa.Table, buckets: int) -> pa.Table:
         before = np.concatenate((before[~crowded], np.zeros(len(around), np.int64)))
     rows, spans = [], []
     for target, g in dealt((value % U64(buckets)).astype(np.int64), buckets):
-        contexts = bucket.contexts(place[g], before[g])
-        left, right = reach(contexts)
-        enough = left + right >= SPAN
-        g, contexts, left, right = g[enough], contexts[enough], left[enough], right[enough]
-        if not len(g):
+        parts = []
+        for k in range(0, len(g), PART):  # equal ones merge part by part, so a run of one byte stays small
+            part = g[k : k + PART]
+            *kept, again = merged(place[part], bucket.contexts(place[part], before[part]))
+            parts.append(kept)
+            spans.append(again)
+        own, contexts = map(np.concatenate, zip(*parts)) if len(parts) > 1 else parts[0]
+        if len(parts) > 1:
+            own, contexts, again = merged(own, contexts)
+            spans.append(again)
+        if not len(own):
             continue
-        text = contexts.view(f"S{CONTEXT}").ravel()
-        by_text = np.lexsort((place[g], text))
-        new = np.concatenate(([True], text[by_text][1:] != text[by_text][:-1]))
-        first, again = by_text[new], by_text[~new]
-        spans.append(np.stack((place[g[again]] - left[again], place[g[again]] + right[again])))
-        own = place[g[first]]
         doc = bucket.doc(own)
         fields = (bucket.ids[doc], bucket.rows[doc], own - bucket.starts[doc], own)
-        rows.append((target, p, 0, packed(*fields, contexts[first])))
+        rows.append((target, p, 0, packed(*fields, contexts)))
     spans = np.concatenate(spans, axis=1) if spans else np.zeros((2, 0), np.int64)
     if spans.size:
         rows.append((p, p, 1, packed(spans)))

@@ -5,11 +5,13 @@ import hashlib
 import pathlib
 import random
 import textwrap
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -473,6 +475,23 @@ def test_maximal_repeats_have_all_occurrences():
     assert repeats.prefix(b"abc", b"abd") == 2 and repeats.prefix(b"ab\0", b"ab\0") == 2
 
 
+def test_runs_of_one_byte_stay_small():
+    size = 400_000
+    docs = pa.table({"p": [0], "row": [0], "order": [1], "text": ["-" * size], "record": [None]})
+    hashes = repeats.send_hashes(docs, 1)
+    repeated = repeats.find_repeated(hashes, 100_000)
+    tracemalloc.start()
+    entries = repeats.send_contexts(docs, repeated, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * size
+    done = repeats.cut(docs, repeats.scan_suffixes(entries)).to_pylist()[0]
+    assert done["removed"] == [{"start": 1, "end": size}]
+    places = np.array([3, 4, 70, 200])
+    want = sorted({p - k for p in places.tolist() for k in range(69) if p >= k})
+    assert repeats.up_to(places, 68).tolist() == want
+
+
 def test_repeats_odd_rows(odd, none):
     short = repeats.without_repeats(odd)
     assert short.columns == odd.columns
