@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tamiz.llm import (
     decontamination,
     license_scan,
+    merkle,
     packing,
     quality_classifier,
     quality_rules,
     repeats,
+    resampling,
     sharding,
     simhash,
     token_counts,
@@ -110,6 +112,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, load(spark, sf_dir, "benchmark").select("text"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    unbroken = F.translate("text", "\n", "")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    leaf = merkle.leaf(*fields, F.col("text"))
+    leaves = docs.select(
+        "source",
+        "doc_id",
+        F.unhex(leaf).alias("digest"),
+        F.unhex(F.when(tampered, merkle.leaf(*fields, unbroken)).otherwise(leaf)).alias("changed"),
+    )
+    return merkle.proofs(leaves)
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -121,6 +143,8 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
+    "op11_resampling": op11_resampling,
+    "op13_merkle": op13_merkle,
 }
 
 _LENGTH_CLASS = " + ".join(f"CAST(n_words >= {low} AS INT)" for low in quality_rules.STRATA)
