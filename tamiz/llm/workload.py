@@ -12,6 +12,7 @@ from tamiz.llm import (
     decontamination,
     license_scan,
     merkle,
+    neighbours,
     packing,
     quality_classifier,
     quality_rules,
@@ -117,6 +118,10 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(docs, load(spark, sf_dir, "benchmark").select("text"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(load(spark, sf_dir, "embeddings"), divisor=20, k=20)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
@@ -144,6 +149,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
     "op11_resampling": op11_resampling,
+    "op12_neighbours": op12_neighbours,
     "op13_merkle": op13_merkle,
 }
 
