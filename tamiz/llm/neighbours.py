@@ -180,13 +180,18 @@ def lists_of_entries(graph: Graph, points: np.ndarray) -> list[np.ndarray]:
     return found
 
 
-def lists_of_queries(graph: Graph, points: np.ndarray) -> list[np.ndarray]:
-    """Per query all lists within ``SEARCH_RATIO``; the beam doubles until it reaches beyond."""
+def lists_of_queries(graph: Graph, points: np.ndarray, sizes: np.ndarray, least: int) -> list[np.ndarray]:
+    """Per query all lists within ``SEARCH_RATIO``, and the next ones until they hold ``least`` rows.
+
+    The beam doubles until it reaches beyond them.
+    """
     found: list = [None] * len(points)
     left, width = np.arange(len(points)), 64
     while len(left):
         ids, away = graph.near(points[left], width)
-        within = np.isfinite(away) & (away <= SEARCH_RATIO * away[:, :1])
+        held = np.where(ids >= 0, sizes[ids], 0)
+        short = np.cumsum(held, axis=1) - held < least
+        within = np.isfinite(away) & ((away <= SEARCH_RATIO * away[:, :1]) | short)
         whole = ~within[:, -1] | (ids.shape[1] == len(graph.centroids))
         for i in np.flatnonzero(whole):
             found[left[i]] = ids[i][within[i]]
@@ -256,37 +261,35 @@ def fit(entries: DataFrame, n: int, length: int, greatest: float, seed: int = 7)
     return linked_centroids(*balanced_centroids(points, lists, seed))
 
 
-def with_lists(df: DataFrame, parts_of_graph: tuple, greatest: float, queries: bool) -> DataFrame:
-    """Adds ``lists``, those an entry is in or a query reads."""
+def with_lists(df: DataFrame, parts_of_graph: tuple, place) -> DataFrame:
+    """Adds ``lists``: those that ``place`` of (graph, vectors) gives each row."""
     shared = df.sparkSession.sparkContext.broadcast(parts_of_graph)
 
-    def place(batches):
+    def add(batches):
         graph = Graph(*shared.value)
         for batch in batches:
             v = matrix(batch.column("v"))
             if not len(v):
                 continue
-            found = lists_of_queries(graph, asked(v, greatest)) if queries else lists_of_entries(graph, augmented(v, greatest))
-            listed = pa.array([f.tolist() for f in found], pa.list_(pa.int32()))
+            listed = pa.array([f.tolist() for f in place(graph, v)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, listed], names=[*batch.schema.names, "lists"])
         release_memory()
 
-    return df.mapInArrow(place, df.withColumn("lists", F.array().cast("array<int>")).schema)
+    return df.mapInArrow(add, df.withColumn("lists", F.array().cast("array<int>")).schema)
 
 
-def cells(counts: dict[int, int], lists: int) -> tuple[list[int], list[int]]:
-    """Per list its cell and over how many parts the cell is dealt.
+def cells(held: list[int]) -> tuple[list[int], list[int]]:
+    """Per list its cell, and per cell over how many parts it is dealt, from the entries in each list.
 
     Neighbouring lists (they are numbered by group) share a cell of up to ``CELL_ROWS`` entries.
     """
-    cell_of, held = [], []
-    for i in range(lists):
-        n = counts.get(i, 0)
-        if not held or held[-1] + n > CELL_ROWS:
-            held.append(0)
-        held[-1] += n
-        cell_of.append(len(held) - 1)
-    return cell_of, [max(1, -(-h // CELL_ROWS)) for h in held]
+    cell_of, full = [], []
+    for n in held:
+        if not full or full[-1] + n > CELL_ROWS:
+            full.append(0)
+        full[-1] += n
+        cell_of.append(len(full) - 1)
+    return cell_of, [max(1, -(-n // CELL_ROWS)) for n in full]
 
 
 def in_cells(df: DataFrame, cell_of: list[int], parts: list[int], crowds: list[int], queries: bool) -> DataFrame:
@@ -393,15 +396,22 @@ def nearest(
     greatest = float(norm2) ** 0.5
     graph = fit(entries, n, length, greatest, seed)
 
+    stored = with_lists(entries.select("entry", "v"), graph, lambda g, v: lists_of_entries(g, augmented(v, greatest)))
+    stored = frozen(stored, "neighbours-lists")
+    # One number per list or cell reaches the driver.
+    counted = stored.select(F.explode("lists").alias("list")).groupBy("list").count().collect()
+    held = np.zeros(len(graph[0]), np.int64)
+    for r in counted:
+        held[r["list"]] = r["count"]
+    cell_of, parts = cells(held.tolist())
+
     asking = rows.where(F.col("vec_id") % divisor == 0).select(F.col("vec_id").alias("query_id"), "v")
     # Queries with one vector are searched for once, under the least id among them.
     vectors = asking.groupBy("v").agg(F.min("query_id").alias("entry")).select("entry", "v")
-    stored = frozen(with_lists(entries.select("entry", "v"), graph, greatest, queries=False), "neighbours-lists")
-    wanted = frozen(with_lists(vectors, graph, greatest, queries=True), "neighbours-queries")
+    least = COPIES * (k + 1)  # rows among which k + 1 entries differ
+    wanted = with_lists(vectors, graph, lambda g, v: lists_of_queries(g, asked(v, greatest), held, least))
+    wanted = frozen(wanted, "neighbours-queries")
 
-    # One number per list or cell reaches the driver.
-    held = stored.select(F.explode("lists").alias("list")).groupBy("list").count()
-    cell_of, parts = cells({r["list"]: r["count"] for r in held.collect()}, len(graph[0]))
     number = df.sparkSession.createDataFrame(list(enumerate(cell_of)), "list int, cell int")
     readers = wanted.select("entry", F.explode("lists").alias("list")).join(F.broadcast(number), "list")
     readers = readers.select("entry", "cell").distinct().groupBy("cell").count()

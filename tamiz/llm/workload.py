@@ -24,6 +24,7 @@ from tamiz.llm import (
     toxicity,
 )
 from tamiz.llm.common import frozen, held_out, load, words
+from tamiz.llm.oracles import MERKLE_SQL, RESAMPLING_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,4 +262,10 @@ SELECT doc_id, CASE WHEN line = 0 THEN 'text' ELSE 'line' END AS scope, line, li
 FROM canon JOIN known USING (c) WHERE c <> ''
 """
 
-LLM_ORACLES: dict[str, str] = {"op3_license_scan": LICENSE_SQL, "op5_quality_rules": RULES_SQL, "op9_decontamination": CONTAINED_SQL}
+LLM_ORACLES: dict[str, str] = {
+    "op3_license_scan": LICENSE_SQL,
+    "op5_quality_rules": RULES_SQL,
+    "op9_decontamination": CONTAINED_SQL,
+    "op11_resampling": RESAMPLING_SQL,
+    "op13_merkle": MERKLE_SQL,
+}
