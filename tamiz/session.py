@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "tamiz") -> SparkSession:
@@ -36,3 +36,10 @@ def scratch_dir(spark: SparkSession, prefix: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         return tempfile.mkdtemp(prefix=f"{prefix}-")
     return f"{shared.rstrip('/')}/{prefix}-{os.urandom(8).hex()}"
+
+
+def written(df: DataFrame, prefix: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared scratch folder and read again."""
+    path = f"{scratch_dir(df.sparkSession, prefix)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

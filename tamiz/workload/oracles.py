@@ -869,3 +869,26 @@ ORACLES["before_after"] = messy_oracle(CLEAN_TABLE + union([
     ],
     f"""SELECT {q(METRICS[-1])}, 0, CAST((SELECT sum(filas_afectadas) FROM ({LOG_SQL})) AS BIGINT)""",
 ]))
+
+# --- similar texts ------------------------------------------------------------------------
+
+# All pairs of classes that have any shingle in common, counted.
+SIMILAR = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g'), ' '),
+    lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5
+    THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words
+), classes AS (SELECT s, min(doc_id) AS clase, CAST(len(s) AS INT) AS n FROM sets GROUP BY s
+), tokens AS (SELECT clase, n, unnest(s) AS t FROM classes
+), pairs AS (
+  SELECT a.clase AS clase_a, b.clase AS clase_b, CAST(count(*) AS INT) AS comunes, a.n AS tamano_a, b.n AS tamano_b
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.clase < b.clase
+  GROUP BY a.clase, b.clase, a.n, b.n HAVING 10 * count(*) >= 8 * (a.n + b.n - count(*))
+)"""
+ORACLES["similar_pairs"] = f"{SIMILAR} SELECT * FROM pairs"
+ORACLES["similar_texts"] = f"""{SIMILAR}
+SELECT doc_id, clase, (SELECT count(*) FROM pairs WHERE clase IN (clase_a, clase_b)) AS enlaces
+FROM sets JOIN classes USING (s)"""

@@ -16,7 +16,7 @@ from tamiz.functions.text import (
     unaccented,
     words_with_letter,
 )
-from tamiz.operators import consistency, duplicates, frequency, patterns, profile, variants
+from tamiz.operators import consistency, duplicates, frequency, patterns, profile, similarity, variants
 from tamiz.plans import cleaning as C
 from tamiz.plans import diagnostics as D
 from tamiz.plans import registry as R
@@ -361,6 +361,12 @@ QUERIES: dict[str, Query] = {
     ),
     "spelling_groups_part": on_table("part", part_spellings),
     "fuzzy_pairs": on_table("part", near_part_names),
+    "similar_pairs": lambda spark, sf_dir: similarity.similar_pairs(
+        table(spark, sf_dir, "documents"), "doc_id", "text"
+    ),
+    "similar_texts": lambda spark, sf_dir: similarity.similar_texts(
+        table(spark, sf_dir, "documents"), "doc_id", "text"
+    ),
     # consistency
     "fd_violations_registry": on_messy(D.diagnostico_codigo),
     "fd_violations_events": on_table("events", event_dependencies),
