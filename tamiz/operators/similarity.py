@@ -7,11 +7,11 @@ Texts with one set form a class, so copies are compared once. Of a set
 of n shingles, put in one order for all sets, the first
 ``n - ceil(least * n) + 1`` are its keys: sets that are alike share a key.
 The order is that of a hash, but shingles that more than ``common`` sets would have
-as a key come last, so a passage that many texts share is a key of
-those texts alone that hold little else. Pairs that meet at a key pass a length
+as a key come last (found in one round over all sets), so a passage that many
+texts share is a key of those texts alone that hold little else. Pairs that meet at a key pass a length
 filter and a bitmap filter (a bit that one set has alone is a shingle that the
 other lacks); neither rejects a pair that is alike. The sets of the pairs left
-are made once more and compared. No pair is lost, whatever ``common`` is.
+are compared. No pair is lost, whatever ``common`` is.
 
 Null and blank texts have no shingles: they form one class, alike to none. A
 text shorter than a shingle is one shingle. Shingles are compared by 64-bit
@@ -59,43 +59,21 @@ def shingles(words: Column, n: int) -> Column:
     return F.array_sort(F.array_distinct(F.when(last >= 0, windows).otherwise(few)))
 
 
-def sets_of(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(key, set, tamano) of every text."""
-    listed = df.select(F.col(key).alias("key"), word_list(F.col(text)).alias("_words"))
-    found = listed.select("key", shingles(F.col("_words"), words).alias("set"))
-    return found.select("key", "set", F.size("set").alias("tamano"))
-
-
 def key_count(size: Column, least: float) -> Column:
     """How many shingles of a set are its keys."""
     return (size - F.ceil(F.lit(least) * size - 1e-9) + 1).cast("int")
 
 
-def _bitmap_word(tokens: Column, w: int) -> Column:
-    """Word ``w`` of the bitmap: a bit for every shingle that falls into it."""
-
-    def with_bit(word: Column, token: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
-        here = F.shiftright(token, 6).bitwiseAND(BITMAP_WORDS - 1) == w
-        return F.when(here, word.bitwiseOR(bit)).otherwise(word)
-
-    return F.aggregate(tokens, F.lit(0).cast("long"), with_bit).alias(BITMAP[w])
-
-
-def text_sets(df: DataFrame, key: str, text: str, words: int = WORDS, least: float = LEAST) -> DataFrame:
-    """(key, h1, h2, tamano, claves, bitmap), written: what the join needs of the set of every text.
-
-    ``h1, h2, tamano`` identify the set; ``claves`` are its keys in order of hash.
-    """
-    found = sets_of(df, key, text, words)
+def text_sets(df: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
+    """(key, set, h1, h2, tamano), written: the set of every text, made once; ``h1, h2, tamano`` identify it."""
+    listed = df.select(F.col(key).alias("key"), word_list(F.col(text)).alias("_words"))
+    found = listed.select("key", shingles(F.col("_words"), words).alias("set"))
     return written(
         found.select(
-            "key",
+            "*",
             F.xxhash64(F.lit(1), "set").alias("h1"),
             F.xxhash64(F.lit(2), "set").alias("h2"),
-            "tamano",
-            F.slice("set", 1, F.greatest(key_count(F.col("tamano"), least), F.lit(0))).alias("claves"),
-            *[_bitmap_word(F.col("set"), w) for w in range(BITMAP_WORDS)],
+            F.size("set").alias("tamano"),
         ),
         "similarity-sets",
     )
@@ -107,35 +85,34 @@ def text_classes(sets: DataFrame) -> DataFrame:
     return join_per_key(sets.select("key", *SET), classes, SET, "n").select("key", "clase")
 
 
-def _keys(df: DataFrame, heads: DataFrame, key: str, text: str, words: int, least: float, common: int) -> DataFrame:
+def _keys(heads: DataFrame, least: float, common: int) -> DataFrame:
     """(token, clase, tamano): the keys of every class, common shingles last."""
-    first = heads.select(F.explode("claves").alias("token"), "clase", "tamano")
-    often = first.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > common).select("token")
-    if often.isEmpty():
-        return first
-    # Shingles further back in the sets that hold common ones may be common too.
-    holders = first.join(often, "token", "left_semi").select("clase").distinct()
-    whole = _whole_sets(df, holders, key, text, words).select("clase", F.explode_outer("set").alias("token"))
-    more = whole.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > common).select("token")
-    late = written(often.unionByName(more).distinct(), "similarity-common")
+    size = key_count(F.col("tamano"), least)
+    # The outer form of explode: for the plain one the optimizer filters by a set that is made again.
+    first = heads.select(F.explode_outer(F.slice("set", 1, size)).alias("token"), "clase", "tamano")
+    late = first.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > common).select("token")
+    late = written(late, "similarity-common")
     changed = written(first.join(late, "token", "left_semi").select("clase").distinct(), "similarity-changed")
-    again = _whole_sets(df, changed, key, text, words)
-    again = again.select("clase", "tamano", F.explode_outer("set").alias("token")).distinct().join(late.withColumn("late", F.lit(1)), "token", "left").fillna(0, ["late"])
-    ordered = again.groupBy("clase", "tamano").agg(F.array_sort(F.collect_list(F.struct("late", "token"))).alias("set"))
-    anew = ordered.select(
-        F.explode(F.slice("set.token", 1, key_count(F.col("tamano"), least))).alias("token"), "clase", "tamano"
-    )
+    again = heads.join(changed, "clase", "left_semi")
+    moved = again.select("clase", F.explode_outer("set").alias("token")).join(late, "token", "left_semi")
+    moved = moved.groupBy("clase").agg(F.array_sort(F.collect_set("token")).alias("late"))
+    ordered = F.concat(F.array_except("set", "late"), F.col("late"))
+    anew = again.join(moved, "clase").select(F.slice(ordered, 1, size).alias("set"), "clase", "tamano")
+    anew = anew.select(F.explode_outer("set").alias("token"), "clase", "tamano")
     return first.join(changed, "clase", "left_anti").select("token", "clase", "tamano").unionByName(anew)
 
 
-def _whole_sets(df: DataFrame, chosen: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(clase, set, tamano) of the classes in ``chosen`` (clase); of other texts no set is made.
-
-    To be taken apart by the outer form of explode: for the plain one the optimizer
-    puts a filter on the set below the join, which splits the text for every window.
-    """
-    texts = df.select(F.col(key).alias("clase"), F.col(text).alias("_text")).join(chosen, "clase", "left_semi")
-    return sets_of(texts, "clase", "_text", words).withColumnRenamed("key", "clase")
+def _bitmaps(heads: DataFrame) -> DataFrame:
+    """(clase, b0, ...): for every shingle of a class one bit of 64 * BITMAP_WORDS. A task sends one row per class."""
+    place = F.col("token").bitwiseAND(64 * BITMAP_WORDS - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    tokens = heads.select("clase", F.explode_outer("set").alias("token"))
+    return tokens.groupBy("clase").agg(
+        *[
+            F.coalesce(F.bit_or(F.when(F.shiftright(place, 6) == w, bit)), F.lit(0)).cast("long").alias(name)
+            for w, name in enumerate(BITMAP)
+        ]
+    )
 
 
 def _only(a: str, b: str) -> Column:
@@ -158,18 +135,16 @@ def similar_pairs(
 
     ``sets`` is the result of `text_sets` if it is there already.
     """
-    sets = text_sets(df, key, text, words, least) if sets is None else sets
-    # Rows with one set are equal but for the key.
-    same = [F.first(c).alias(c) for c in ("claves", *BITMAP)]
-    heads = written(
-        sets.where("tamano > 0").groupBy(*SET).agg(F.min("key").alias("clase"), *same).drop("h1", "h2"),
-        "similarity-classes",
-    )
-    keys = _keys(df, heads, key, text, words, least, common)
+    sets = text_sets(df, key, text, words) if sets is None else sets
+    copies = text_classes(sets).where("key <> clase").select("key").distinct()
+    copies = written(copies, "similarity-copies")
+    heads = sets.where("tamano > 0").join(copies, "key", "left_anti")
+    heads = heads.select(F.col("key").alias("clase"), "set", "tamano")
     # Most keys have one holder: they go before anything is joined to them.
-    shared = keys.withColumn("n", F.count("*").over(Window.partitionBy("token"))).where("n > 1").drop("n")
-    shared = shared.join(heads.select("clase", *BITMAP), "clase")
-    a, b = shared.alias("a"), shared.alias("b")
+    keys = _keys(heads, least, common).withColumn("n", F.count("*").over(Window.partitionBy("token")))
+    shared = written(keys.where("n > 1").drop("n"), "similarity-shared")
+    marked = shared.join(_bitmaps(heads.join(shared.select("clase").distinct(), "clase", "left_semi")), "clase")
+    a, b = marked.alias("a"), marked.alias("b")
     size_a, size_b = F.col("a.tamano"), F.col("b.tamano")
     most = F.least(size_a - _only("a", "b"), size_b - _only("b", "a"))
     pairs = a.join(
@@ -182,9 +157,9 @@ def similar_pairs(
         pairs.select(F.col("a.clase").alias("clase_a"), F.col("b.clase").alias("clase_b")).distinct(),
         "similarity-candidates",
     )
-    chosen = pairs.select(F.col("clase_a").alias("clase")).unionByName(pairs.select(F.col("clase_b").alias("clase")))
-    whole = written(_whole_sets(df, chosen.distinct(), key, text, words).dropDuplicates(["clase"]), "similarity-chosen")
-    one, other = (whole.select(*[F.col(c).alias(f"{c}_{x}") for c in whole.columns]) for x in "ab")
+    ends = pairs.select(F.explode(F.array("clase_a", "clase_b")).alias("clase")).distinct()
+    chosen = written(heads.join(ends, "clase", "left_semi").dropDuplicates(["clase"]), "similarity-chosen")
+    one, other = (chosen.select(*[F.col(c).alias(f"{c}_{x}") for c in chosen.columns]) for x in "ab")
     met = pairs.join(one, "clase_a").join(other, "clase_b")
     counted = met.withColumn("comunes", F.size(F.array_intersect("set_a", "set_b")))
     alike = F.col("comunes") >= least * (F.col("tamano_a") + F.col("tamano_b") - F.col("comunes")) - 1e-6
@@ -195,7 +170,7 @@ def similar_texts(
     df: DataFrame, key: str, text: str, words: int = WORDS, least: float = LEAST, common: int = COMMON
 ) -> DataFrame:
     """(key, clase, enlaces) of every row: its class and how many other classes are alike to it."""
-    sets = text_sets(df, key, text, words, least)
+    sets = text_sets(df, key, text, words)
     pairs = similar_pairs(df, key, text, words, least, common, sets)
     ends = F.explode(F.array("clase_a", "clase_b")).alias("clase")
     links = pairs.select(ends).groupBy("clase").agg(F.count("*").alias("enlaces"))

@@ -34,7 +34,7 @@ def test_duplicate_rows_same_with_and_without_heavy_keys(skewed, heavy_rows):
 
 
 def test_heavy_keys_limit_does_not_lose_rows(skewed, monkeypatch):
-    monkeypatch.setattr(skew, "HEAVY_KEYS", 1)
+    monkeypatch.setattr(duplicates, "HEAVY_KEYS", 1)
     got = duplicates.duplicate_rows(skewed, ["k", "v"], heavy_rows=2).collect()
     assert {r.id: r.copias for r in got} == expected_copies(skewed.collect())
 
@@ -185,3 +185,58 @@ def test_examples_without_lineage_follow_reading_order(messy):
                   D.direccion_redundante, D.direccion_contaminada):
         assert "_orden" not in build(bare).columns and build(bare).count() > 0
     assert D.inventario_escritura(bare, "DIRECTOR").count() == len(R.WRITING_PATTERNS)
+
+
+# --- verified duplicates ----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    """1,000 rows of which 990 are unique, nulls and blanks among them, with columns named like inner ones."""
+    return spark.range(1000).select(
+        "id",
+        F.when(F.col("id") >= 990, F.lit("same")).when(F.col("id") % 10 == 0, None).otherwise(F.concat(F.lit("t"), "id")).alias("t"),
+        F.when(F.col("id") >= 995, F.lit("")).when(F.col("id") >= 990, None).otherwise(F.col("id").cast("string")).alias("copias"),
+        F.lit(1).alias("_h1"),
+        F.lit(2).alias("_value"),
+        F.lit(3).alias("_bitmap"),
+    )
+
+
+@pytest.mark.parametrize("bits", [8, 1 << 20])
+@pytest.mark.parametrize("heavy_rows", [2, None])
+def test_verified_duplicates(wide, bits, heavy_rows):
+    """With a filter that lets nearly all rows pass, and with one that drops all unique ones."""
+    got = duplicates.duplicate_rows(wide, ["t", "copias"], heavy_rows=heavy_rows, bits=bits)
+    assert got.columns == [*wide.columns, "copias_"]
+    assert sorted((r.id, r.copias_) for r in got.collect()) == [(i, 10) for i in range(990, 1000)]
+    assert duplicates.duplicate_count(wide, ["t", "copias"], bits=bits).first() == (10, 1)
+
+
+@pytest.mark.parametrize("heavy_rows", [2, None])
+def test_values_with_one_fingerprint_stay_apart(skewed, monkeypatch, heavy_rows):
+    """Every row has the same fingerprint: only the values can tell them apart."""
+    monkeypatch.setattr(duplicates, "digest", lambda *columns: [F.lit(7).cast("long"), F.lit(8).cast("long")])
+    got = duplicates.duplicate_rows(skewed, ["k", "v"], heavy_rows=heavy_rows).collect()
+    assert {r.id: r.copias for r in got} == expected_copies(skewed.collect())
+    assert len(got) == len(expected_copies(skewed.collect()))
+    counted = duplicates.duplicate_count(skewed, ["k", "v"]).first()
+    assert counted.filas_duplicadas == len(got)
+
+
+def test_unique_rows_are_never_shuffled(wide):
+    """Unique rows end at the filter, which is broadcast: what moves are fingerprints and repeated rows."""
+    rows, names = duplicates.repeated_rows(wide, ["t", "copias"])
+    assert rows.count() == 10
+    lines = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line)
+    fork = lines[join + 1].index(":-")
+    probe = [line for line in lines[join + 1 :] if line[fork] == ":"]
+    probe = probe[: next((i for i, line in enumerate(probe) if line[fork] == "+"), len(probe))]
+    assert probe and not any("Exchange" in line for line in probe)
+
+
+def test_no_duplicates_and_no_rows(wide):
+    for df in (wide.where("id < 990"), wide.limit(0)):
+        assert duplicates.duplicate_rows(df, ["t", "copias"]).count() == 0
+        assert duplicates.duplicate_count(df, ["t", "copias"]).first() == (0, 0)

@@ -79,8 +79,9 @@ def test_empty_table_and_repeated_rows(spark, texts):
 def test_bitmap_never_rejects_and_prunes(spark):
     """The bound behind the bitmap filter is at least the true overlap, and low for sets far apart."""
     df = spark.createDataFrame([(1, " ".join(f"a{i}" for i in range(150))), (2, " ".join(f"a{i}" if i % 9 else f"b{i}" for i in range(150)))], "k long, text string")
-    sets = similarity.text_sets(df, "k", "text")
-    a, b = sets.where("key = 1").alias("a"), sets.where("key = 2").alias("b")
+    sets = similarity.text_sets(df, "k", "text").withColumnRenamed("key", "clase")
+    marked = similarity._bitmaps(sets).join(sets, "clase")
+    a, b = marked.where("clase = 1").alias("a"), marked.where("clase = 2").alias("b")
     most = F.least(F.col("a.tamano") - similarity._only("a", "b"), F.col("b.tamano") - similarity._only("b", "a"))
     bound = a.crossJoin(b).select(most).first()[0]
     x, y = (shingle_set(t) for _, t in df.collect())
