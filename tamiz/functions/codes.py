@@ -24,6 +24,7 @@ DISTRICT_FORMATS = {
     "formato corto NN-NNN": r"\d{2}-\d{3}",
     "formato extendido NN-NN-NNNN": r"\d{2}-\d{2}-\d{4}",
 }
+DISTRICT_CLASSES = ("vacio", *DISTRICT_FORMATS, "otro formato")
 CAPITAL = "CIUDAD CAPITAL"
 SAME, ACCENTS_ONLY = "coincidencia exacta", "solo difiere por tildes"
 SUBDIVISION, OTHER_RELATION = "subdivision administrativa", "otra relacion"

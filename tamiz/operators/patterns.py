@@ -8,13 +8,38 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamiz.functions.text import digest, percentage
+from tamiz.functions.text import percentage
 from tamiz.operators.profile import unpivot_metrics
-from tamiz.operators.skew import BROADCAST_ROWS
 
 EXAMPLE_SEPARATOR = " ¦ "
 
 
+#: Hash buckets of the values of a label, in each of which a task keeps the first place alone.
+PLACES = 64
+#: Bits of a record number in the order key; file numbers take the others.
+RECORD_BITS = 41
+
+
+def ordered_by_key(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` with ``_key``, a long that sorts like the columns ``order``; nulls come first.
+
+    A number is its own key. Of (file name, record number) the file is
+    numbered: the names are as few as the files that the driver lists for
+    the scan, so they are broadcast. Other orders cost a sort of the table.
+    """
+    types = dict(df.dtypes)
+    integral = [types.get(c) in ("tinyint", "smallint", "int", "bigint") for c in order]
+    if integral == [True]:
+        return df.withColumn("_key", F.coalesce(F.col(order[0]).cast("long"), F.lit(-(1 << 63))))
+    if integral == [False, True] and types.get(order[0]) == "string":
+        names = df.select(F.col(order[0]).alias("_name")).distinct()
+        numbered = names.withColumn("_file", F.row_number().over(Window.orderBy(F.asc_nulls_first("_name"))))
+        placed = df.join(F.broadcast(numbered), F.col(order[0]).eqNullSafe(F.col("_name")))
+        record = F.coalesce(F.col(order[1]).cast("long"), F.lit(-1).cast("long"))
+        return placed.withColumn("_key", F.shiftleft(F.col("_file").cast("long"), RECORD_BITS) + record)
+    return df.orderBy(*[F.asc_nulls_first(c) for c in order]).withColumn("_key", F.monotonically_increasing_id())
+
+
 def first_examples(
     df: DataFrame,
     labels: Column,
@@ -23,48 +48,33 @@ def first_examples(
     n: int,
     separator: str = EXAMPLE_SEPARATOR,
     name: str = "etiqueta",
-    long_values: bool = False,
     label_count: int | None = None,
 ) -> DataFrame:
     """First n distinct values per label, in row order, joined to one text.
 
     `labels` is an array column with the labels of a row; null entries do not
-    count. Copies of a value are merged map-side; every task then forwards at most n values per label
-    (WindowGroupLimit), so a frequent label never gathers its rows.
+    count. The first pass keeps, for each task, label and hash bucket of the
+    values, the place of the first row alone: numbers, and as many whatever the
+    data. The n-th least place of a label is as far as its examples can lie.
+    The second pass takes the rows up to there; only their values move.
 
-    `long_values` keeps long texts out of the shuffles: fingerprints travel,
-    and the texts of the chosen rows (n per label) are read in a second scan
-    by a join with that table. It needs `order` to identify a row. The table is
-    broadcast if `label_count`, the fixed number of labels, makes it small.
+    The places are broadcast if `label_count`, the fixed number of labels, is given.
     """
-    source = df.select(*order, value.alias("_value"), labels.alias("_labels"))
-    identity = digest(F.col("_value")) if long_values else [F.col("_value")]
-    keys = [F.col(c) for c in ("h1", "h2")] if long_values else [F.col("_value")]
+    base = ordered_by_key(df.withColumns({"_value": value, "_labels": labels}), order)
     # The outer form and a null test after it: for a plain explode the optimizer
     # adds a filter on the array's size, which would run all patterns twice.
-    tagged = source.select(F.explode_outer("_labels").alias(name), *order, *identity).where(
-        F.col(name).isNotNull()
-    )
-    position = F.min(F.struct(*order) if len(order) > 1 else F.col(order[0]))
-    firsts = tagged.groupBy(name, *keys).agg(position.alias("_first"))
-    ranked = (
-        firsts.withColumn(
-            "_rank", F.row_number().over(Window.partitionBy(name).orderBy("_first", *keys))
-        )
-        .where(F.col("_rank") <= n)
-    )
-    if long_values:
-        place = [F.col("_first")[c] if len(order) > 1 else F.col("_first") for c in order]
-        chosen = ranked.select(
-            name, "_rank", *[p.alias(c) for p, c in zip(place, order)]
-        )
-        if label_count is not None and n * label_count <= BROADCAST_ROWS:
-            chosen = F.broadcast(chosen)
-        ranked = df.select(*order, value.alias("_value")).join(chosen, order)
+    tagged = base.select(F.explode_outer("_labels").alias(name), "_key", "_value").where(F.col(name).isNotNull())
+    bucket = F.pmod(F.xxhash64("_value"), F.lit(PLACES)).alias("_bucket")
+    places = tagged.groupBy(name, bucket).agg(F.min("_key").alias("_place"))
+    until = places.groupBy(name).agg(F.get(F.array_sort(F.collect_list("_place")), F.lit(n - 1)).alias("_until"))
+    if label_count is not None:
+        until = F.broadcast(until)
+    near = tagged.join(until, name).where(F.col("_until").isNull() | (F.col("_key") <= F.col("_until")))
+    firsts = near.groupBy(name, "_value").agg(F.min("_key").alias("_first"))
+    rank = F.row_number().over(Window.partitionBy(name).orderBy("_first", "_value"))
+    ranked = firsts.withColumn("_rank", rank).where(F.col("_rank") <= n)
     ordered = F.array_sort(F.collect_list(F.struct("_rank", "_value")))
-    return ranked.groupBy(name).agg(
-        F.array_join(ordered["_value"], separator).alias("ejemplos")
-    )
+    return ranked.groupBy(name).agg(F.array_join(ordered["_value"], separator).alias("ejemplos"))
 
 
 def pattern_inventory(
@@ -78,7 +88,6 @@ def pattern_inventory(
     scope: Column | None = None,
     with_percentage: bool = True,
     with_examples: bool = True,
-    long_values: bool = False,
 ) -> DataFrame:
     """Cells, share and examples per pattern; zero-count patterns stay.
 
@@ -105,8 +114,7 @@ def pattern_inventory(
     if with_examples:
         labels = F.array(*[F.when(F.col(names[k]), F.lit(k)) for k in flags])
         examples = first_examples(
-            flagged, labels, F.col("texto"), order, n, name=label,
-            long_values=long_values, label_count=len(flags),
+            flagged, labels, F.col("texto"), order, n, name=label, label_count=len(flags),
         )
         # One row per pattern on both sides.
         table = table.join(F.broadcast(examples), label, "left").withColumn(

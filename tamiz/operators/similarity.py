@@ -9,8 +9,10 @@ of n shingles, put in one order for all sets, the first
 The order is that of a hash, but shingles that more than ``common`` sets would have
 as a key come last (found in one round over all sets), so a passage that many
 texts share is a key of those texts alone that hold little else. Pairs that meet at a key pass a length
-filter and a bitmap filter (a bit that one set has alone is a shingle that the
-other lacks); neither rejects a pair that is alike. The sets of the pairs left
+filter, a bitmap filter (a bit that one set has alone is a shingle that the
+other lacks) and one on the number of keys at which they meet (a key that the
+other lacks, though its keys go as far, is a shingle that it lacks); none
+rejects a pair that is alike. The sets of the pairs left
 are compared. No pair is lost, whatever ``common`` is.
 
 Null and blank texts have no shingles: they form one class, alike to none. A
@@ -85,8 +87,11 @@ def text_classes(sets: DataFrame) -> DataFrame:
     return join_per_key(sets.select("key", *SET), classes, SET, "n").select("key", "clase")
 
 
-def _keys(heads: DataFrame, least: float, common: int) -> DataFrame:
-    """(token, clase, tamano): the keys of every class, common shingles last."""
+def _keys(heads: DataFrame, least: float, common: int) -> tuple[DataFrame, DataFrame]:
+    """(token, clase, tamano), the keys of every class, common shingles last; and (clase, tarde, ultimo), its last key.
+
+    ``tarde`` says whether the last key is a common one.
+    """
     size = key_count(F.col("tamano"), least)
     # The outer form of explode: for the plain one the optimizer filters by a set that is made again.
     first = heads.select(F.explode_outer(F.slice("set", 1, size)).alias("token"), "clase", "tamano")
@@ -96,10 +101,17 @@ def _keys(heads: DataFrame, least: float, common: int) -> DataFrame:
     again = heads.join(changed, "clase", "left_semi")
     moved = again.select("clase", F.explode_outer("set").alias("token")).join(late, "token", "left_semi")
     moved = moved.groupBy("clase").agg(F.array_sort(F.collect_set("token")).alias("late"))
-    ordered = F.concat(F.array_except("set", "late"), F.col("late"))
-    anew = again.join(moved, "clase").select(F.slice(ordered, 1, size).alias("set"), "clase", "tamano")
-    anew = anew.select(F.explode_outer("set").alias("token"), "clase", "tamano")
-    return first.join(changed, "clase", "left_anti").select("token", "clase", "tamano").unionByName(anew)
+    early = F.array_except("set", "late")
+    anew = again.join(moved, "clase").select(
+        "clase", "tamano", (F.size(early) < size).alias("tarde"), F.slice(F.concat(early, F.col("late")), 1, size).alias("set")
+    )
+    anew = written(anew, "similarity-keys")
+    same = heads.join(changed, "clase", "left_anti")
+    ends = same.select("clase", F.lit(False).alias("tarde"), F.get("set", size - 1).alias("ultimo")).unionByName(
+        anew.select("clase", "tarde", F.element_at("set", -1).alias("ultimo"))
+    )
+    kept = first.join(changed, "clase", "left_anti").select("token", "clase", "tamano")
+    return kept.unionByName(anew.select(F.explode_outer("set").alias("token"), "clase", "tamano")), ends
 
 
 def _bitmaps(heads: DataFrame) -> DataFrame:
@@ -140,23 +152,32 @@ def similar_pairs(
     copies = written(copies, "similarity-copies")
     heads = sets.where("tamano > 0").join(copies, "key", "left_anti")
     heads = heads.select(F.col("key").alias("clase"), "set", "tamano")
+    keys, last = _keys(heads, least, common)
     # Most keys have one holder: they go before anything is joined to them.
-    keys = _keys(heads, least, common).withColumn("n", F.count("*").over(Window.partitionBy("token")))
+    keys = keys.withColumn("n", F.count("*").over(Window.partitionBy("token")))
     shared = written(keys.where("n > 1").drop("n"), "similarity-shared")
-    marked = shared.join(_bitmaps(heads.join(shared.select("clase").distinct(), "clase", "left_semi")), "clase")
+    held = shared.select("clase").distinct()
+    marks = _bitmaps(heads.join(held, "clase", "left_semi")).join(last, "clase")
+    marked = shared.join(marks, "clase")
     a, b = marked.alias("a"), marked.alias("b")
-    size_a, size_b = F.col("a.tamano"), F.col("b.tamano")
-    most = F.least(size_a - _only("a", "b"), size_b - _only("b", "a"))
-    pairs = a.join(
+    needed = (F.col("a.tamano") + F.col("b.tamano")) * (least / (1 + least)) - 1e-6
+    most = F.least(F.col("a.tamano") - _only("a", "b"), F.col("b.tamano") - _only("b", "a"))
+    met = a.join(
         b,
         (F.col("a.token") == F.col("b.token"))
         & (F.col("a.clase") < F.col("b.clase"))
-        & (most * (1 + least) >= least * (size_a + size_b) - 1e-6),
-    )
-    pairs = written(
-        pairs.select(F.col("a.clase").alias("clase_a"), F.col("b.clase").alias("clase_b")).distinct(),
-        "similarity-candidates",
+        & (F.least("a.tamano", "b.tamano") >= needed)
+        & (most >= needed),
     )
+    of_each = [F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in "ab" for c in ("clase", "tamano", "tarde", "ultimo")]
+    met = met.select(*of_each)
+    counted = met.groupBy(*met.columns).agg(F.count("*").alias("_met"))
+    # Of the two the class whose keys end first: all of them that the other has are keys there too.
+    first = F.struct("tarde_a", "ultimo_a") <= F.struct("tarde_b", "ultimo_b")
+    size = F.when(first, F.col("tamano_a")).otherwise(F.col("tamano_b"))
+    alone = key_count(size, least) - F.col("_met")
+    needed = (F.col("tamano_a") + F.col("tamano_b")) * (least / (1 + least)) - 1e-6
+    pairs = written(counted.where(size - alone >= needed).select("clase_a", "clase_b"), "similarity-candidates")
     ends = pairs.select(F.explode(F.array("clase_a", "clase_b")).alias("clase")).distinct()
     chosen = written(heads.join(ends, "clase", "left_semi").dropDuplicates(["clase"]), "similarity-chosen")
     one, other = (chosen.select(*[F.col(c).alias(f"{c}_{x}") for c in chosen.columns]) for x in "ab")

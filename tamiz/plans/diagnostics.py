@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.codes import (
     CAPITAL,
+    DISTRICT_CLASSES,
     NAME_CLASSES,
     SCHOOL_CODE,
     code_prefix,
@@ -21,6 +22,7 @@ from tamiz.functions.codes import (
 )
 from tamiz.functions.phone import (
     EIGHT_DIGITS,
+    PHONE_CLASSES,
     is_nonstandard_phone,
     phone_class,
     split_numbers,
@@ -109,7 +111,7 @@ def categorias_telefono(df, orden=None, ejemplos: int = 5) -> DataFrame:
     counts = detail.groupBy("categoria").agg(F.count("*").alias("cantidad"))
     examples = patterns.first_examples(
         detail, F.array("categoria"), F.col("TELEFONO"), order, ejemplos,
-        separator=" | ", name="categoria",
+        separator=" | ", name="categoria", label_count=len(PHONE_CLASSES),
     )
     # One row per class on both sides.
     return counts.join(F.broadcast(examples), "categoria", "left").orderBy(
@@ -119,14 +121,9 @@ def categorias_telefono(df, orden=None, ejemplos: int = 5) -> DataFrame:
 
 # --- free text -------------------------------------------------------------------
 
-def inventario_escritura(
-    df, columna, orden=None, textos_largos=False
-) -> DataFrame:
+def inventario_escritura(df, columna, orden=None) -> DataFrame:
     df, order = _ordered(df, orden)
-    return patterns.pattern_inventory(
-        df, _t(columna), R.predicates(R.WRITING_PATTERNS), order,
-        long_values=textos_largos,
-    )
+    return patterns.pattern_inventory(df, _t(columna), R.predicates(R.WRITING_PATTERNS), order)
 
 
 def marcadores_direccion(df, columna="DIRECCION", orden=None) -> DataFrame:
@@ -173,7 +170,7 @@ def _exclusive_cases(df, case, value, label, labels, order) -> DataFrame:
         label,
     )
     examples = patterns.first_examples(
-        df, F.array(case), F.col(value), order, 3, name=label,
+        df, F.array(case), F.col(value), order, 3, name=label, label_count=len(labels),
     )
     return table.join(F.broadcast(examples), label, "left").withColumn(
         "ejemplos", F.coalesce("ejemplos", F.lit(""))
@@ -325,7 +322,7 @@ def diagnostico_distrito(df, orden=None) -> DataFrame:
     counts = frequency.class_counts(classed, F.col("categoria"), "categoria")
     examples = patterns.first_examples(
         classed, F.array("categoria"), F.col("_valor"), order, 4,
-        separator=" | ", name="categoria",
+        separator=" | ", name="categoria", label_count=len(DISTRICT_CLASSES),
     )
     # One row per format class on both sides.
     return counts.join(F.broadcast(examples), "categoria", "left").orderBy(

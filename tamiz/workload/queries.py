@@ -148,7 +148,7 @@ def documents_first_examples(df):
         "doc_id", trimmed(c("text")).alias("texto"), F.array("source").alias("etiquetas")
     )
     return patterns.first_examples(
-        flagged, c("etiquetas"), c("texto"), ["doc_id"], 3, name="source", long_values=True,
+        flagged, c("etiquetas"), c("texto"), ["doc_id"], 3, name="source",
     )
 
 
@@ -323,7 +323,7 @@ QUERIES: dict[str, Query] = {
     # patterns
     "writing_patterns_documents": on_table(
         "documents",
-        lambda d: D.inventario_escritura(d, "text", ["doc_id"], textos_largos=True),
+        lambda d: D.inventario_escritura(d, "text", ["doc_id"]),
     ),
     "writing_patterns_registry": on_messy(
         lambda d: D.inventario_escritura(d, "ESTABLECIMIENTO")

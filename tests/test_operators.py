@@ -65,8 +65,10 @@ def test_distinct_counts(skewed):
     assert unique == {"k": len({r.k for r in rows}), "v": 2}
 
 
-@pytest.mark.parametrize("long_values", [False, True])
-def test_first_examples_are_in_row_order(spark, long_values):
+@pytest.mark.parametrize("places", [1, 64])
+@pytest.mark.parametrize("label_count", [2, None])
+def test_first_examples_are_in_row_order(spark, monkeypatch, places, label_count):
+    monkeypatch.setattr(patterns, "PLACES", places)
     df = spark.createDataFrame(
         [(i, v, [lab]) for i, (v, lab) in enumerate(
             [("c", "x"), ("a", "x"), ("c", "x"), ("b", "x"), ("d", "x"), ("q", "y"), ("q", "y")]
@@ -74,7 +76,7 @@ def test_first_examples_are_in_row_order(spark, long_values):
         "n int, v string, l array<string>",
     ).repartition(3)
     got = patterns.first_examples(
-        df, F.col("l"), F.col("v"), ["n"], 3, separator="|", name="lab", long_values=long_values
+        df, F.col("l"), F.col("v"), ["n"], 3, separator="|", name="lab", label_count=label_count
     )
     assert {r.lab: r.ejemplos for r in got.collect()} == {"x": "c|a|b", "y": "q"}
 
@@ -240,3 +242,42 @@ def test_no_duplicates_and_no_rows(wide):
     for df in (wide.where("id < 990"), wide.limit(0)):
         assert duplicates.duplicate_rows(df, ["t", "copias"]).count() == 0
         assert duplicates.duplicate_count(df, ["t", "copias"]).first() == (0, 0)
+
+
+# --- first examples ---------------------------------------------------------------------
+
+
+def first_distinct(rows, n):
+    found = {}
+    for _, value, labels in sorted(rows, key=lambda r: r[0]):
+        for label in labels:
+            if label is not None and value not in found.setdefault(label, []):
+                found[label].append(value)
+    return {label: "|".join(values[:n]) for label, values in found.items()}
+
+
+@pytest.mark.parametrize("n", [1, 3, 70])
+def test_first_examples_equal_brute_force(spark, n):
+    """A value that half of all rows hold, labels of one value, values of one bucket, more values than buckets."""
+    rows = []
+    for i in range(3000):
+        value = "hot" if i % 2 else f"v{(i * 7919) % 500}"
+        rows.append(((f"f{i % 7}", i), value, ["all", None, "odd" if i % 2 else None, f"l{i % 5}"]))
+    df = spark.createDataFrame([(*o, v, ls) for o, v, ls in rows], "f string, r long, v string, l array<string>").repartition(6)
+    got = patterns.first_examples(df, F.col("l"), F.col("v"), ["f", "r"], n, separator="|", name="lab")
+    assert {r.lab: r.ejemplos for r in got.collect()} == first_distinct(rows, n)
+
+
+def test_order_keys_sort_like_the_columns(spark):
+    rows = [(None, 5, 1.5), ("", 2, 0.1), ("a", None, 3.0), ("a", 0, None), ("ab", 7, 2.0), ("Z", 10**12, 1.0), ("é", 1, 1.0)]
+    df = spark.createDataFrame(rows, "f string, r long, x double")
+    for order in (["r"], ["f", "r"], ["x", "f"]):
+        got = [r[0] for r in patterns.ordered_by_key(df, order).orderBy("_key").select(F.struct(*order)).collect()]
+        assert got == [r[0] for r in df.orderBy(*[F.asc_nulls_first(c) for c in order]).select(F.struct(*order)).collect()]
+
+
+def test_examples_shuffle_places_only(spark, messy):
+    """No SortAggregate, and what moves before the limit is known are numbers for 64 buckets of each label."""
+    plan = D.marcadores_direccion(messy)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert "partial_min(_key" in plan
