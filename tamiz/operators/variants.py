@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.functions.text import name_key, trimmed
@@ -10,43 +10,65 @@ from tamiz.operators.distinct import distinct_counts_by
 from tamiz.operators.skew import join_per_key
 
 
+#: Spellings that the list of a group holds at most; `spelling_forms` has all of them as rows.
+FORMS = 1_000
+
+
+def _forms(df: DataFrame, value: Column, keep: Column | None, key, blank_apart: bool) -> DataFrame:
+    """(nombre, n, clave): the spellings with their rows and key.
+
+    Spellings without a letter or digit have the key ""; they have nothing in
+    common but that, so they are left out if `blank_apart`.
+    """
+    rows = df.select(value.alias("nombre"), (F.lit(True) if keep is None else keep).alias("_keep"))
+    forms = rows.where("_keep").groupBy("nombre").agg(F.count("*").alias("n"))
+    # Not nullable, or joins would repeat the key in a null filter.
+    forms = forms.withColumn("clave", F.coalesce(key(F.col("nombre")), F.lit("")))
+    return forms.where("clave <> ''") if blank_apart else forms
+
+
+def _several(forms: DataFrame) -> DataFrame:
+    return (
+        forms.groupBy("clave")
+        .agg(F.count("*").alias("escrituras"), F.sum("n").alias("registros"))
+        .where("escrituras > 1")
+    )
+
+
 def spelling_groups(
     df: DataFrame,
     value: Column,
     distinct: dict[str, Column],
     keep: Column | None = None,
     key=name_key,
+    most: int = FORMS,
+    blank_apart: bool = True,
 ) -> DataFrame:
     """Keys written in more than one way.
 
     Per key: `escrituras` spellings, one distinct count per entry of
-    `distinct`, `registros` rows and `formas`, the sorted spellings. Spellings
-    are counted first, so a key's list is made of its distinct forms, never of
-    its rows; the key is computed once per distinct spelling.
+    `distinct`, `registros` rows and `formas`, the first `most` spellings in
+    order. Keys are counted first; the spellings of those with several
+    are ranked, and each task passes on `most` of a key, so a key may have any
+    number of them. The key is computed once per distinct spelling.
     """
-    def folded(spelling: Column) -> Column:
-        # Not nullable, or the joins below would repeat it in a null filter.
-        return F.coalesce(key(spelling), F.lit(""))
-
-    rows = df.select(
-        value.alias("nombre"),
-        *[c.alias(n) for n, c in distinct.items()],
-        (F.lit(True) if keep is None else keep).alias("_keep"),
-    ).where("_keep")
-    spellings = rows.groupBy("nombre").agg(F.count("*").alias("n"))
-    groups = (
-        spellings.withColumn("clave", folded(F.col("nombre")))
-        .groupBy("clave")
-        .agg(
-            F.count("*").alias("escrituras"),
-            F.sum("n").alias("registros"),
-            F.array_sort(F.collect_list("nombre")).alias("formas"),
-        )
-        .where("escrituras > 1")
-    )
+    forms = _forms(df, value, keep, key, blank_apart)
+    several = _several(forms)
+    within = forms.join(several.select("clave"), "clave", "left_semi")
+    rank = F.row_number().over(Window.partitionBy("clave").orderBy("nombre"))
+    first = within.select("clave", "nombre").withColumn("_rank", rank).where(F.col("_rank") <= most)
+    listed = first.groupBy("clave").agg(F.array_sort(F.collect_list("nombre")).alias("formas"))
+    groups = several.join(listed, "clave")
     if distinct:
+        rows = df.select(
+            value.alias("nombre"),
+            *[c.alias(n) for n, c in distinct.items()],
+            (F.lit(True) if keep is None else keep).alias("_keep"),
+        ).where("_keep")
         counts = distinct_counts_by(
-            rows, {"clave": folded(F.col("nombre"))}, {n: F.col(n) for n in distinct}
+            rows,
+            {"clave": F.coalesce(key(F.col("nombre")), F.lit(""))},
+            {n: F.col(n) for n in distinct},
         )
         # One row per key on both sides.
         groups = groups.join(counts, "clave", "left").fillna(0, subset=list(distinct))
@@ -54,25 +76,16 @@ def spelling_groups(
 
 
 def spelling_forms(
-    df: DataFrame, value: Column, keep: Column | None = None, key=name_key
+    df: DataFrame, value: Column, keep: Column | None = None, key=name_key, blank_apart: bool = True
 ) -> DataFrame:
     """The spellings themselves: (clave, nombre, registros, escrituras) rows.
 
-    The same groups as `spelling_groups` without a list per key, for keys that
-    may have any number of forms.
+    The same groups as `spelling_groups` without a list per key: all spellings, however many a key has.
     """
-    rows = df.select(value.alias("nombre"), (F.lit(True) if keep is None else keep).alias("_keep"))
-    forms = (
-        rows.where("_keep")
-        .groupBy("nombre")
-        .agg(F.count("*").alias("registros"))
-        .withColumn("clave", F.coalesce(key(F.col("nombre")), F.lit("")))
-    )
-    several = (
-        forms.groupBy("clave").agg(F.count("*").alias("escrituras")).where("escrituras > 1")
-    )
+    forms = _forms(df, value, keep, key, blank_apart)
+    several = _several(forms).select("clave", "escrituras")
     return join_per_key(forms, several, ["clave"], "escrituras").select(
-        "clave", "nombre", "registros", "escrituras"
+        "clave", "nombre", F.col("n").alias("registros"), "escrituras"
     )
 
 

@@ -95,20 +95,40 @@ def test_spelling_groups(spark):
         [("JOSÉ", "1", "A"), ("JOSE", "2", "A"), ("JOSE", "3", None), ("ANA", "4", "B"), ("--", "5", "B"), ("..", "6", "C")],
         "n string, c string, m string",
     )
-    got = variants.spelling_groups(df, F.col("n"), {"codigos": F.col("c"), "lugares": F.col("m")}).collect()
-    assert {r.clave: (r.escrituras, r.codigos, r.lugares, r.registros, r.formas) for r in got} == {
-        "JOSE": (2, 3, 1, 3, ["JOSE", "JOSÉ"]),
-        "": (2, 2, 2, 2, ["--", ".."]),
-    }
+    distinct = {"codigos": F.col("c"), "lugares": F.col("m")}
+
+    def groups(**options):
+        got = variants.spelling_groups(df, F.col("n"), distinct, **options).collect()
+        return {r.clave: (r.escrituras, r.codigos, r.lugares, r.registros, r.formas) for r in got}
+
+    named = {"JOSE": (2, 3, 1, 3, ["JOSE", "JOSÉ"])}
+    # Names that fold to nothing are no spellings of each other.
+    assert groups() == named
+    assert groups(blank_apart=False) == named | {"": (2, 2, 2, 2, ["--", ".."])}
+    assert groups(most=1) == {"JOSE": (2, 3, 1, 3, ["JOSE"])}
 
 
 def test_spelling_forms_with_a_heavy_key(spark, monkeypatch):
     monkeypatch.setattr(skew, "HEAVY_ROWS", 2)
     df = spark.createDataFrame([("-" * i,) for i in range(1, 40)] + [("A.",), ("a",), ("B",)], "n string")
     got = variants.spelling_forms(df, F.col("n")).collect()
+    assert sorted(r.nombre for r in got) == ["A.", "a"]
+    got = variants.spelling_forms(df, F.col("n"), blank_apart=False).collect()
     assert len(got) == 41 and {r.escrituras for r in got} == {39, 2}
 
 
+def test_a_key_of_a_million_forms(spark):
+    """Its list is bounded before it is made: the window keeps the first of each task alone."""
+    marks = F.translate(F.lpad(F.col("id").cast("string"), 6, "0"), "0123456789", ".,;:!?-_()")
+    df = spark.range(1_000_000).select(F.concat(F.lit("ANA"), marks).alias("n")).union(spark.sql("SELECT 'Luz' UNION ALL SELECT 'LUZ'"))
+    groups = variants.spelling_groups(df, F.col("n"), {}, most=5)
+    assert "WindowGroupLimit" in groups._jdf.queryExecution().executedPlan().toString()
+    got = {r.clave: r for r in groups.collect()}
+    assert set(got) == {"ANA", "LUZ"}
+    assert got["ANA"].escrituras == got["ANA"].registros == 1_000_000
+    assert got["ANA"].formas == sorted(r.n for r in df.where("n LIKE 'ANA%'").orderBy("n").limit(5).collect())
+
+
 def edit_distance(a, b):
     previous = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
