@@ -13,11 +13,12 @@ filter, a bitmap filter (a bit that one set has alone is a shingle that the
 other lacks) and one on the number of keys at which they meet (a key that the
 other lacks, though its keys go as far, is a shingle that it lacks); none
 rejects a pair that is alike. The sets of the pairs left
-are compared. No pair is lost, whatever ``common`` is.
+are made once more and compared. No pair is lost, whatever ``common`` is.
 
 Null and blank texts have no shingles: they form one class, alike to none. A
 text shorter than a shingle is one shingle. Shingles are compared by 64-bit
-hash. ``key`` tells texts apart: rows that share it have one text.
+hash. ``key`` tells texts apart: rows
+that share it have one text.
 """
 
 from __future__ import annotations
@@ -66,16 +67,41 @@ def key_count(size: Column, least: float) -> Column:
     return (size - F.ceil(F.lit(least) * size - 1e-9) + 1).cast("int")
 
 
-def text_sets(df: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
-    """(key, set, h1, h2, tamano), written: the set of every text, made once; ``h1, h2, tamano`` identify it."""
+def sets_of(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(key, set, tamano) of every text. ``set`` is to be exploded by the outer form: for the plain one
+    the optimizer filters by a set that it makes again, splitting the text for every window."""
     listed = df.select(F.col(key).alias("key"), word_list(F.col(text)).alias("_words"))
     found = listed.select("key", shingles(F.col("_words"), words).alias("set"))
+    return found.select("key", "set", F.size("set").alias("tamano"))
+
+
+def _bitmap_word(tokens: Column, w: int) -> Column:
+    """Word ``w`` of the bitmap of a set: a bit for every shingle that falls into it."""
+
+    def with_bit(word: Column, token: Column) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
+        here = F.shiftright(token, 6).bitwiseAND(BITMAP_WORDS - 1) == w
+        return F.when(here, word.bitwiseOR(bit)).otherwise(word)
+
+    return F.aggregate(tokens, F.lit(0).cast("long"), with_bit).alias(BITMAP[w])
+
+
+def text_sets(df: DataFrame, key: str, text: str, words: int = WORDS, least: float = LEAST) -> DataFrame:
+    """(key, h1, h2, tamano, inicio, bitmap), written: what the join keeps of the set of every text.
+
+    ``h1, h2, tamano`` identify the set. ``inicio`` is its begin in order of hash: the
+    keys and some more, which follow where keys are common.
+    """
+    spare = (F.col("tamano") / 20 + 8).cast("int")
+    found = sets_of(df, key, text, words)
     return written(
         found.select(
-            "*",
+            "key",
             F.xxhash64(F.lit(1), "set").alias("h1"),
             F.xxhash64(F.lit(2), "set").alias("h2"),
-            F.size("set").alias("tamano"),
+            "tamano",
+            F.slice("set", 1, key_count(F.col("tamano"), least) + spare).alias("inicio"),
+            *[_bitmap_word(F.col("set"), w) for w in range(BITMAP_WORDS)],
         ),
         "similarity-sets",
     )
@@ -87,44 +113,49 @@ def text_classes(sets: DataFrame) -> DataFrame:
     return join_per_key(sets.select("key", *SET), classes, SET, "n").select("key", "clase")
 
 
-def _keys(heads: DataFrame, least: float, common: int) -> tuple[DataFrame, DataFrame]:
-    """(token, clase, tamano), the keys of every class, common shingles last; and (clase, tarde, ultimo), its last key.
+def _whole_sets(df: DataFrame, chosen: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(clase, set, tamano) of the classes in ``chosen`` (clase); of other texts no set is made."""
+    texts = df.select(F.col(key).alias("clase"), F.col(text).alias("_text")).join(chosen, "clase", "left_semi")
+    return sets_of(texts, "clase", "_text", words).withColumnRenamed("key", "clase")
+
+
+def _keys(
+    df: DataFrame, heads: DataFrame, key: str, text: str, words: int, least: float, common: int
+) -> DataFrame:
+    """(clase, tamano, claves, tarde): the keys of every class, common shingles last.
 
-    ``tarde`` says whether the last key is a common one.
+    ``tarde`` says whether the last of them is a common one.
     """
     size = key_count(F.col("tamano"), least)
-    # The outer form of explode: for the plain one the optimizer filters by a set that is made again.
-    first = heads.select(F.explode_outer(F.slice("set", 1, size)).alias("token"), "clase", "tamano")
+    first = heads.select(F.explode_outer(F.slice("inicio", 1, size)).alias("token"))
     late = first.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > common).select("token")
     late = written(late, "similarity-common")
-    changed = written(first.join(late, "token", "left_semi").select("clase").distinct(), "similarity-changed")
-    again = heads.join(changed, "clase", "left_semi")
-    moved = again.select("clase", F.explode_outer("set").alias("token")).join(late, "token", "left_semi")
-    moved = moved.groupBy("clase").agg(F.array_sort(F.collect_set("token")).alias("late"))
-    early = F.array_except("set", "late")
-    anew = again.join(moved, "clase").select(
-        "clase", "tamano", (F.size(early) < size).alias("tarde"), F.slice(F.concat(early, F.col("late")), 1, size).alias("set")
-    )
-    anew = written(anew, "similarity-keys")
-    same = heads.join(changed, "clase", "left_anti")
-    ends = same.select("clase", F.lit(False).alias("tarde"), F.get("set", size - 1).alias("ultimo")).unionByName(
-        anew.select("clase", "tarde", F.element_at("set", -1).alias("ultimo"))
+
+    def ordered(sets: DataFrame, tokens: str) -> DataFrame:
+        """Adds ``early`` and ``late``, the tokens of a class that are not common and those that are."""
+        listed = sets.select("clase", F.explode_outer(tokens).alias("token")).join(late, "token", "left_semi")
+        listed = listed.groupBy("clase").agg(F.array_sort(F.collect_set("token")).alias("late"))
+        none = F.array().cast("array<bigint>")
+        found = sets.join(listed, "clase", "left").withColumn("late", F.coalesce("late", none))
+        return found.withColumn("early", F.array_except(tokens, "late"))
+
+    begun = written(
+        ordered(heads.select("clase", "tamano", "inicio"), "inicio").select(
+            "clase", "tamano", F.slice("early", 1, size).alias("claves")
+        ),
+        "similarity-begun",
     )
-    kept = first.join(changed, "clase", "left_anti").select("token", "clase", "tamano")
-    return kept.unionByName(anew.select(F.explode_outer("set").alias("token"), "clase", "tamano")), ends
-
-
-def _bitmaps(heads: DataFrame) -> DataFrame:
-    """(clase, b0, ...): for every shingle of a class one bit of 64 * BITMAP_WORDS. A task sends one row per class."""
-    place = F.col("token").bitwiseAND(64 * BITMAP_WORDS - 1)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
-    tokens = heads.select("clase", F.explode_outer("set").alias("token"))
-    return tokens.groupBy("clase").agg(
-        *[
-            F.coalesce(F.bit_or(F.when(F.shiftright(place, 6) == w, bit)), F.lit(0)).cast("long").alias(name)
-            for w, name in enumerate(BITMAP)
-        ]
+    # Classes whose begin has too few others: all their shingles are read.
+    enough = F.size("claves") == size
+    short = _whole_sets(df, begun.where(~enough).select("clase"), key, text, words).dropDuplicates(["clase"])
+    anew = ordered(short, "set").select(
+        "clase",
+        "tamano",
+        F.slice(F.concat("early", "late"), 1, size).alias("claves"),
+        (F.size("early") < size).alias("tarde"),
     )
+    anew = written(anew, "similarity-anew")
+    return begun.where(enough).select("clase", "tamano", "claves", F.lit(False).alias("tarde")).unionByName(anew)
 
 
 def _only(a: str, b: str) -> Column:
@@ -147,18 +178,16 @@ def similar_pairs(
 
     ``sets`` is the result of `text_sets` if it is there already.
     """
-    sets = text_sets(df, key, text, words) if sets is None else sets
-    copies = text_classes(sets).where("key <> clase").select("key").distinct()
-    copies = written(copies, "similarity-copies")
-    heads = sets.where("tamano > 0").join(copies, "key", "left_anti")
-    heads = heads.select(F.col("key").alias("clase"), "set", "tamano")
-    keys, last = _keys(heads, least, common)
+    sets = text_sets(df, key, text, words, least) if sets is None else sets
+    copies = written(text_classes(sets).where("key <> clase").select("key").distinct(), "similarity-copies")
+    heads = sets.where("tamano > 0").join(copies, "key", "left_anti").withColumnRenamed("key", "clase")
+    keyed = _keys(df, heads, key, text, words, least, common)
+    last = keyed.select("clase", "tarde", F.element_at("claves", -1).alias("ultimo"))
     # Most keys have one holder: they go before anything is joined to them.
+    keys = keyed.select(F.explode_outer("claves").alias("token"), "clase", "tamano")
     keys = keys.withColumn("n", F.count("*").over(Window.partitionBy("token")))
     shared = written(keys.where("n > 1").drop("n"), "similarity-shared")
-    held = shared.select("clase").distinct()
-    marks = _bitmaps(heads.join(held, "clase", "left_semi")).join(last, "clase")
-    marked = shared.join(marks, "clase")
+    marked = shared.join(last, "clase").join(heads.select("clase", *BITMAP), "clase")
     a, b = marked.alias("a"), marked.alias("b")
     needed = (F.col("a.tamano") + F.col("b.tamano")) * (least / (1 + least)) - 1e-6
     most = F.least(F.col("a.tamano") - _only("a", "b"), F.col("b.tamano") - _only("b", "a"))
@@ -179,7 +208,8 @@ def similar_pairs(
     needed = (F.col("tamano_a") + F.col("tamano_b")) * (least / (1 + least)) - 1e-6
     pairs = written(counted.where(size - alone >= needed).select("clase_a", "clase_b"), "similarity-candidates")
     ends = pairs.select(F.explode(F.array("clase_a", "clase_b")).alias("clase")).distinct()
-    chosen = written(heads.join(ends, "clase", "left_semi").dropDuplicates(["clase"]), "similarity-chosen")
+    chosen = _whole_sets(df, ends, key, text, words).dropDuplicates(["clase"])
+    chosen = written(chosen, "similarity-chosen")
     one, other = (chosen.select(*[F.col(c).alias(f"{c}_{x}") for c in chosen.columns]) for x in "ab")
     met = pairs.join(one, "clase_a").join(other, "clase_b")
     counted = met.withColumn("comunes", F.size(F.array_intersect("set_a", "set_b")))
@@ -191,7 +221,7 @@ def similar_texts(
     df: DataFrame, key: str, text: str, words: int = WORDS, least: float = LEAST, common: int = COMMON
 ) -> DataFrame:
     """(key, clase, enlaces) of every row: its class and how many other classes are alike to it."""
-    sets = text_sets(df, key, text, words)
+    sets = text_sets(df, key, text, words, least)
     pairs = similar_pairs(df, key, text, words, least, common, sets)
     ends = F.explode(F.array("clase_a", "clase_b")).alias("clase")
     links = pairs.select(ends).groupBy("clase").agg(F.count("*").alias("enlaces"))
