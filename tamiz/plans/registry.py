@@ -36,6 +36,13 @@ MISSING_MARKERS = [
     "", "N/A", "NA", "NULL", "-", ".", "SIN DATO", "S/D", "SD", "NO APLICA", "N.A.",
 ]
 
+# Columns that hold words: a value that reads as a number has the wrong type.
+WORD_COLUMNS = [c for c in SOURCE_COLUMNS if c not in ("CODIGO", "DISTRITO", "DIRECCION", "TELEFONO")]
+NUMBER = r"[+-]?\d+([.,]\d+)?([eE][+-]?\d+)?"
+# An identifier that was once read as a number: zeros lost, a fraction or an exponent.
+CAST_IDENTIFIER = r"\d+\.\d+|\d+(\.\d+)?[eE]\+?\d+"
+IDENTIFIERS = ["CODIGO", "DISTRITO", "TELEFONO"]
+
 # Departments as exported and their official spelling.
 DEPARTMENTS = {
     "ALTA VERAPAZ": "Alta Verapaz",

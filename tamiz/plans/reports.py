@@ -321,7 +321,7 @@ def quality_metrics(df: DataFrame, name: str, corrections: Column | None = None)
         .agg(F.count("*").alias("n"))
         .scalar(),
         F.col("formato"),
-        F.lit(wrong_types(df, columns)),
+        F.lit(len(wrong_types(df, columns))),
         equivalent_categories(df, R.CATEGORICAL_COLUMNS).agg(F.count("*").alias("n")).scalar(),
         F.lit(0) if corrections is None else corrections,
     ]

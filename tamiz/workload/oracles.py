@@ -792,33 +792,65 @@ def equivalents_of(table: str) -> str:
       WHERE valor <> '' GROUP BY 1, 2 HAVING count(*) > 1))"""
 
 
+# The checks of a row by rule and column. What a number and a cast identifier are is written out here.
+WORDS = [c for c in R.SOURCE_COLUMNS if c not in ("CODIGO", "DISTRITO", "DIRECCION", "TELEFONO")]
+AS_NUMBER = "'^[+-]?[0-9]+([.,][0-9]+)?([eE][+-]?[0-9]+)?$'"
+AS_CAST = "'^([0-9]+[.][0-9]+|[0-9]+([.][0-9]+)?[eE][+]?[0-9]+)$'"
+CODE = r"'^[0-9]{2}-[0-9]{2}-[0-9]{4}-[0-9]{2}$'"
+GOOD_PHONES = f"(len({{n}}) > 0 AND len(list_filter({{n}}, lambda n: length(n) NOT IN (7, 8))) = 0)"
+
+
+def row_checks_sql() -> list[tuple[str, str, str]]:
+    address = "coalesce(DIRECCION, '')"
+    good = GOOD_PHONES.format(n=phone_numbers(TEL))
+    return [
+        *[("V2", c, f"coalesce({c}, '') <> {t(c)}") for c in R.SOURCE_COLUMNS],
+        ("V3", "TELEFONO", f"{TEL} <> '' AND NOT {good}"),
+        ("V4", "DEPARTAMENTO", f"{DEP} <> '' AND {DEP} NOT IN {in_list(R.DEPARTMENTS.values())}"),
+        *[("V5", c, f"regexp_matches({t(c)}, {AS_NUMBER})") for c in WORDS],
+        *[("V5", c, f"regexp_matches({t(c)}, {AS_CAST})") for c in ("CODIGO", "DISTRITO", "TELEFONO")],
+        *[("V7", c, f"upper({c}) IN {MISSING}") for c in R.SOURCE_COLUMNS],
+        *[("V7", c, f"{c} IS NOT NULL AND {name_class(c)} <> 'nombre aparente'") for c in ("SUPERVISOR", "DIRECTOR")],
+        ("V7", "DIRECCION", f"{address} <> '' AND {unaccented(address)} = {MUN}"),
+        ("V7", "DIRECCION", has(address, TRAILING_DATE)),
+        ("V7", "AREA", f"{t('AREA')} = 'SIN ESPECIFICAR'"),
+        ("C2 formato", "CODIGO", f"{COD} <> '' AND NOT regexp_matches({COD}, {CODE})"),
+    ]
+
+
+def repeated_codes_sql(table: str) -> str:
+    return f"(SELECT {COD} AS c, count(*) AS n FROM {table} WHERE {COD} <> '' GROUP BY 1 HAVING count(*) > 1)"
+
+
+def misplaced_sql(table: str) -> str:
+    seen = f"""(SELECT substr({COD}, 1, 5) AS p, {t('DEPARTAMENTO')} AS d, {t('MUNICIPIO')} AS m, count(*) AS n FROM {table}
+      WHERE regexp_matches({COD}, {CODE}) GROUP BY 1, 2, 3)"""
+    return f"""(SELECT * FROM {seen} x WHERE p IN (SELECT p FROM {seen} GROUP BY p HAVING count(*) > 1)
+      OR (d, m) IN (SELECT (d, m) FROM {seen} GROUP BY d, m HAVING count(*) > 1))"""
+
+
 def validation_sql(table: str, places: str | None = None) -> str:
     """`places`: the known pairs of department and municipality, as rows."""
-    unknown = "0" if places is None else count_if(
-        f"{t('MUNICIPIO')} <> '' AND ({t('DEPARTAMENTO')}, {t('MUNICIPIO')}) NOT IN ({places})"
+    pair = f"({t('DEPARTAMENTO')}, {t('MUNICIPIO')})"
+    unknown = "0" if places is None else f"""(SELECT {count_if(f"{t('MUNICIPIO')} <> '' AND {pair} NOT IN ({places})")} FROM {table})"""
+
+    def own(rule: str) -> str:
+        conditions = [x for r, _, x in row_checks_sql() if r == rule]
+        return f"(SELECT coalesce(sum({sum_of(conditions)}), 0) FROM {table})"
+
+    codes = " + ".join(
+        [own("C2 formato")]
+        + [f"(SELECT coalesce(sum(n), 0) FROM {x})" for x in (repeated_codes_sql(table), misplaced_sql(table))]
     )
-    official = in_list(R.DEPARTMENTS.values())
-    address = "coalesce(DIRECCION, '')"
-    invalid = [
-        *[f"upper({c}) IN {MISSING}" for c in R.SOURCE_COLUMNS],
-        *[f"{c} IS NOT NULL AND {name_class(c)} <> 'nombre aparente'" for c in ("SUPERVISOR", "DIRECTOR")],
-        f"{address} <> '' AND {unaccented(address)} = {MUN}",
-        has(address, TRAILING_DATE),
-        f"{t('AREA')} = 'SIN ESPECIFICAR'",
-    ]
-    edges = [f"coalesce({c}, '') <> {t(c)}" for c in R.SOURCE_COLUMNS]
-    readable = f"len(list_filter({phone_numbers(TEL)}, lambda n: length(n) IN (7, 8))) > 0"
     checks = [
+        ("C2", "codigos con formato, unicos y de un solo lugar", codes),
         ("V1", "cero duplicados exactos", duplicates_of(table)),
-        ("V2", "cero espacios al inicio o final", f"(SELECT coalesce(sum({sum_of(edges)}), 0) FROM {table})"),
-        ("V3", "telefonos en formato aprobado",
-         f"(SELECT {count_if(f'{TEL} <> {q(str())} AND NOT ({readable})')} FROM {table})"),
-        ("V4", "departamentos y municipios en catalogo",
-         f"(SELECT {count_if(f'{DEP} <> {q(str())} AND {DEP} NOT IN {official}')} + {unknown} FROM {table})"),
-        ("V5", "tipos correctos", "0"),
+        ("V2", "cero espacios al inicio o final", own("V2")),
+        ("V3", "telefonos en formato aprobado", own("V3")),
+        ("V4", "departamentos y municipios en catalogo", f"{own('V4')} + {unknown}"),
+        ("V5", "tipos correctos", own("V5")),
         ("V6", "categorias sin variantes equivalentes", equivalents_of(table)),
-        ("V7", "valores invalidos del diagnostico en cero",
-         f"(SELECT coalesce(sum({sum_of(invalid)}), 0) FROM {table})"),
+        ("V7", "valores invalidos del diagnostico en cero", own("V7")),
     ]
     rows = union([
         f"SELECT {q(r)} AS regla, {q(d)} AS descripcion, CAST({n} AS BIGINT) AS violaciones"
@@ -827,10 +859,33 @@ def validation_sql(table: str, places: str | None = None) -> str:
     return f"SELECT *, violaciones = 0 AS cumple FROM ({rows})"
 
 
-ORACLES["validate_raw"] = messy_oracle(validation_sql("messy"))
-ORACLES["validate_places"] = messy_oracle(validation_sql("messy", """('PETEN', 'LA LIBERTAD'),
+PLACES = """('PETEN', 'LA LIBERTAD'),
   ('PETEN', 'SAN JOSE'), ('QUICHE', 'COBAN'), ('IZABAL', 'COBAN'), ('SOLOLA', 'CHISEC'),
-  ('JALAPA', 'SANTA BARBARA'), ('QUICHÉ', 'COBÁN'), ('PETEN', 'CHISEC'), ('PETÉN', 'CHISEC')"""))
+  ('JALAPA', 'SANTA BARBARA'), ('QUICHÉ', 'COBÁN'), ('PETEN', 'CHISEC'), ('PETÉN', 'CHISEC')"""
+_BLANK_ROW = " AND ".join(f"{t(c)} = ''" for c in R.SOURCE_COLUMNS)
+_WHOLE_ROW = ", ".join(f"coalesce({c}, '')" for c in R.SOURCE_COLUMNS)
+DIRTY = """, dirty AS (SELECT * REPLACE (CASE WHEN fila_origen % 9 = 0 THEN lower(SECTOR) ELSE SECTOR END AS SECTOR) FROM messy
+  UNION ALL SELECT * FROM messy WHERE fila_origen % 40 = 0)\n"""
+ORACLES["violations"] = messy_oracle(DIRTY + union([
+    *[
+        f"SELECT {q(r)} AS regla, {q(c)} AS columna, archivo_origen, fila_origen, {c} AS valor FROM dirty WHERE {x}"
+        for r, c, x in row_checks_sql()
+    ],
+    f"""SELECT 'V1', 'CODIGO', archivo_origen, fila_origen, CODIGO FROM (SELECT *, count(*) OVER (PARTITION BY {_WHOLE_ROW}) AS n
+      FROM dirty WHERE NOT ({_BLANK_ROW})) WHERE n > 1""",
+    f"SELECT 'C2 unicidad', 'CODIGO', archivo_origen, fila_origen, CODIGO FROM dirty WHERE {COD} IN (SELECT c FROM {repeated_codes_sql('dirty')})",
+    f"""SELECT 'C2 lugar', 'CODIGO', archivo_origen, fila_origen, CODIGO FROM dirty WHERE regexp_matches({COD}, {CODE})
+      AND (substr({COD}, 1, 5), {t('DEPARTAMENTO')}, {t('MUNICIPIO')}) IN (SELECT (p, d, m) FROM {misplaced_sql('dirty')})""",
+    *[
+        f"""SELECT 'V6', {q(c)}, archivo_origen, fila_origen, {t(c)} FROM dirty WHERE {t(c)} <> '' AND {name_key(t(c))} IN (
+          SELECT {name_key(t(c))} FROM dirty WHERE {t(c)} <> '' GROUP BY 1 HAVING count(DISTINCT {t(c)}) > 1)"""
+        for c in R.CATEGORICAL_COLUMNS
+    ],
+    f"""SELECT 'V4', 'MUNICIPIO', archivo_origen, fila_origen, MUNICIPIO FROM dirty
+      WHERE {t('MUNICIPIO')} <> '' AND ({t('DEPARTAMENTO')}, {t('MUNICIPIO')}) NOT IN ({PLACES})""",
+]))
+ORACLES["validate_raw"] = messy_oracle(validation_sql("messy"))
+ORACLES["validate_places"] = messy_oracle(validation_sql("messy", PLACES))
 CLEAN_TABLE = f"{CLEAN_CTES}, clean AS MATERIALIZED ({CLEAN_SELECT})\n"
 ORACLES["validate_clean"] = messy_oracle(CLEAN_TABLE + validation_sql("clean"))
 

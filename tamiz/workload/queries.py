@@ -241,6 +241,14 @@ def validation_of_places(spark, sf_dir):
     )
 
 
+def violations(spark, sf_dir):
+    """Every rule is broken: some sectors in lower case and copies of some rows as well."""
+    rows = messy(spark, sf_dir)
+    lower = F.when(c("fila_origen") % 9 == 0, F.lower("SECTOR")).otherwise(c("SECTOR"))
+    dirty = rows.withColumn("SECTOR", lower).unionByName(rows.where("fila_origen % 40 = 0"))
+    return validation.violaciones(dirty, spark.createDataFrame(CATALOG, CATALOG_SCHEMA))
+
+
 def before_after(spark, sf_dir):
     raw = messy(spark, sf_dir)
     return reports.informe_calidad(
@@ -408,6 +416,7 @@ QUERIES: dict[str, Query] = {
         lambda d: C.marcar_duplicados(d).select(*KEY, "CANDIDATO_DUPLICADO", "CONFIRMADO")
     ),
     "validate_raw": on_messy(validation.reporte_validacion),
+    "violations": violations,
     "validate_places": validation_of_places,
     "validate_clean": validation_after,
     "before_after": before_after,

@@ -73,24 +73,86 @@ def test_log_counts_changed_rows(messy, cleaned):
     assert {r.filas_afectadas for r in C.registro_transformaciones(cleaned).collect()} == {0}
 
 
+def well_coded(df):
+    """Unique codes whose prefix stands for one place."""
+    places = sorted(tuple(r) for r in df.select("DEPARTAMENTO", "MUNICIPIO").distinct().collect())
+    prefix = {place: f"{i // 100:02d}-{i % 100:02d}" for i, place in enumerate(places)}
+    chain = F.lit(None)
+    for (dep, mun), code in prefix.items():
+        here = F.col("DEPARTAMENTO").eqNullSafe(F.lit(dep)) & F.col("MUNICIPIO").eqNullSafe(F.lit(mun))
+        chain = F.when(here, code).otherwise(chain)
+    number = F.col("fila_origen") * 23 + F.substring("archivo_origen", 2, 2).cast("long")
+    ending = F.concat(F.lpad((number % 10_000).cast("string"), 4, "0"), F.lit("-"), F.lpad(F.expr("CAST(1 AS STRING)"), 2, "0"))
+    return df.withColumn("CODIGO", F.concat(chain, F.lit("-"), ending))
+
+
 def test_validation(messy, cleaned):
     report = {r.regla: r.violaciones for r in validation.reporte_validacion(cleaned).collect()}
-    # The view has departments that are in no catalog.
-    assert {k for k, v in report.items() if v} == {"V4"}
+    # The view has departments that are in no catalog, and codes that are malformed, repeated and of several places.
+    assert {k for k, v in report.items() if v} == {"C2", "V4"}
     with pytest.raises(ValueError, match="V2"):
         validation.validar_datos(messy)
-    official = cleaned.where(F.col("DEPARTAMENTO").isin(*R.DEPARTMENTS.values()))
+    official = well_coded(cleaned.where(F.col("DEPARTAMENTO").isin(*R.DEPARTMENTS.values())))
     assert validation.validar_datos(official) is None
     pairs = official.select(F.col("DEPARTAMENTO").alias("departamento"), F.col("MUNICIPIO").alias("municipio"))
     assert validation.validar_datos(official, pairs) is None
     with pytest.raises(ValueError, match="V4"):
         validation.validar_datos(official, pairs.where("municipio <> 'COBÁN'"))
+    assert validation.violaciones(official, pairs).count() == 0
 
 
 def test_types_are_checked(messy):
+    before = {r.regla: r.violaciones for r in validation.reporte_validacion(messy).collect()}
     wrong = messy.withColumn("CODIGO", F.lit(1))
     report = {r.regla: r.violaciones for r in validation.reporte_validacion(wrong).collect()}
-    assert report["V5"] == 1
+    assert report["V5"] == before["V5"] + 1
+
+
+def registry_rows(spark, **cells):
+    """Rows of the registry that break no rule but by the given cells; a list gives one cell a row."""
+    good = dict.fromkeys(R.SOURCE_COLUMNS, "ABC") | {
+        "DEPARTAMENTO": "Guatemala", "MUNICIPIO": "Mixco", "SUPERVISOR": "Ana Ruiz", "DIRECTOR": "Eva Paz",
+        "DIRECCION": "1a calle 3-50", "TELEFONO": "24328801", "DISTRITO": "01-001",
+    }
+    n = max(len(v) for v in cells.values())
+    rows = [
+        {**good, "CODIGO": f"01-01-{i:04d}-46", **{k: v[i] for k, v in cells.items()}, "archivo_origen": "f.csv", "fila_origen": i}
+        for i in range(n)
+    ]
+    types = ", ".join(f"{c} string" for c in [*R.SOURCE_COLUMNS, "archivo_origen"])
+    return spark.createDataFrame([[r[c] for c in [*R.SOURCE_COLUMNS, *R.LINEAGE]] for r in rows], f"{types}, fila_origen long")
+
+
+@pytest.mark.parametrize(
+    "cells, want",
+    [
+        ({"TELEFONO": ["24328801, 123, 99", "24328801 Y 2432880", "123", None]}, [("V3", "TELEFONO", 0), ("V3", "TELEFONO", 2)]),
+        ({"CODIGO": ["not a code", "01-01-0001-46", "01-01-0002-46", None]}, [("C2 formato", "CODIGO", 0)]),
+        ({"CODIGO": ["01-01-0001-46", " 01-01-0001-46", "01-01-0002-46"]}, [("C2 unicidad", "CODIGO", 0), ("C2 unicidad", "CODIGO", 1), ("V2", "CODIGO", 1)]),
+        (
+            {"CODIGO": ["01-01-0001-46", "01-01-0002-46", "01-02-0003-46", "09-01-0001-46"], "MUNICIPIO": ["Mixco", "Petapa", "Mixco", "Amatitlán"]},
+            [("C2 lugar", "CODIGO", 0), ("C2 lugar", "CODIGO", 1), ("C2 lugar", "CODIGO", 2)],
+        ),
+        ({"DIRECTOR": ["Eva Paz", "000000"], "NIVEL": ["1.5", "ABC"]}, [("V5", "DIRECTOR", 1), ("V5", "NIVEL", 0), ("V7", "DIRECTOR", 1)]),
+        ({"TELEFONO": ["2.4328801E7", "24328801"]}, [("V3", "TELEFONO", 0), ("V5", "TELEFONO", 0)]),
+        ({"SECTOR": ["Privado", "PRIVADO", "Oficial"]}, [("V6", "SECTOR", 0), ("V6", "SECTOR", 1)]),
+        ({"DEPARTAMENTO": ["Guatemala", "Atlantis"], "CODIGO": ["01-01-0001-46", "02-01-0001-46"]}, [("V4", "DEPARTAMENTO", 1)]),
+    ],
+)
+def test_rules_name_the_rows_that_break_them(spark, cells, want):
+    df = registry_rows(spark, **cells)
+    got = sorted((r.regla, r.columna, r.fila_origen) for r in validation.violaciones(df).collect())
+    assert got == sorted(want)
+    broken = {r.regla for r in validation.reporte_validacion(df).collect() if not r.cumple}
+    assert broken == {rule.split()[0] for rule, _, _ in want}
+
+
+def test_duplicates_and_unknown_places_are_listed(spark):
+    df = registry_rows(spark, CODIGO=["01-01-0001-46"] * 2 + ["01-01-0002-46"])
+    known = spark.createDataFrame([("Guatemala", "Petapa")], "departamento string, municipio string")
+    got = sorted((r.regla, r.fila_origen) for r in validation.violaciones(df, known).collect())
+    assert got == sorted([("V1", 0), ("V1", 1), ("C2 unicidad", 0), ("C2 unicidad", 1), ("V4", 0), ("V4", 1), ("V4", 2)])
+    assert validation.violaciones(df.limit(0), known).count() == 0
 
 
 @pytest.mark.parametrize("heavy_rows", [2, 10**6])
