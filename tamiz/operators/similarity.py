@@ -38,7 +38,7 @@ WORDS, LEAST = 5, 0.8
 #: A key of more sets than this is common.
 COMMON = 1_000
 #: 64-bit words of the bitmap of a set, a power of two.
-BITMAP_WORDS = 4
+BITMAP_WORDS = 8
 BITMAP = [f"b{w}" for w in range(BITMAP_WORDS)]
 SET = ["h1", "h2", "tamano"]
 
