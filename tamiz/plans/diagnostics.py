@@ -6,7 +6,7 @@ function returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.functions.codes import (
@@ -270,24 +270,37 @@ def _one_row(df: DataFrame, label: str, rows: list[tuple]) -> DataFrame:
     )
 
 
-def _count(df: DataFrame) -> Column:
-    return df.agg(F.count("*").alias("n")).scalar()
-
-
 def diagnostico_codigo(df) -> DataFrame:
-    code, prefix = _t("CODIGO"), code_prefix(F.col("CODIGO"))
-    dep, mun = F.coalesce("DEPARTAMENTO", F.lit("")), F.coalesce("MUNICIPIO", F.lit(""))
-    prefixes_per_pair = consistency.dependency_violations(
-        df, {"departamento": dep, "municipio": mun}, {"prefijo": prefix}
-    )
-    places_per_prefix = consistency.dependency_violations(
-        df, {"prefijo": prefix}, {"departamento": dep, "municipio": mun}
-    )
-    scalars = df.agg(
+    code = _t("CODIGO")
+    # Prefixes and places are few: one scan counts their combinations, and all
+    # checks but the one of whole codes follow from those.
+    seen = df.groupBy(
+        code_prefix(F.col("CODIGO")).alias("prefijo"),
+        F.coalesce("DEPARTAMENTO", F.lit("")).alias("departamento"),
+        F.coalesce("MUNICIPIO", F.lit("")).alias("municipio"),
+    ).agg(
         F.count_if(code == "").alias("vacios"),
         F.count_if(full_match(code, SCHOOL_CODE)).alias("formato"),
         F.count_if(code != "").alias("no_vacios"),
     )
+    pair, prefix = Window.partitionBy("departamento", "municipio"), Window.partitionBy("prefijo")
+
+    def differ(column: str) -> Column:
+        return F.min(column).over(prefix) != F.max(column).over(prefix)
+
+    related = seen.withColumns(
+        {
+            "par": F.row_number().over(pair.orderBy("prefijo")),
+            "lugar": F.row_number().over(prefix.orderBy("departamento", "municipio")),
+            "varios": differ("departamento") | differ("municipio"),
+        }
+    )
+    scalars = related.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("vacios", "formato", "no_vacios")],
+        # Row 2 is there once for every pair of several prefixes.
+        F.count_if(F.col("par") == 2).alias("prefijos_por_par"),
+        F.count_if((F.col("lugar") == 1) & F.col("varios")).alias("lugares_por_prefijo"),
+    )
     distinct_codes = distinct_scalar(df, F.nullif(code, F.lit("")))
     return _one_row(
         scalars,
@@ -304,11 +317,11 @@ def diagnostico_codigo(df) -> DataFrame:
             ),
             (
                 "pares departamento-municipio con más de un prefijo",
-                _count(prefixes_per_pair), "resultado", "esperado 0",
+                F.col("prefijos_por_par"), "resultado", "esperado 0",
             ),
             (
                 "prefijos asociados a más de una geografia",
-                _count(places_per_prefix), "resultado", "esperado 0",
+                F.col("lugares_por_prefijo"), "resultado", "esperado 0",
             ),
         ],
     )

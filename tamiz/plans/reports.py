@@ -38,21 +38,22 @@ def _t(name: str) -> Column:
 
 def ledger(
     df: DataFrame, columns: list[str], rows: list[tuple], masks: dict[str, Column],
-    scalars: dict[str, Column] | None = None,
+    scalars: dict[str, Column] | None = None, extra: DataFrame | None = None,
 ) -> DataFrame:
     """Ledger rows whose counts come from one aggregate over `df`.
 
     A row is a tuple matching `columns`; its entry for ``cantidad`` names a
-    mask (counted), a scalar subquery or ``todas`` (all rows). The
+    mask (counted), a scalar subquery, a column of the one row of ``extra`` or ``todas`` (all rows). The
     share of rows is worked out here, unless the row gives a fixed one. A column
     ``ejemplo`` holds the smallest value of the variable, trimmed and not blank,
     among the rows counted; it is empty where there is none and for scalars.
     """
     scalars = scalars or {}
+    given = {*scalars, *(extra.columns if extra is not None else [])}
     examples = {}
     if "ejemplo" in columns:
         for variable, _, _, key, *_ in rows:
-            if key not in scalars:
+            if key not in given:
                 shown = F.min(F.when(masks.get(key, F.lit(True)), F.nullif(_t(variable), F.lit(""))))
                 examples[variable, key] = F.coalesce(shown, F.lit("")).alias(f"{variable}:{key}")
     counted = df.agg(
@@ -60,12 +61,15 @@ def ledger(
         *[F.count_if(mask).alias(name) for name, mask in masks.items()],
         *examples.values(),
     )
+    if extra is not None:
+        both = counted.unionByName(extra, allowMissingColumns=True)
+        counted = both.agg(*[F.max(f"`{c}`").alias(c) for c in both.columns])
     structs = []
     for row in rows:
         entry = dict(zip(columns, row))
         key = entry["cantidad"]
         count = (scalars[key] if key in scalars else F.col(key)).cast("long")
-        shown = F.col(f"{entry['variable']}:{key}") if (entry["variable"], key) in examples else F.lit("")
+        shown = F.col(f"`{entry['variable']}:{key}`") if (entry["variable"], key) in examples else F.lit("")
         fixed = entry.get("porcentaje")
         share = percentage(count, F.col("todas")) if fixed is None else F.lit(fixed)
         structs.append(
@@ -217,20 +221,24 @@ def problemas_geograficos(df: DataFrame) -> DataFrame:
     return ledger(df, GEOGRAPHIC_LEDGER_COLUMNS, GEOGRAPHIC_LEDGER, masks, scalars)
 
 
-def merged_spellings(df: DataFrame, column: str, keep: Column) -> Column:
-    """Spellings that would disappear if each folded key had one: distinct
-    spellings minus distinct keys, as a scalar subquery."""
-    spellings = df.where(keep).select(_t(column).alias("nombre")).distinct()
-    return (
-        spellings.groupBy(name_key(F.col("nombre")).alias("clave"))
-        .agg((F.count("*") - 1).alias("sobrantes"))
-        .agg(F.coalesce(F.sum("sobrantes"), F.lit(0)).alias("n"))
-        .scalar()
+def merged_spellings(df: DataFrame, kept: dict[str, tuple[str, Column]]) -> DataFrame:
+    """One row: per name of ``kept`` (column, condition) the spellings that would disappear if each
+    folded key had one, that is distinct spellings minus distinct keys. One scan for all."""
+    cells = F.array(
+        *[
+            F.when(condition, F.struct(F.lit(name).alias("de"), _t(column).alias("nombre")))
+            for name, (column, condition) in kept.items()
+        ]
+    )
+    spellings = df.select(F.explode_outer(F.array_compact(cells)).alias("c")).where("c IS NOT NULL").select("c.*").distinct()
+    keys = spellings.groupBy("de", name_key(F.col("nombre")).alias("clave")).agg((F.count("*") - 1).alias("sobrantes"))
+    return keys.agg(
+        *[F.coalesce(F.sum(F.when(F.col("de") == name, F.col("sobrantes"))), F.lit(0)).alias(name) for name in kept]
     )
 
 
 def libro_de_defectos(df: DataFrame) -> DataFrame:
-    """The complete ledger: one fused count plus one scalar per spelling check."""
+    """The complete ledger: one fused count, and one more scan for the spellings."""
     absent = NAME_CLASSES[:4]
     prepared = df.withColumns(
         {
@@ -264,18 +272,15 @@ def libro_de_defectos(df: DataFrame) -> DataFrame:
             for c, values in R.FIXED_DOMAINS.items()
         },
     }
-    scalars = {
-        "nombre_variantes": merged_spellings(
-            df, "ESTABLECIMIENTO", _t("ESTABLECIMIENTO") != ""
-        ),
-        "supervisor_variantes": merged_spellings(
-            df, "SUPERVISOR", ~name_class(F.col("SUPERVISOR")).isin(*absent)
-        ),
-        "director_variantes": merged_spellings(
-            df, "DIRECTOR", ~name_class(F.col("DIRECTOR")).isin(*absent)
-        ),
-    }
-    return ledger(prepared, FULL_LEDGER_COLUMNS, FULL_LEDGER, masks, scalars)
+    extra = merged_spellings(
+        df,
+        {
+            "nombre_variantes": ("ESTABLECIMIENTO", _t("ESTABLECIMIENTO") != ""),
+            "supervisor_variantes": ("SUPERVISOR", ~name_class(F.col("SUPERVISOR")).isin(*absent)),
+            "director_variantes": ("DIRECTOR", ~name_class(F.col("DIRECTOR")).isin(*absent)),
+        },
+    )
+    return ledger(prepared, FULL_LEDGER_COLUMNS, FULL_LEDGER, masks, extra=extra)
 
 
 def variables_por_limpiar(problems: DataFrame) -> DataFrame:

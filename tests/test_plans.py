@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from tamiz.operators import skew
 from tamiz.plans import cleaning as C
+from tamiz.plans import diagnostics as D
 from tamiz.plans import registry as R
 from tamiz.plans import reports, validation
+from tamiz.workload.messy import MESSY_CTE
 
 
 @pytest.fixture(scope="module")
@@ -248,3 +250,17 @@ def test_people_without_jurisdiction_are_not_merged(spark):
     df = spark.createDataFrame(rows, "SUPERVISOR string, DEPARTAMENTAL string")
     got = sorted(r.SUPERVISOR_FUSIONADO for r in C.fusionar_escrituras(df, "SUPERVISOR", "DEPARTAMENTAL").collect())
     assert got == ["ANA LÓPEZ", "ANA LÓPEZ", "JOSE PEREZ", "JOSÉ PÉREZ"]
+
+
+@pytest.mark.parametrize(
+    "build", [D.diagnostico_codigo, reports.libro_de_defectos], ids=["codes", "defects"]
+)
+def test_reports_read_the_table_at_most_twice(spark, small_dir, build):
+    """One scan for counts by combination, one for what needs all values; the rest reads those exchanges."""
+    orders = spark.read.parquet(f"{small_dir}/orders.parquet").select("o_orderkey")
+    rows = spark.sql(f"WITH {MESSY_CTE} SELECT * FROM messy", orders=orders)
+    plan = build(rows)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    scans = [line for line in plan.splitlines() if line.startswith("(") and ") Scan parquet" in line]
+    assert 1 <= len(scans) <= 2
