@@ -121,6 +121,43 @@ def preferred_spelling(
     )
 
 
+def truncated_names(
+    df: DataFrame, value: Column, jurisdiction: Column, keep: Column | None = None, least_words: int = 2
+) -> DataFrame:
+    """(jurisdiccion, corta, completa, registros_corta, registros_completa): keys whose words begin
+    another key of the jurisdiction.
+
+    Each distinct key gives its beginnings of `least_words` words or more, one
+    row a word, and meets the keys that are one: no two keys are compared that
+    have no beginning in common. Rows without a jurisdiction are not compared.
+    """
+    names = (
+        df.select(
+            trimmed(jurisdiction).alias("jurisdiccion"),
+            name_key(trimmed(value)).alias("clave"),
+            (F.lit(True) if keep is None else keep).alias("_keep"),
+        )
+        .where("_keep AND jurisdiccion <> '' AND clave <> ''")
+        .groupBy("jurisdiccion", "clave")
+        .agg(F.count("*").alias("registros"))
+    )
+    words = F.split("clave", " ")
+    ends = F.sequence(F.lit(least_words), F.size(words) - 1)
+    begins = F.transform(ends, lambda n: F.array_join(F.slice(words, 1, n), " "))
+    longer = names.where(F.size(words) > least_words).select(
+        "jurisdiccion",
+        F.explode_outer(begins).alias("corta"),
+        F.col("clave").alias("completa"),
+        F.col("registros").alias("registros_completa"),
+    )
+    shorter = names.select(
+        "jurisdiccion", F.col("clave").alias("corta"), F.col("registros").alias("registros_corta")
+    )
+    return longer.join(shorter, ["jurisdiccion", "corta"]).select(
+        "jurisdiccion", "corta", "completa", "registros_corta", "registros_completa"
+    )
+
+
 def near_pairs(
     df: DataFrame, value: Column, block: Column | None = None, max_distance: int = 1
 ) -> DataFrame:

@@ -26,7 +26,7 @@ from tamiz.functions.text import (
     unaccented,
 )
 from tamiz.operators.skew import join_lookup, join_per_key
-from tamiz.operators.variants import preferred_spelling
+from tamiz.operators.variants import preferred_spelling, truncated_names
 from tamiz.plans import registry as R
 
 DERIVED_COLUMNS = [
@@ -338,6 +338,36 @@ def fusionar_escrituras(df: DataFrame, nombre: str, jurisdiccion: str) -> DataFr
     )
 
 
+def marcar_truncados(df: DataFrame, nombre: str, jurisdiccion: str) -> DataFrame:
+    """Marks names that may be the beginning of a longer one in their jurisdiction; merges nothing.
+
+    `<nombre>_TRUNCADO`: another name of the jurisdiction goes on after these
+    words. `<nombre>_COMPLETO`: the key of that name, null if there are several.
+    """
+    keep = is_name(F.col(nombre))
+    found_ = truncated_names(df, F.col(nombre), F.col(jurisdiccion), keep)
+    per_name = found_.groupBy("jurisdiccion", "corta").agg(
+        F.when(F.count("*") == 1, F.min("completa")).alias("_completo"),
+        F.max("registros_corta").alias("_registros"),
+    )
+    keyed = df.withColumns(
+        {
+            "_clave": F.when(keep, name_key(trimmed(F.col(nombre)))).otherwise(""),
+            "_jurisdiccion": trimmed(F.col(jurisdiccion)),
+        }
+    )
+    per_name = per_name.withColumnsRenamed({"jurisdiccion": "_jurisdiccion", "corta": "_clave"})
+    # Every key of a row, so that a heavy one without a mark is known as well.
+    every = keyed.groupBy("_jurisdiccion", "_clave").agg(F.count("*").alias("_filas"))
+    marks = every.join(per_name, ["_jurisdiccion", "_clave"], "left")
+    joined = join_per_key(keyed, marks, ["_jurisdiccion", "_clave"], "_filas")
+    return joined.select(
+        *df.columns,
+        F.col("_registros").isNotNull().alias(f"{nombre}_TRUNCADO"),
+        F.col("_completo").alias(f"{nombre}_COMPLETO"),
+    )
+
+
 def marcar_duplicados(df: DataFrame) -> DataFrame:
     """Marks rows that share name key and place; deletes nothing.
 

@@ -925,6 +925,24 @@ ORACLES["before_after"] = messy_oracle(CLEAN_TABLE + union([
     f"""SELECT {q(METRICS[-1])}, 0, CAST((SELECT sum(filas_afectadas) FROM ({LOG_SQL})) AS BIGINT)""",
 ]))
 
+# --- truncated names ----------------------------------------------------------------------
+
+SHORTENED = f""", shortened AS (SELECT * REPLACE (CASE WHEN fila_origen % 3 = 0
+  THEN regexp_replace({t('SUPERVISOR')}, ' [^ ]*$', '') ELSE SUPERVISOR END AS SUPERVISOR) FROM messy
+), named AS (SELECT *, CASE WHEN {name_class('SUPERVISOR')} = 'nombre aparente' THEN {name_key(t('SUPERVISOR'))} ELSE '' END AS clave,
+  {t('DEPARTAMENTAL')} AS jurisdiccion FROM shortened
+), keys AS (SELECT jurisdiccion, clave, count(*) AS n FROM named WHERE clave <> '' AND jurisdiccion <> '' GROUP BY 1, 2
+), cut AS (SELECT a.jurisdiccion, a.clave AS corta, b.clave AS completa, a.n AS registros_corta, b.n AS registros_completa
+  FROM keys a JOIN keys b ON a.jurisdiccion = b.jurisdiccion AND starts_with(b.clave, a.clave || ' ')
+  WHERE contains(a.clave, ' '))
+"""
+ORACLES["truncated_names"] = messy_oracle(SHORTENED + "SELECT * FROM cut")
+ORACLES["clean_truncated_marks"] = messy_oracle(SHORTENED + """
+SELECT archivo_origen, fila_origen, SUPERVISOR, n IS NOT NULL AS SUPERVISOR_TRUNCADO,
+  CASE WHEN n = 1 THEN completa END AS SUPERVISOR_COMPLETO
+FROM named LEFT JOIN (SELECT jurisdiccion, corta, count(*) AS n, min(completa) AS completa FROM cut GROUP BY 1, 2) c
+  ON c.jurisdiccion = named.jurisdiccion AND c.corta = named.clave""")
+
 # --- similar texts ------------------------------------------------------------------------
 
 # All pairs of classes that have any shingle in common, counted.

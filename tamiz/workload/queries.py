@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.functions.codes import code_prefix, district_class, name_class, region_relation
+from tamiz.functions.codes import (
+    code_prefix,
+    district_class,
+    is_name,
+    name_class,
+    region_relation,
+)
 from tamiz.functions.phone import phone_class, split_numbers
 from tamiz.functions.text import (
     comparison_key,
@@ -223,6 +229,12 @@ def supervisor_imputed(df):
     )
 
 
+def shortened(df):
+    """Every third supervisor has lost the last word of the name."""
+    cut = F.regexp_replace(trimmed(c("SUPERVISOR")), r" [^ ]*$", "")
+    return df.withColumn("SUPERVISOR", F.when(c("fila_origen") % 3 == 0, cut).otherwise(c("SUPERVISOR")))
+
+
 def written_clean(spark, df):
     """The cleaned table, written once; the checks then scan it several times."""
     path = f"{scratch_dir(spark, 'tamiz-clean')}/limpio"
@@ -412,6 +424,16 @@ QUERIES: dict[str, Query] = {
             *KEY, "DIRECTOR", "DIRECTOR_FUSIONADO"
         )
     ),
+    "truncated_names": on_messy(
+        lambda d: variants.truncated_names(
+            shortened(d), c("SUPERVISOR"), c("DEPARTAMENTAL"), is_name(c("SUPERVISOR"))
+        )
+    ),
+    "clean_truncated_marks": on_messy(
+        lambda d: C.marcar_truncados(shortened(d), "SUPERVISOR", "DEPARTAMENTAL").select(
+            *KEY, "SUPERVISOR", "SUPERVISOR_TRUNCADO", "SUPERVISOR_COMPLETO"
+        )
+    ),
     "clean_duplicate_marks": on_messy(
         lambda d: C.marcar_duplicados(d).select(*KEY, "CANDIDATO_DUPLICADO", "CONFIRMADO")
     ),

@@ -264,3 +264,16 @@ def test_reports_read_the_table_at_most_twice(spark, small_dir, build):
     )
     scans = [line for line in plan.splitlines() if line.startswith("(") and ") Scan parquet" in line]
     assert 1 <= len(scans) <= 2
+
+
+def test_truncated_names_are_flagged_not_merged(spark):
+    names = [
+        ("JOSÉ VASQUEZ", "N"), ("Jose Vasquez", "N"), ("JOSE VASQUEZ REYES", "N"), ("JOSE VASQUEZ", "S"), ("JOSE", "N"),
+        ("ANA LUZ PEREZ", "N"), ("ANA LUZ", "N"), ("ANA LUZ RUIZ", "N"), ("JOSE VASQUEZREYES", "N"), ("JOSE VASQUEZ", ""), ("", "N"), (None, None),
+    ]
+    df = spark.createDataFrame(names, "SUPERVISOR string, DEPARTAMENTAL string")
+    got = C.marcar_truncados(df, "SUPERVISOR", "DEPARTAMENTAL")
+    assert got.drop("SUPERVISOR_TRUNCADO", "SUPERVISOR_COMPLETO").exceptAll(df).count() == 0 and got.count() == len(names)
+    marked = {(r.SUPERVISOR, r.DEPARTAMENTAL): r.SUPERVISOR_COMPLETO for r in got.collect() if r.SUPERVISOR_TRUNCADO}
+    assert marked == {("JOSÉ VASQUEZ", "N"): "JOSE VASQUEZ REYES", ("Jose Vasquez", "N"): "JOSE VASQUEZ REYES", ("ANA LUZ", "N"): None}
+    assert C.marcar_truncados(df.limit(0), "SUPERVISOR", "DEPARTAMENTAL").count() == 0
