@@ -29,6 +29,7 @@ from tamiz.operators.duplicates import duplicate_count
 from tamiz.plans import diagnostics as D
 from tamiz.plans import registry as R
 from tamiz.plans.validation import equivalent_categories, wrong_types
+from tamiz.session import written
 from tamiz.sources.sinks import write_csv
 
 
@@ -367,17 +368,14 @@ def geographic_bundle(df: DataFrame) -> dict[str, DataFrame]:
 def generar_reportes(df: DataFrame, path: str, bom: bool = True) -> list[str]:
     """Writes the seven geographic reports, one folder each; returns their paths.
 
-    The seven reports read the same five columns; they are cached (spilling to
-    disk) for the time of the writes.
+    The seven reports read the same five columns, which are written once as
+    Parquet below the shared scratch folder.
     """
     columns = [*R.GEOGRAPHIC_COLUMNS, *[c for c in R.LINEAGE if c in df.columns]]
-    source = df.select(*columns).persist()
-    try:
-        written = []
-        for name, table in geographic_bundle(source).items():
-            target = f"{path.rstrip('/')}/{name}"
-            write_csv(table, target, bom=bom, single=True)
-            written.append(target)
-        return written
-    finally:
-        source.unpersist()
+    source = written(df.select(*columns), "reports-columns")
+    paths = []
+    for name, table in geographic_bundle(source).items():
+        target = f"{path.rstrip('/')}/{name}"
+        write_csv(table, target, bom=bom, single=True)
+        paths.append(target)
+    return paths

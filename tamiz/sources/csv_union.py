@@ -169,6 +169,20 @@ def number_records(df: DataFrame) -> DataFrame:
     )
 
 
+def _by_reading(spark: SparkSession, path: Paths, load, multiline: bool | None, glob: str) -> DataFrame:
+    """`load(paths, whole)` of the files that are read by split and of those that are read whole."""
+    if multiline is not None:
+        return load(path, multiline)
+    # File names only: the listing that the driver holds for any scan.
+    # The path column of a scan is a URI, and a reader wants it decoded.
+    whole = {unquote(r["ruta"]) for r in files_beyond_lines(spark, path, glob).collect()}
+    if not whole:
+        return load(path, False)
+    plain = {unquote(r["path"]) for r in _files(spark, path, glob).collect()} - whole
+    parts = [load(sorted(plain), False)] if plain else []
+    return reduce(DataFrame.unionByName, [*parts, load(sorted(whole), True)])
+
+
 def _load(
     spark: SparkSession,
     path: Paths,
@@ -185,16 +199,7 @@ def _load(
         frame = reader.csv(target).na.fill("")
         return number_records(frame) if lineage else frame
 
-    if multiline is not None:
-        return load(path, multiline)
-    # File names only: the listing that the driver holds for any scan.
-    # The path column of a scan is a URI, and a reader wants it decoded.
-    whole = {unquote(r["ruta"]) for r in files_beyond_lines(spark, path, glob).collect()}
-    if not whole:
-        return load(path, False)
-    plain = {unquote(r["path"]) for r in _files(spark, path, glob).collect()} - whole
-    parts = [load(sorted(plain), False)] if plain else []
-    return reduce(DataFrame.unionByName, [*parts, load(sorted(whole), True)])
+    return _by_reading(spark, path, load, multiline, glob)
 
 
 def read_union(
@@ -248,21 +253,28 @@ def read_by_name(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def malformed_records(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def malformed_records(
+    spark: SparkSession, path: str, columns: list[str], multiline: bool | None = None, glob: str = GLOB
+) -> DataFrame:
     """Records wider or narrower than the header, with file name and the cells
-    that could be read (S6, report)."""
+    that could be read (S6, report). `multiline` as in `read_union`: files whose
+    every line is a record are read by split."""
     schema = T.StructType(
         [T.StructField(c, T.StringType()) for c in [*columns, "_corrupt_record"]]
     )
-    return (
-        _reader(spark, columns, True)
-        .schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .csv(path)
-        .select(_file_name().alias("archivo"), *columns, "_corrupt_record")
-        .where(F.col("_corrupt_record").isNotNull())
-    )
+
+    def load(target: Paths, whole: bool) -> DataFrame:
+        return (
+            _reader(spark, columns, whole, glob)
+            .schema(schema)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record")
+            .csv(target)
+            .select(_file_name().alias("archivo"), *columns, "_corrupt_record")
+            .where(F.col("_corrupt_record").isNotNull())
+        )
+
+    return _by_reading(spark, path, load, multiline, glob)
 
 
 def load_text(

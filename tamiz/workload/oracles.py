@@ -630,7 +630,6 @@ UNION ALL SELECT 'Columnas de trazabilidad', 2
 UNION ALL SELECT 'Registros crudos generados', count(*) FROM messy
 UNION ALL SELECT 'Registros con información', {count_if(f"NOT ({BLANK_ROW})")} FROM messy
 UNION ALL SELECT 'Filas completamente vacías conservadas', {count_if(BLANK_ROW)} FROM messy"""
-ORACLES["csv_ingest_summary"] = messy_oracle(INGEST)
 ORACLES["ingest_summary"] = messy_oracle(
     INGEST + "\nUNION ALL SELECT 'Archivos unidos', count(DISTINCT archivo_origen) FROM messy"
 )

@@ -101,14 +101,6 @@ def csv_lineage(spark, sf_dir):
     return back.select("origen", "CODIGO", "TELEFONO", "fila_origen")
 
 
-def csv_ingest_summary(spark, sf_dir):
-    folder = scratch_dir(spark, "tamiz-csv")
-    write_csv(messy(spark, sf_dir).drop(*KEY), f"{folder}/datos")
-    back = csv_union.read_union(spark, f"{folder}/datos")
-    # The number of files depends on the writer; see the tests for that guard.
-    return csv_union.ingest_summary(back).where("metrica <> 'Archivos unidos'")
-
-
 # --- text --------------------------------------------------------------------------
 
 def fold_keys(df):
@@ -413,7 +405,6 @@ QUERIES: dict[str, Query] = {
     "ingest_summary": on_messy(csv_union.ingest_summary),
     "csv_round_trip": csv_round_trip,
     "csv_lineage": csv_lineage,
-    "csv_ingest_summary": csv_ingest_summary,
     # cleaning, validation, reports
     "clean_rows": on_messy(clean_rows),
     "transformation_log": on_messy(C.registro_transformaciones),

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tamiz.workload.ingest import INGEST_ORACLES, INGEST_QUERIES
 from tamiz.workload.oracles import ORACLES
 from tamiz.workload.queries import QUERIES
 
@@ -35,8 +36,8 @@ def table(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
-    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) == set(ORACLES) and set(INGEST_QUERIES) == set(INGEST_ORACLES)
+    assert set(QUERIES) | set(INGEST_QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
@@ -44,7 +45,7 @@ def test_entry(spark):
     assert contract.entry(spark).count() == 3
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES | INGEST_QUERIES))
 def test_query_equals_sql(spark, small_dir, oracle, name):
     got = contract.queries()[name](spark, small_dir)
     want = oracle.execute(contract.oracle_sql()[name])
