@@ -32,6 +32,9 @@ from tamiz.operators import consistency, duplicates, frequency, patterns, profil
 from tamiz.operators.distinct import distinct_scalar
 from tamiz.plans import registry as R
 
+# The names of checks, classes and cases that the functions below
+# pass to their reports, and the texts beside them, are those of the data contract.
+
 
 def _t(name: str) -> Column:
     return trimmed(F.col(name))

@@ -528,8 +528,7 @@ def ledger_sql(columns: list[str], rows: list[tuple], counts: dict[str, str]) ->
             if c == "cantidad":
                 fields.append(f"CAST({count} AS BIGINT) AS cantidad")
             elif c == "porcentaje":
-                fixed = entry[c]
-                share = pct(count, "count(*)") if fixed is None else f"CAST({fixed} AS DOUBLE)"
+                share = pct(count, "count(*)" if entry[c] is None else count)
                 fields.append(f"{share} AS porcentaje")
             elif c == "ejemplo":
                 counted = count.removeprefix("count(*)")
