@@ -7,15 +7,18 @@ the items are partitioned by size; from the sizes of two partitions follows
 the least Jaccard similarity that such containment can have (Zhu et al., LSH
 Ensemble, 2016), and from that the number of rows per band at which MinHash
 misses a pair with probability below ``MISS``. Where the document's set is so
-much larger that no banding reaches this, every shared shingle makes a
-candidate. All candidates are verified by counting shared shingles.
+much larger that no banding reaches this, the item's rarest shingles make
+candidates: an item of n shingles that is contained has at most
+``n - ceil(CONTAINED * n)`` of them missing, so one of any one more is in the document.
+A phrase that many items and documents share is thus no candidate's reason.
+All candidates are verified by counting shared shingles.
 
 DataFrame functions only. Shingles are compared by 64-bit hash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.llm.common import free_name, frozen, windows
@@ -114,9 +117,15 @@ def contained_items(
         domains.where(F.col("class") >= large).select("text_digest", "class").withColumnRenamed("class", "doc_class"),
         "text_digest",
     )
-    item_rows = frozen(shingles.join(queries.select("item", F.col("class").alias("item_class")), "item").select("item", "item_class", "h"), "benchmark-rows")
+    held = shared.groupBy("h").agg(F.count("*").alias("texts"))
+    ranked = shingles.join(queries.select("item", "shingles", F.col("class").alias("item_class")), "item").join(held, "h", "left")
+    rarest = Window.partitionBy("item").orderBy(F.coalesce("texts", F.lit(0)), "h")
+    spare = F.col("shingles") - F.ceil(F.lit(contained) * F.col("shingles") - 1e-9)
+    ranked = ranked.withColumn("key", F.row_number().over(rarest) <= spare + 1)
+    item_rows = frozen(ranked.select("item", "item_class", "h", "key"), "benchmark-rows")
+    keys = _bounded(item_rows.where("key"))
     item_rows = _bounded(item_rows)
-    any_shared = wide.join(item_rows, "h").where(F.col("doc_class") >= F.col("item_class") + large)
+    any_shared = wide.join(keys, "h").where(F.col("doc_class") >= F.col("item_class") + large)
     candidates = near.unionByName(any_shared.select("text_digest", "item")).distinct()
 
     counted = (

@@ -532,6 +532,27 @@ def test_decontamination(spark, odd, none):
     assert decontamination.matches(frame, bench.limit(0)).count() == 0
 
 
+def test_a_common_phrase_is_no_candidate(spark, monkeypatch):
+    """A phrase in every item and document adds no pairs, and no match is lost for it."""
+    rng = random.Random(3)
+    words = [f"t{i}" for i in range(20_000)]
+    phrase = "answer the following question in full"
+    items = [(i, f"{phrase} " + " ".join(rng.sample(words, 20))) for i in range(60)]
+    docs = [(i, f"{phrase} " + " ".join(rng.sample(words, 30)) + (" " + items[i % 60][1] + " " + items[(i + 1) % 60][1] if i % 4 == 0 else "")) for i in range(200)]
+    found = []
+    monkeypatch.setattr(decontamination, "frozen", lambda df, prefix: found.append((prefix, common.frozen(df, prefix))) or found[-1][1])
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.matches(frame, bench).collect()}
+    assert got == {(i, k) for i in range(0, 200, 4) for k in (i % 60, (i + 1) % 60)}
+    rows = dict(found)["benchmark-rows"]
+    common_shingles = rows.groupBy("h").count().where("count = 60").select("h")
+    assert common_shingles.count() == 2
+    assert rows.where("key").join(common_shingles, "h").count() == 0
+    keys = {r["count"] for r in rows.where("key").groupBy("item").count().collect()}
+    assert keys == {22 - 18 + 1}
+
+
 # ---- SimHash
 
 
