@@ -155,7 +155,7 @@ def fit(
     sample = sorted(rows.select("doc_id", "label", vector.alias("x")).collect(), key=lambda r: r["doc_id"])
     vectors = [(np.array(r["x"]["index"]), np.array(r["x"]["value"])) for r in sample]
     model.fit(vectors, np.array([r["label"] for r in sample], float))
-    model.bias += log_odds_shift(known, "quality", bound)
+    model.bias += log_odds_shift(docs, known, "quality", bound, doc_id)
     return model
 
 
