@@ -31,8 +31,8 @@ def shuffled_buckets(docs: DataFrame, seed: int, buckets: int) -> DataFrame:
     """
     row = F.monotonically_increasing_id()
     placed = docs.select(row.alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"))
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(buckets)))
-    scattered = placed.repartition(buckets, "bucket")
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(buckets)).cast("int"))
+    scattered = placed.repartitionById(buckets, "bucket")  # one bucket a task, and grouping needs no other shuffle
     in_memory = scattered.groupBy("bucket").agg(F.collect_list(F.struct("row", "record")).alias("rows"))
     ordered = F.array_sort("rows", lambda a, b: F.when(a["row"] < b["row"], -1).otherwise(1))
     mixed = in_memory.select("bucket", F.shuffle(ordered, F.lit(seed)).alias("rows"))

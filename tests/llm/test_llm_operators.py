@@ -21,6 +21,7 @@ import corpus_pipeline
 from tamiz.llm import (
     common,
     decontamination,
+    labelled,
     license_scan,
     packing,
     quality_classifier,
@@ -155,6 +156,21 @@ def test_quality_scores_do_not_shift_with_the_bound(spark):
     assert all(abs(m - 0.9) < 0.04 for m in means), means
 
 
+def test_learnt_rows_do_not_depend_on_layout_or_absent_ids(spark):
+    """Of rows with one id always the same is learnt; labels of ids without a text take no place."""
+    marks = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    rows = [(i, t) for i in range(3000, 3100) for t in ("B", "A", None, f"own {i}")]
+    found = []
+    for parts in (1, 2, 7):
+        docs = spark.createDataFrame(rows[::-1] if parts == 2 else rows, "doc_id long, text string").repartition(parts)
+        learnt = labelled.training_rows(docs, marks, "quality", 20).collect()
+        found.append(sorted((r.doc_id, r.text or "", r.label) for r in learnt))
+    assert found[0] == found[1] == found[2]
+    assert collections.Counter(label for _, _, label in found[0]) == {0: 20, 1: 20}
+    assert all(3000 <= i < 3100 and zlib.crc32(str(i).encode()) % 4 != 2 for i, _, _ in found[0])
+    assert labelled.log_odds_shift(docs, marks.where("doc_id < 3000"), "quality", 5) == 0
+
+
 def test_factorisation_identity():
     model = quality_classifier.FactorisationMachine(50, seed=3)
     model.w = np.random.default_rng(1).normal(size=50)
@@ -417,6 +433,8 @@ def test_shards(spark, small_dir, odd, none):
     assert len(few) == len(TEXTS) and few[0].record.asDict().keys() == set(odd.columns)
     assert collections.Counter(r.shard for r in few) == {0: 3, 1: 3, 2: 2, 3: 2, 4: 2}
     assert sharding.shard(odd, 40).count() == len(TEXTS)
+    # A file for every bucket that has rows: none shares a task with another.
+    assert len(sharding.shuffled_buckets(spark.range(2000), 1, 50).inputFiles()) == 50
     assert sharding.shard(none, 5).count() == 0
 
 
