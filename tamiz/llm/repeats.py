@@ -26,6 +26,7 @@ instead: those that are equal merge, the others part, and no task gets them all.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 
 import numpy as np
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import bounded_batches, bucket_count, lean, lean_pair, text_bytes
+from tamiz.llm.common import bounded_batches, bucket_count, frozen, lean, lean_pair, text_bytes
 
 SPAN = 100
 GRAM = 32
@@ -494,3 +495,135 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     done = remove_repeats(docs, doc_id, text, as_text=True)
     columns = [F.col("kept").alias(c) if c == text else F.col(f"record.`{c}`").alias(c) for c in docs.columns]
     return done.select(*columns)
+
+
+# ---- groups as an output ------------------------------------------------------------------------
+
+
+def own_anchors(bucket: Bucket) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of each document by itself, whatever lies beside it."""
+    places, values = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+    for a, b in itertools.pairwise(bucket.starts.tolist()):
+        if b - a >= SPAN:
+            place, value = anchors(bucket.data[a:b])
+            inside = place + GRAM <= b - a
+            places.append(place[inside] + a)
+            values.append(value[inside])
+    return np.concatenate(places), np.concatenate(values)
+
+
+ANCHORS = "value long, p long, n long"
+
+
+def list_anchors(table: pa.Table) -> pa.Table:
+    """The distinct hashes of a bucket's anchors and how often each occurs, as plain rows."""
+    _, value = own_anchors(Bucket(table))
+    value, count = np.unique(value, return_counts=True)
+    p = np.full(len(value), table.column("p")[0].as_py())
+    return pa.table({"value": value.view(np.int64), "p": p, "n": count})
+
+
+PLACES = "value long, digest binary, order long, row long, start long, context binary"
+
+
+def list_places(docs: pa.Table, repeated: pa.Table) -> pa.Table:
+    """The places of repeated anchors with a digest of their surroundings, which come with the first of equal ones."""
+    types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    names = ("value", "digest", "order", "row", "start", "context")
+    if not docs.num_rows or not repeated.num_rows:
+        return _rows([], names, types)
+    bucket = Bucket(docs)
+    place, value = own_anchors(bucket)
+    known = np.isin(value, repeated.column("value").to_numpy().view(U64))
+    place, value = place[known], value[known]
+    parts, seen = [], set()
+    for k in range(0, len(place), PART):
+        at, own = place[k : k + PART], value[k : k + PART]
+        contexts = bucket.contexts(at, np.full(len(at), BEFORE))
+        doc = bucket.doc(at)
+        left, right = reach(contexts)
+        for i in np.flatnonzero(left + right >= SPAN).tolist():
+            context = contexts[i].tobytes()
+            digest = hashlib.md5(context).digest()
+            parts.append(
+                (
+                    int(own[i].view(np.int64)), digest, int(bucket.ids[doc[i]]), int(bucket.rows[doc[i]]),
+                    int(at[i] - bucket.starts[doc[i]]), None if digest in seen else context,
+                )
+            )
+            seen.add(digest)
+    return _rows(parts, names, types)
+
+
+GROUPS = "group string, length int, back int, digest binary"
+
+
+def list_groups(table: pa.Table) -> pa.Table:
+    """Maximal repeats among the different surroundings of one hash bucket: a row for each member."""
+    contexts = np.frombuffer(b"".join(table.column("context").to_pylist()), np.uint8).reshape(-1, CONTEXT)
+    order = np.argsort(contexts.view(f"S{CONTEXT}").ravel(), kind="stable")
+    contexts = contexts[order]
+    digests = [table.column("digest")[int(i)].as_py() for i in order]
+    times = table.column("n").to_numpy()[order]
+    out = {}  # what is all of one surrounding may also be a part of others
+
+    def group(back: int, ahead: int, members: list[int]) -> None:
+        first = contexts[members[0]]
+        content = first[SPAN : SPAN + back][::-1].tobytes() + b"\0" + first[:ahead].tobytes()
+        name = hashlib.md5(content).hexdigest()
+        out.update(((name, digests[m]), (name, back + ahead, back, digests[m])) for m in members)
+
+    left, right = reach(contexts)
+    for i in np.flatnonzero(times > 1).tolist():  # equal as far as the surroundings go
+        group(int(left[i]), int(right[i]), [i])
+    common = agreement(contexts[:-1, :SPAN], contexts[1:, :SPAN])
+    ends = np.concatenate((np.flatnonzero(common < GRAM), [len(contexts) - 1]))
+    begins = np.concatenate(([0], ends[:-1] + 1))
+    for a, b in zip(begins[ends > begins].tolist(), ends[ends > begins].tolist()):
+        rights = [r.tobytes() for r in contexts[a : b + 1, :SPAN]]
+        lefts = [r.tobytes() for r in contexts[a : b + 1, SPAN:]]
+        for back, ahead, members in maximal_repeats(rights, lefts, common[a:b].tolist()):
+            group(back, ahead, [a + m for m in members])
+    return _rows(list(out.values()), ("group", "length", "back", "digest"), (pa.string(), pa.int32(), pa.int32(), pa.binary()))
+
+
+def repeat_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(group, length, doc_id, start): a row for every occurrence of every maximal repeat.
+
+    A repeat is a string of ``SPAN`` bytes or more around an anchor, at most
+    ``BEFORE`` bytes before it and ``SPAN`` from it on; it is maximal if its
+    occurrences do not all go on alike on either side within these bounds. A
+    longer passage is covered by the groups of its anchors. ``group`` names the
+    string and the anchor's place in it; ``start`` is in bytes. Null ids come as
+    null; texts below ``SPAN`` bytes, null and empty ones are in no group.
+
+    Hashes, places and group members are plain rows that Spark counts and joins,
+    so what moves grows with the anchors; different surroundings alone are
+    compared, and their copies are joined to the groups found. Groups nest: a place
+    with many edited copies is in a group for each way in which they agree, so
+    the result can be far larger than the texts. What removal needs of it is in
+    `remove_repeats`, which keeps the longest spans alone.
+    """
+    bounded_batches(docs)
+    buckets = bucket_count(text_bytes(docs, text), BUCKET_BYTES, LEAST_BUCKETS)
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(f"`{doc_id}`").cast("long").alias("order"),
+        F.col(f"`{text}`").alias("text"),
+    )
+    rows = rows.withColumn("p", F.pmod(F.xxhash64("row"), F.lit(buckets))).repartition(buckets, "p")
+    listed = rows.groupBy("p").applyInArrow(lean(list_anchors), ANCHORS)
+    often = listed.groupBy("value").agg(F.sum("n").alias("total")).where("total > 1").select("value")
+    repeated = listed.select("value", "p").join(often, "value")
+    places = rows.groupBy("p").cogroup(repeated.groupBy("p")).applyInArrow(lean_pair(list_places), PLACES)
+    places = frozen(places, "repeat-places")
+    contexts = places.groupBy("value", "digest").agg(F.count("*").alias("n"), F.max("context").alias("context"))
+    contexts = contexts.withColumn("b", F.pmod("value", F.lit(FINER * buckets)))
+    groups = frozen(contexts.groupBy("b").applyInArrow(lean(list_groups), GROUPS), "repeat-groups")
+    null_id = np.iinfo(np.int64).max
+    return groups.join(places.select("digest", "order", "start"), "digest").select(
+        "group",
+        "length",
+        F.when(F.col("order") != int(null_id), F.col("order")).alias("doc_id"),
+        (F.col("start") - F.col("back")).alias("start"),
+    )

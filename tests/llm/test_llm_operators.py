@@ -484,12 +484,82 @@ def test_repeats_of_edited_copies(spark, hot):
     assert got == brute_repeats(docs)
 
 
-def test_maximal_repeats_have_all_occurrences():
-    text = b"xxABCDEyyABCDEzzABCDFww"
-    places = [i for i in range(len(text))]
-    rights = sorted((text[i:] + b"\0" * 100)[:100] for i in places)
+def brute_groups(docs):
+    """(bytes, anchor's place in them) -> occurrences, from all strings around equal anchors."""
+    places = collections.defaultdict(list)
+    for n, (doc_id, text) in enumerate(docs):
+        data = (text or "").encode()
+        if len(data) >= repeats.SPAN:
+            for place, value in zip(*repeats.anchors(np.frombuffer(data, np.uint8))):
+                if place + repeats.GRAM <= len(data):
+                    places[int(value)].append((n, int(place)))
+    data = [(t or "").encode() for _, t in docs]
+    found = collections.defaultdict(set)
+    for same in places.values():
+        if len(same) < 2:
+            continue
+        strings = collections.defaultdict(set)
+        for n, p in same:
+            for back in range(min(p, repeats.BEFORE) + 1):
+                for ahead in range(1, min(len(data[n]) - p, repeats.SPAN) + 1):
+                    strings[back, data[n][p - back : p + ahead]].add((n, p))
+        for (back, string), members in strings.items():
+            if len(members) < 2 or len(string) < repeats.SPAN:
+                continue
+
+            def goes_on(step):
+                """All members have the same further byte on that side, within the bounds."""
+                if step < 0:
+                    more = {data[n][p - back - 1] if p > back and back < repeats.BEFORE else (n, p) for n, p in members}
+                else:
+                    ahead = len(string) - back
+                    more = {data[n][p + ahead] if p + ahead < len(data[n]) and ahead < repeats.SPAN else (n, p) for n, p in members}
+                return len(more) == 1
+
+            if not goes_on(-1) and not goes_on(1):
+                found[back, string] |= {(docs[n][0], p - back) for n, p in members}
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups_have_all_occurrences(spark, seed):
+    """Groups equal brute force: edited copies, whole copies, texts that begin and end with the passage, rows without one."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice(["alpha", "beta", "gamma", "délta", "x"]) + str(rng.randrange(30))
+    passage = " ".join(word() for _ in range(24))
+    docs = [(0, passage), (1, f"{word()} {passage}"), (2, f"{passage} {word()}"), (3, None), (4, "short"), (5, passage[20:])]
+    for i in range(6, 14):
+        text = list(f"{' '.join(word() for _ in range(12))} {passage} {' '.join(word() for _ in range(12))}")
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(len(text))] = "q"
+        docs.append((i, "".join(text)))
+    docs.append((14, docs[7][1]))
+    frame = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, digest string").repartition(3)
+    got = collections.defaultdict(set)
+    for r in repeats.repeat_groups(frame).collect():
+        assert (r.doc_id, r.start) not in got[r.group, r.length]
+        got[r.group, r.length].add((r.doc_id, r.start))
+    want = brute_groups(docs)
+    assert len(want) > 5
+    texts = dict(docs)
+    named = collections.Counter()
+    for (_, length), members in got.items():
+        strings = {texts[d].encode()[s : s + length] for d, s in members}
+        assert len(strings) == 1
+        named[strings.pop(), frozenset(members)] += 1
+    assert named == collections.Counter((string, frozenset(members)) for (_, string), members in want.items())
+
+
+def test_groups_of_odd_rows(odd, none):
+    rows = repeats.repeat_groups(odd).collect()
+    assert {r.doc_id for r in rows} == {1, 2} and all(r.length >= repeats.SPAN and r.start >= 0 for r in rows)
+    sizes = collections.Counter(r.group for r in rows)
+    assert set(sizes.values()) == {3}
+    assert repeats.repeat_groups(none).count() == 0
+
+
+def test_prefixes_and_intervals():
     assert list(repeats.intervals([1, 3, 2])) == [(3, 1, 2), (2, 1, 3), (1, 0, 3)]
-    assert len(rights) == len(text)
     assert repeats.prefix(b"abc", b"abd") == 2 and repeats.prefix(b"ab\0", b"ab\0") == 2
 
 
