@@ -10,14 +10,13 @@ score is that of its worst window.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.common import bounded_batches
+from tamiz.llm.common import bounded_batches, frozen
 from tamiz.llm.labelled import training_rows
 
 LENGTH = 16
@@ -28,10 +27,23 @@ CHAR_DIM = 8
 CHAR_BUCKETS = 1 << 13
 VOCABULARY = 20_000
 #: Documents of each label learnt from, with all of their windows.
-SAMPLE = 1200
-#: Windows of a clean document that a round adds.
+SAMPLE = 2400
+#: Windows of a document that a round takes, at most.
 HARD = 4
-EPOCHS = 2
+#: Toxic texts from which a word's preference counts whole.
+SURE = 10
+#: Clean windows for each toxic one in training.
+CLEAN_SHARE = 8
+#: What a word's preference counts for in its first vector.
+PREFERENCE = 0.3
+ROUNDS = 4
+EPOCHS = 4
+#: Score at which a text is called toxic, and what a clean text above it weighs against a toxic one.
+CUTOFF, FALSE = 0.3, 4.0
+#: How far from the clean side the cutoff lies; learnt texts part more widely than others.
+BETWEEN = 0.05
+#: Characters of a window that is learnt from, at most.
+WINDOW_CHARS = 2_000
 DECAY = 0.002
 STRIP = ".,;:!?\"'()[]{}*-_"
 KNOWN_WORDS = 300_000
@@ -271,64 +283,130 @@ class Scorer(dict):
 
 
 def _windows_of(words: list[str]) -> list[list[str]]:
-    """All windows of one text, in the order of their hashes."""
+    """All windows of one text, in the order of their hashes; those of more than ``WINDOW_CHARS`` are not learnt from."""
     windows = [words[a : a + LENGTH] for a in window_starts(len(words))]
+    windows = [w for w in windows if sum(map(len, w)) <= WINDOW_CHARS] or [[]]
     return sorted(windows, key=lambda w: zlib.crc32(" ".join(w).encode("utf-8", "replace")))
 
 
+def _cores(text: str | None) -> list[str]:
+    return list(map(word_core, (text or "").split()))
+
+
+def word_counts(rows: DataFrame, text: str) -> dict[str, tuple[int, int]]:
+    """Clean and toxic texts that hold a word, of the ``VOCABULARY`` words in most texts, three at least."""
+
+    @F.arrow_udf("array<string>")
+    def held(texts: pa.Array) -> pa.Array:
+        found = [sorted({w for w in _cores(t) if len(w) <= WINDOW_CHARS}) for t in texts.to_pylist()]
+        return pa.array(found, pa.list_(pa.string()))
+
+    words = rows.select("label", F.explode(held(F.col(f"`{text}`"))).alias("word")).groupBy("word")
+    counted = words.agg(F.count_if(F.col("label") == 0).alias("clean"), F.count_if(F.col("label") == 1).alias("toxic"))
+    often = counted.where("clean + toxic > 2").orderBy(F.desc(F.col("clean") + F.col("toxic")), "word").limit(VOCABULARY)
+    return {r["word"]: (r["clean"], r["toxic"]) for r in often.collect()}
+
+
+def picked(rows: DataFrame, text: str, choose) -> dict[int, list[list[str]]]:
+    """Windows by label: of every text those that ``choose`` of (label, windows) names, at most ``HARD``.
+
+    All windows of a text are made and judged in the task that holds it; the driver gets the chosen ones.
+    """
+
+    def windows(batches):
+        for batch in batches:
+            ids, labels, texts = (batch.column(i).to_pylist() for i in range(3))
+            out = []
+            for doc_id, label, value in zip(ids, labels, texts):
+                own = _windows_of(_cores(value))
+                out += [(doc_id, label, k, own[i]) for k, i in enumerate(choose(label, own)[:HARD])]
+            columns = list(zip(*out)) if out else [(), (), (), ()]
+            types = (batch.schema.field(0).type, pa.int32(), pa.int32(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "label", "k", "window"]
+            )
+
+    source = rows.select("doc_id", "label", F.col(f"`{text}`").alias("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    chosen = source.mapInArrow(windows, f"doc_id {kind}, label int, k int, window array<string>").collect()
+    found: dict[int, list[list[str]]] = {0: [], 1: []}
+    for r in sorted(chosen, key=lambda r: (r["doc_id"], r["k"])):
+        found[r["label"]].append(list(r["window"]))
+    return found
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, doc_id: str = "doc_id", text: str = "text"
 ) -> Network:
-    """Learns from all windows of at most ``bound`` documents of each label; the driver holds their words.
+    """Learns from all windows of at most ``bound`` documents of each label.
 
     A label names a text, not a window. The window of a toxic text is first the
     one with the word that most prefers toxic texts; in later rounds it is the
     one that the network finds worst, and the clean windows that it finds worst
-    are added. Without labels of both kinds all scores are 0.5 or the one label.
+    are added. Texts are cut and their windows judged by the tasks; the driver
+    holds words and windows in numbers that ``bound`` and the constants fix.
+    Without labels of both kinds all scores are 0.5 or the one label.
     """
-
-    @F.arrow_udf("string")
-    def cores(texts: pa.Array) -> pa.Array:
-        return pa.array([" ".join(map(word_core, (t or "").split())) for t in texts.to_pylist()], pa.string())
-
-    rows = training_rows(docs, labels, "toxic", bound, doc_id=doc_id, columns=(text,))
-    sample = rows.select("doc_id", "label", cores(F.col(f"`{text}`")).alias("words")).collect()
-    sample = sorted(sample, key=lambda r: r["doc_id"])
-    return learnt([_windows_of(r["words"].split(" ") if r["words"] else []) for r in sample], [r["label"] for r in sample])
-
-
-def learnt(texts: list[list[list[str]]], labels: list[int]) -> Network:
-    """A network for texts given as lists of windows."""
-    groups = {k: [text for text, label in zip(texts, labels) if label == k and text] for k in (0, 1)}
-    if not groups[0] or not groups[1]:
+    bounded_batches(docs)
+    rows = frozen(training_rows(docs, labels, "toxic", bound, doc_id=doc_id, columns=(text,)), "toxicity-sample")
+    texts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(texts) < 2:
         network = Network([])
-        network.constant = float(bool(groups[1])) if groups[0] or groups[1] else 0.5
+        network.constant = float(next(iter(texts))) if texts else 0.5
         return network
-    in_docs = {k: Counter(w for doc in group for w in {x for window in doc for x in window}) for k, group in groups.items()}
+    counts = word_counts(rows, text)
 
     def preference(word: str) -> float:
-        toxic = (in_docs[1][word] + 0.1) / (len(groups[1]) + 1)
-        return float(np.log(toxic / ((in_docs[0][word] + 0.1) / (len(groups[0]) + 1)))) * min(1.0, in_docs[1][word] / 5)
-
-    both = in_docs[0] + in_docs[1]
-    vocabulary = [w for w, n in sorted(both.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n > 2]
-    network = Network(vocabulary)
-    clean = [w for doc in groups[0] for w in doc[:HARD]]
-    worst = [max(doc, key=lambda w: max(map(preference, w), default=-9.0)) for doc in groups[1]]
-    for last in (False, False, True):
-        times = max(1, round(len(clean) / len(worst) / 4))
+        clean, toxic = counts.get(word, (0, 0))
+        ratio = ((toxic + 0.1) / (texts[1] + 1)) / ((clean + 0.1) / (texts[0] + 1))
+        return float(np.log(ratio)) * min(1.0, toxic / SURE)
+
+    def by_words(label: int, windows: list) -> list[int]:
+        if label == 0:
+            return list(range(len(windows)))
+        return [max(range(len(windows)), key=lambda i: max(map(preference, windows[i]), default=-9.0))]
+
+    network = Network(list(counts))
+    # A word vector begins with how much toxic texts prefer the word.
+    network.p["words"][1:, 0] = [PREFERENCE * preference(w) for w in counts]
+    first = picked(rows, text, by_words)
+    clean, worst = first[0], first[1]
+    for last in [False] * (ROUNDS - 1) + [True]:
+        times = max(1, round(len(clean) / len(worst) / CLEAN_SHARE))
         labels_of = np.concatenate((np.zeros(len(clean)), np.ones(len(worst) * times))).astype(f32)
         network.fit(clean + worst * times, labels_of, EPOCHS)
         if not last:
-            worst = [doc[int(network.scores(doc).argmax())] for doc in groups[1]]
-            hard = []
-            for doc in groups[0]:
-                scores = network.scores(doc)
-                hard += [doc[i] for i in np.argsort(-scores)[:HARD] if scores[i] > 0.02]
-            clean += hard
+
+            def by_score(label: int, windows: list) -> list[int]:
+                scores = network.scores(windows)
+                order = np.argsort(-scores, kind="stable").tolist()
+                return order[:1] if label == 1 else [i for i in order[:HARD] if scores[i] > 0.02]
+
+            found = picked(rows, text, by_score)
+            worst = found[1]
+            clean = clean + found[0]
+    # Where texts part best, the score is CUTOFF.
+    scored = with_score(rows.select("label", F.col(f"`{text}`").alias("text")), network, name="own").select("label", "own")
+    sample = sorted((r["own"], r["label"]) for r in scored.collect())
+    part = best_cutoff(np.array([x for x, _ in sample]), np.array([y for _, y in sample]))
+    network.p["ob"] += np.log(CUTOFF / (1 - CUTOFF)) - np.log(part / (1 - part))
     return network
 
 
+def best_cutoff(scores: np.ndarray, labels: np.ndarray) -> float:
+    """Where to part ascending scores: the most toxic texts at or above it, less ``FALSE`` times the clean ones, as shares.
+
+    ``BETWEEN`` the scores on both sides, of equally good places the lowest.
+    """
+    above = np.concatenate((np.cumsum(labels[::-1])[::-1], [0])) / labels.sum()
+    wrong = np.concatenate((np.cumsum((1 - labels)[::-1])[::-1], [0])) / (1 - labels).sum()
+    edges = np.clip(np.concatenate(([0.0], scores, [1.0])), 1e-6, 1 - 1e-6)
+    gain = np.where(edges[1:] > edges[:-1], above - FALSE * wrong, -np.inf)
+    i = int(gain.argmax())
+    logits = np.log(edges[i : i + 2] / (1 - edges[i : i + 2]))
+    return float(1 / (1 + np.exp(-(logits[0] + BETWEEN * (logits[1] - logits[0])))))
+
+
 def with_score(docs: DataFrame, network: Network, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the probability (double) that the worst window of each whole text is toxic.
 

@@ -137,13 +137,36 @@ def test_packing_odd_rows(odd, none):
 # ---- classifiers
 
 
-@pytest.mark.parametrize("name, label", [("op2_quality_classifier", "quality"), ("op8_toxicity", "toxic")])
-def test_held_out_accuracy(spark, name, label):
-    sf_dir = "/root/testdata/sf0.01"
+def held_out_rows(spark, name, sf):
+    sf_dir = f"/root/testdata/sf{sf}"
     marks = common.load(spark, sf_dir, "labels")
     rows = LLM_QUERIES[name](spark, sf_dir).join(marks, "doc_id").where("held_out").collect()
     assert all(0 <= r.score <= 1 for r in rows)
-    assert np.mean([r.predicted == r[label] for r in rows]) > (0.93 if label == "quality" else 0.85)
+    return rows
+
+
+def test_held_out_quality(spark):
+    rows = held_out_rows(spark, "op2_quality_classifier", "0.01")
+    low = [r for r in rows if r.quality == 0]
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.93
+    assert low and np.mean([r.predicted == 0 for r in low]) > 0.5
+
+
+def test_held_out_toxicity(spark):
+    """Neither 'always clean' nor 'always toxic' passes."""
+    rows = held_out_rows(spark, "op8_toxicity", "0.1")
+    toxic = [r.predicted for r in rows if r.toxic == 1]
+    clean = [r.predicted for r in rows if r.toxic == 0]
+    assert len(toxic) > 100 and np.mean(toxic) > 0.85
+    assert np.mean(clean) < 0.02
+
+
+def test_best_cutoff():
+    scores = np.array([0.1, 0.2, 0.4, 0.6, 0.9])
+    cut = toxicity.best_cutoff(scores, np.array([0, 0, 0, 1, 1]))
+    assert 0.4 < cut < 0.5
+    assert 0.6 < toxicity.best_cutoff(scores, np.array([0, 1, 0, 0, 1])) < 0.7
+    assert toxicity.best_cutoff(np.array([0.5, 0.5]), np.array([0, 1])) not in (0, 1)
 
 
 def test_quality_scores_do_not_shift_with_the_bound(spark):
@@ -197,15 +220,17 @@ def test_classifiers_odd_rows(spark, odd, none, labels):
 
 
 def test_toxicity_learns_from_every_window(spark, monkeypatch):
-    words = [f"w{i}" for i in range(2000)] + ["long" * 200] * 16
-    texts = [(i, " ".join(words), int(i % 2)) for i in range(1, 40)]
-    docs = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
-    seen = []
-    monkeypatch.setattr(toxicity, "learnt", lambda windows, labels: seen.extend(zip(labels, windows)))
-    toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    """Tasks judge all windows of a text but those of very many characters."""
+    monkeypatch.setattr(toxicity, "HARD", 10_000)
+    words = [f"w{i}" for i in range(2000)]
+    rows = [(i, " ".join(words if i else words + ["x" * 3000]), i % 2) for i in range(4)] + [(4, None, 0), (5, "y" * 3000, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    found = toxicity.picked(docs, "text", lambda label, windows: range(len(windows)))
     want = sorted(words[a : a + toxicity.LENGTH] for a in toxicity.window_starts(len(words)))
-    assert {label for label, _ in seen} == {0, 1}
-    assert all(sorted(windows) == want for _, windows in seen)
+    assert sorted(found[1]) == sorted(2 * want + [[]])
+    assert sorted(w for w in found[0] if w and w in want) == sorted(2 * want) and [] in found[0]
+    counts = toxicity.word_counts(docs, "text")
+    assert set(counts) == set(words) and set(counts.values()) == {(2, 2)}
 
 
 def test_network_gradients():
