@@ -1,4 +1,4 @@
-"""DuckDB SQL of the queries on resampling and the Merkle manifest."""
+"""DuckDB SQL of the queries on repeated passages, resampling and the Merkle manifest."""
 
 from __future__ import annotations
 
@@ -109,3 +109,29 @@ SELECT doc_id, placed.h AS leaf, sources.h AS subroot, up_{_LEVELS}.h AS root, s
   x = up_{_LEVELS}.h AS verified
 FROM placed JOIN sources ON sources.source = placed.tree JOIN up_fold_{_LEVELS} f ON f.key = placed.doc_id, up_{_LEVELS}
 """
+
+#: Strings of 100 bytes as digits; a byte goes if one that covers it starts earlier somewhere.
+REPEATS_SQL = """
+WITH texts AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(coalesce(text, '')) AS digits FROM documents
+), starts AS (
+  SELECT doc_id, i, md5(substr(digits, 2 * i + 1, 200)) AS string
+  FROM (SELECT doc_id, digits, unnest(range(n - 99)) AS i FROM texts WHERE n >= 100)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY string ORDER BY doc_id, i) AS k FROM starts) WHERE k > 1
+), bytes AS (
+  SELECT doc_id, i, substr(digits, 2 * i + 1, 2) AS digit FROM (SELECT doc_id, digits, unnest(range(n)) AS i FROM texts)
+), covered AS (
+  SELECT doc_id, i, digit, count(again.i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) > 0 AS gone
+  FROM bytes LEFT JOIN again USING (doc_id, i)
+), edges AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM covered
+), cut AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
+    coalesce(string_agg(digit, '' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept
+  FROM edges GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""

@@ -24,7 +24,7 @@ from tamiz.llm import (
     toxicity,
 )
 from tamiz.llm.common import frozen, held_out, load, words
-from tamiz.llm.oracles import MERKLE_SQL, RESAMPLING_SQL
+from tamiz.llm.oracles import MERKLE_SQL, REPEATS_SQL, RESAMPLING_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -265,6 +265,7 @@ FROM canon JOIN known USING (c) WHERE c <> ''
 LLM_ORACLES: dict[str, str] = {
     "op3_license_scan": LICENSE_SQL,
     "op5_quality_rules": RULES_SQL,
+    "op7_suffix_array": REPEATS_SQL,
     "op9_decontamination": CONTAINED_SQL,
     "op11_resampling": RESAMPLING_SQL,
     "op13_merkle": MERKLE_SQL,
