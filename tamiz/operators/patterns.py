@@ -58,7 +58,8 @@ def first_examples(
     data. The n-th least place of a label is as far as its examples can lie.
     The second pass takes the rows up to there; only their values move.
 
-    The places are broadcast if `label_count`, the fixed number of labels, is given.
+    The places are broadcast if `label_count`, the fixed number of labels, is
+    given; otherwise the farthest of them is, as a number.
     """
     base = ordered_by_key(df.withColumns({"_value": value, "_labels": labels}), order)
     # The outer form and a null test after it: for a plain explode the optimizer
@@ -69,6 +70,10 @@ def first_examples(
     until = places.groupBy(name).agg(F.get(F.array_sort(F.collect_list("_place")), F.lit(n - 1)).alias("_until"))
     if label_count is not None:
         until = F.broadcast(until)
+    else:  # one number first, so that rows beyond the last place of all labels end where they are read
+        endless = F.lit((1 << 63) - 1)
+        last = until.agg(F.max(F.coalesce("_until", endless)).alias("_last")).scalar()
+        tagged = tagged.where(F.col("_key") <= F.coalesce(last, endless))
     near = tagged.join(until, name).where(F.col("_until").isNull() | (F.col("_key") <= F.col("_until")))
     firsts = near.groupBy(name, "_value").agg(F.min("_key").alias("_first"))
     rank = F.row_number().over(Window.partitionBy(name).orderBy("_first", "_value"))
