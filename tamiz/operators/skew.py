@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 HEAVY_ROWS = 100_000
 HEAVY_KEYS = 50_000
 
-# Lookup tables up to this many rows are broadcast, after counting them.
-BROADCAST_ROWS = 200_000
-SALTS = 64
-
 
 def join_per_key(
     rows: DataFrame,
@@ -48,26 +44,19 @@ def join_per_key(
 
 
 def join_lookup(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    broadcast_rows: int = BROADCAST_ROWS,
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left", heavy_rows: int | None = None
 ) -> DataFrame:
-    """rows joined with a reference table that has one row per key.
+    """rows joined with a reference table that has one row per key, of any size.
 
-    The table is counted (never further than the limit). A small one is
-    broadcast; a larger one is repeated under a salt, and rows spread over the
-    salts, so that a frequent key is divided among tasks. The salt follows from
-    a row and its input partition: copies of one row spread too, and a task
-    that runs again gives the same salts in whatever order it reads.
+    How often the rows have a key is counted first, map-side. The entries of
+    frequent keys are broadcast to their rows; all others meet in a join
+    that the engine broadcasts or shuffles by the bytes it finds. Nothing
+    runs while the query is built. Rows with a null key find nothing.
     """
-    size = lookup.select(*keys).limit(broadcast_rows + 1).count()
-    if size <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), keys, how)
-    spread = F.xxhash64(F.spark_partition_id(), *rows.columns)
-    salted_rows = rows.withColumn("_salt", F.pmod(spread, F.lit(SALTS)))
-    salted_lookup = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    )
-    return salted_rows.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
+    taken, weight = {c.lower() for c in [*rows.columns, *lookup.columns]}, "_filas"
+    while weight in taken:
+        weight += "_"
+    counts = rows.groupBy(*keys).agg(F.count("*").alias(weight))
+    # For a left join every key is listed, so that a frequent one without an entry is known too.
+    entries = counts.join(lookup, keys, how)
+    return join_per_key(rows, entries, keys, weight, how, heavy_rows).drop(weight)

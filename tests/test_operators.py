@@ -48,11 +48,25 @@ def test_left_join_per_key_keeps_unmatched_rows(skewed, heavy_rows):
     assert all(r.n == (None if r.k == "1" else want[r.k]) for r in got)
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_lookup_join_broadcast_or_salted(skewed, limit):
-    lookup = skewed.select("k").distinct().withColumn("name", F.concat(F.lit("n-"), "k"))
-    got = skew.join_lookup(skewed, lookup, ["k"], broadcast_rows=limit).collect()
-    assert len(got) == 900 and all(r.name == f"n-{r.k}" for r in got)
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("heavy_rows", [2, 100, None])
+def test_lookup_join_with_frequent_keys(skewed, how, heavy_rows):
+    """A third of the rows have one key; that key, others and null keys may be missing in the table."""
+    rows = skewed.withColumn("k", F.when(F.col("id") % 11 != 0, F.col("k")))
+    for absent in ("1", "hot"):
+        lookup = rows.select("k").distinct().where(F.col("k") != absent).withColumn("name", F.concat(F.lit("n-"), "k"))
+        got = skew.join_lookup(rows, lookup, ["k"], how, heavy_rows)
+        assert got.columns == ["k", "id", "v", "name"]
+        found = {r.id: r.name for r in got.collect()}
+        known = {r.id: None if r.k in (None, absent) else f"n-{r.k}" for r in rows.collect()}
+        assert found == (known if how == "left" else {i: n for i, n in known.items() if n})
+
+
+def test_building_a_lookup_join_runs_nothing(spark, skewed):
+    spark.sparkContext.setJobGroup("lookup", "lookup")
+    skew.join_lookup(skewed, skewed.select("k").distinct().withColumn("n", F.lit(1)), ["k"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lookup")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_distinct_counts(skewed):
