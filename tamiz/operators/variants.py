@@ -192,7 +192,9 @@ def near_pairs(
     reduced = F.array("clave")
     for _ in range(max_distance):
         reduced = shorten(reduced)
-    shapes = names.select("bloque", "clave", "registros", F.explode_outer(reduced).alias("_shape"))
+    # Their hashes travel: a text of L characters has L forms of L characters each.
+    hashed = F.array_distinct(F.transform(reduced, lambda form: F.xxhash64(form)))
+    shapes = names.select("bloque", "clave", "registros", F.explode_outer(hashed).alias("_shape"))
     left = shapes.select(
         "bloque", "_shape", F.col("clave").alias("clave_a"), F.col("registros").alias("registros_a")
     )
