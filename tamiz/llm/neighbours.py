@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from tamiz.llm.common import bounded_batches, frozen, release_memory
 
 #: Vectors that a list holds on average before boundary copies, lists at most, and sample vectors for each.
-LIST_ROWS, MAX_LISTS, SAMPLE_PER_LIST = 128, 16_384, 8
+LIST_ROWS, MAX_LISTS, SAMPLE_PER_LIST = 256, 16_384, 8
 #: A vector is copied to centroids within this ratio of its nearest one, into so many lists at most.
 COPY_RATIO, COPIES = 1.1, 4
 #: A query reads all lists whose centroid is within this ratio of its nearest one.
-SEARCH_RATIO = 1.2
+SEARCH_RATIO = 1.3
 #: Numbers that the sample may hold: long vectors have fewer lists.
 SAMPLE_NUMBERS = 16_000_000
 #: Entries and queries of one cell.
