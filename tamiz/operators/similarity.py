@@ -11,8 +11,8 @@ as a key come last (found in one round over all sets), so a passage that many
 texts share is a key of those texts alone that hold little else. Pairs that meet at a key pass a length
 filter, a bitmap filter (a bit that one set has alone is a shingle that the
 other lacks) and one on the number of keys at which they meet (a key that the
-other lacks, though its keys go as far, is a shingle that it lacks); none
-rejects a pair that is alike. The sets of the pairs left
+other lacks, though its keys go as far, is a shingle that it lacks), and then a
+bitmap filter of more bits; none rejects a pair that is alike. The sets of the pairs left
 are made once more and compared. No pair is lost, whatever ``common`` is.
 
 Null and blank texts have no shingles: they form one class, alike to none. A
@@ -40,6 +40,9 @@ COMMON = 1_000
 #: 64-bit words of the bitmap of a set, a power of two.
 BITMAP_WORDS = 8
 BITMAP = [f"b{w}" for w in range(BITMAP_WORDS)]
+#: The same for the sets of pairs that are left, before whole sets are joined.
+WIDE_WORDS = 32
+WIDE = [f"w{w}" for w in range(WIDE_WORDS)]
 SET = ["h1", "h2", "tamano"]
 
 
@@ -158,10 +161,21 @@ def _keys(
     return begun.where(enough).select("clase", "tamano", "claves", F.lit(False).alias("tarde")).unionByName(anew)
 
 
-def _only(a: str, b: str) -> Column:
+def _only(a: str, b: str, words: list[str] = BITMAP) -> Column:
     """Bits that ``a`` has and ``b`` lacks: at least so many shingles are in ``a`` alone."""
     return reduce(
-        add, [F.bit_count(F.col(f"{a}.{w}").bitwiseAND(F.bitwise_not(F.col(f"{b}.{w}")))) for w in BITMAP]
+        add, [F.bit_count(F.col(f"{a}.{w}").bitwiseAND(F.bitwise_not(F.col(f"{b}.{w}")))) for w in words]
+    )
+
+
+def _wide_bitmaps(sets: DataFrame) -> DataFrame:
+    """(clase, tamano, w0, ...): a bit for every shingle, of 64 * WIDE_WORDS. A task sends one row per class."""
+    place = F.col("token").bitwiseAND(64 * WIDE_WORDS - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    tokens = sets.select("clase", "tamano", F.explode_outer("set").alias("token"))
+    words = [F.bit_or(F.when(F.shiftright(place, 6) == w, bit)) for w in range(WIDE_WORDS)]
+    return tokens.groupBy("clase", "tamano").agg(
+        *[F.coalesce(word, F.lit(0).cast("long")).alias(name) for word, name in zip(words, WIDE)]
     )
 
 
@@ -210,6 +224,12 @@ def similar_pairs(
     ends = pairs.select(F.explode(F.array("clase_a", "clase_b")).alias("clase")).distinct()
     chosen = _whole_sets(df, ends, key, text, words).dropDuplicates(["clase"])
     chosen = written(chosen, "similarity-chosen")
+    wide = written(_wide_bitmaps(chosen), "similarity-wide")
+    a, b = wide.alias("a"), wide.alias("b")
+    both = pairs.join(a, F.col("clase_a") == F.col("a.clase")).join(b, F.col("clase_b") == F.col("b.clase"))
+    most = F.least(F.col("a.tamano") - _only("a", "b", WIDE), F.col("b.tamano") - _only("b", "a", WIDE))
+    needed = (F.col("a.tamano") + F.col("b.tamano")) * (least / (1 + least)) - 1e-6
+    pairs = written(both.where(most >= needed).select("clase_a", "clase_b"), "similarity-near")
     one, other = (chosen.select(*[F.col(c).alias(f"{c}_{x}") for c in chosen.columns]) for x in "ab")
     met = pairs.join(one, "clase_a").join(other, "clase_b")
     counted = met.withColumn("comunes", F.size(F.array_intersect("set_a", "set_b")))
