@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tasks for every split of a large table: a row of the view is made from eight bytes that are
+#: read, and a split holds millions of them.
+TASKS_PER_SPLIT = 16
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
 MESSY_CTE = """
 b AS (
   SELECT o_orderkey AS k, (o_orderkey % 500 = 0) AS e FROM {orders}
@@ -46,11 +51,28 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
+def short_methods(spark: SparkSession) -> None:
+    """Stages of many columns are generated in short methods, unless the session asks for something else.
+
+    Whole-stage code puts all columns of the view into one method, and the JVM interprets methods
+    beyond its limit of 8,000 bytes; Spark's own limit is higher.
+    """
+    if spark.conf.get(METHOD_LIMIT) == "65535":
+        spark.conf.set(METHOD_LIMIT, "8000")
+
+
+def spread_keys(orders: DataFrame) -> DataFrame:
+    """Keys in tasks of like size, however the files are cut: the splits of a large table are few
+    for their rows, and one may hold several row groups and others none."""
+    cores, splits = orders.sparkSession.sparkContext.defaultParallelism, orders.rdd.getNumPartitions()
+    return orders.repartition(cores if splits < cores else splits * TASKS_PER_SPLIT, "o_orderkey")
+
+
 def messy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The view as a lazy projection of the orders table."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
-    orders = spread(orders, "o_orderkey")
-    return spark.sql(f"WITH {MESSY_CTE} SELECT * FROM messy", orders=orders)
+    short_methods(spark)
+    return spark.sql(f"WITH {MESSY_CTE} SELECT * FROM messy", orders=spread_keys(orders))
 
 
 def messy_oracle(body: str) -> str:

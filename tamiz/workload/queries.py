@@ -27,7 +27,7 @@ from tamiz.plans import cleaning as C
 from tamiz.plans import diagnostics as D
 from tamiz.plans import registry as R
 from tamiz.plans import reports, validation
-from tamiz.session import scratch_dir
+from tamiz.session import scratch_dir, written
 from tamiz.sources import csv_union
 from tamiz.sources.sinks import write_csv
 from tamiz.workload.messy import messy, spread
@@ -250,11 +250,15 @@ def violations(spark, sf_dir):
     rows = messy(spark, sf_dir)
     lower = F.when(c("fila_origen") % 9 == 0, F.lower("SECTOR")).otherwise(c("SECTOR"))
     dirty = rows.withColumn("SECTOR", lower).unionByName(rows.where("fila_origen % 40 = 0"))
-    return validation.violaciones(dirty, spark.createDataFrame(CATALOG, CATALOG_SCHEMA))
+    return validation.violaciones(written(dirty, "tamiz-dirty"), spark.createDataFrame(CATALOG, CATALOG_SCHEMA))
+
+
+def validate_raw(spark, sf_dir):
+    return validation.reporte_validacion(written(messy(spark, sf_dir), "tamiz-raw"))
 
 
 def before_after(spark, sf_dir):
-    raw = messy(spark, sf_dir)
+    raw = written(messy(spark, sf_dir), "tamiz-raw")
     return reports.informe_calidad(
         raw, written_clean(spark, raw), C.registro_transformaciones(raw)
     )
@@ -428,7 +432,7 @@ QUERIES: dict[str, Query] = {
     "clean_duplicate_marks": on_messy(
         lambda d: C.marcar_duplicados(d).select(*KEY, "CANDIDATO_DUPLICADO", "CONFIRMADO")
     ),
-    "validate_raw": on_messy(validation.reporte_validacion),
+    "validate_raw": validate_raw,
     "violations": violations,
     "validate_places": validation_of_places,
     "validate_clean": validation_after,
