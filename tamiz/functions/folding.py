@@ -110,11 +110,16 @@ def let(value: Column, body) -> Column:
 
 def _fold_accented(text: Column) -> Column:
     tables = fold_tables()
+    # Texts without unusual characters need the short begin of the table alone: the engine
+    # compares the whole table with the one it used last, for every text.
+    few = sum(ord(c) < UNUSUAL_RANGES[1][0] for c in tables.source[: len(tables.target)])
     expanded = F.when(
-        text.rlike(UNUSUAL) & text.rlike(tables.expansion_class),
+        text.rlike(tables.expansion_class),
         F.array_join(F.transform(F.split(text, ""), _expand), ""),
     ).otherwise(text)
-    return F.translate(expanded, tables.source, tables.target)
+    return F.when(
+        text.rlike(UNUSUAL), F.translate(expanded, tables.source, tables.target)
+    ).otherwise(F.translate(text, tables.source[:few], tables.target[:few]))
 
 
 def fold(text: Column) -> Column:

@@ -217,8 +217,19 @@ def staged(df: DataFrame) -> tuple[DataFrame, list[Step]]:
     return out, steps
 
 
-def limpiar_datos(df: DataFrame) -> DataFrame:
-    """Source columns cleaned by the row rules, derived columns, lineage."""
+def _changed(step: Step) -> Column:
+    return ~F.col(step.before).eqNullSafe(F.col(step.after))
+
+
+def mark_names(steps: list[Step]) -> list[str]:
+    return [f"_cambio{i}" for i in range(len(steps))]
+
+
+def limpiar_datos(df: DataFrame, marks: bool = False) -> DataFrame:
+    """Source columns cleaned by the row rules, derived columns, lineage.
+
+    With ``marks`` also a column for every rule that says whether it changed the row.
+    """
     out, steps = staged(df)
     final = {s.variable: s.after for s in steps}
     extra = [c for c in df.columns if c not in R.SOURCE_COLUMNS + DERIVED_COLUMNS]
@@ -226,16 +237,20 @@ def limpiar_datos(df: DataFrame) -> DataFrame:
         *[F.col(final[c]).alias(c) for c in R.SOURCE_COLUMNS],
         *[F.col(c) for c in DERIVED_COLUMNS],
         *extra,
+        *([_changed(s).alias(n) for s, n in zip(steps, mark_names(steps))] if marks else []),
     )
 
 
-def registro_transformaciones(df: DataFrame) -> DataFrame:
-    """Rows changed by each rule on each column, all counted in one scan."""
+def registro_transformaciones(df: DataFrame, marked: DataFrame | None = None) -> DataFrame:
+    """Rows changed by each rule on each column, all counted in one scan.
+
+    ``marked`` is the table cleaned with marks if it is there already; the rules then do not run again.
+    """
     out, steps = staged(df)
-    changed = [
-        F.count_if(~F.col(s.before).eqNullSafe(F.col(s.after))).alias(f"n{i}")
-        for i, s in enumerate(steps)
-    ]
+    changes = [_changed(s) for s in steps]
+    if marked is not None:
+        out, changes = marked, [F.col(n) for n in mark_names(steps)]
+    changed = [F.count_if(change).alias(f"n{i}") for i, change in enumerate(changes)]
     rows = [
         F.struct(
             F.lit(s.variable).alias("variable"),

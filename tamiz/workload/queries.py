@@ -259,9 +259,9 @@ def validate_raw(spark, sf_dir):
 
 def before_after(spark, sf_dir):
     raw = written(messy(spark, sf_dir), "tamiz-raw")
-    return reports.informe_calidad(
-        raw, written_clean(spark, raw), C.registro_transformaciones(raw)
-    )
+    marked = written(C.limpiar_datos(raw, marks=True), "tamiz-clean")
+    clean = marked.select([n for n in marked.columns if not n.startswith("_cambio")])
+    return reports.informe_calidad(raw, clean, C.registro_transformaciones(raw, marked))
 
 
 QUERIES: dict[str, Query] = {
