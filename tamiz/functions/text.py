@@ -65,7 +65,9 @@ def full_match(text: Column, pattern: str) -> Column:
 
 
 def has_edge_space(column: Column) -> Column:
-    return plain(column) != trimmed(column)
+    text = plain(column)
+    ends = _solid(text) & _solid(F.substring(text, -1, 1))
+    return (text != "") & ~ends & (text != strip(text))
 
 
 def has_inner_run(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.text import all_blank, digest, plain, trimmed
 from tamiz.operators.skew import HEAVY_KEYS, HEAVY_ROWS
+from tamiz.session import written
 
 
 #: Bits of the filter of repeated fingerprints: 16 MB are broadcast, whatever the data.
@@ -94,6 +95,7 @@ def duplicate_rows(
     drop_blank: bool = False,
     heavy_rows: int | None = None,
     bits: int = FILTER_BITS,
+    write: bool = False,
 ) -> DataFrame:
     """All members of groups of equal rows, with the group size as `copias` (`copias_` if the table has that).
 
@@ -101,12 +103,16 @@ def duplicate_rows(
     rows where they are read; the others meet the repeated values and are
     compared with them. Rows of groups larger than `heavy_rows` meet their
     fingerprint alone, by broadcast, and never shuffle; their values were
-    compared when they were counted.
+    compared when they were counted. With `write` the rows that the filter lets pass
+    are written once, when this is called; else each of the three steps that
+    follow finds them anew in the whole table.
     """
     copies = free_name(df, "copias")
     if drop_blank:
         df = df.where(~all_blank([F.col(f"`{c}`") for c in columns]))
     rows, names = repeated_rows(df, columns, bits)
+    if write:
+        rows = written(rows, "repeated-rows")
     values = _values(rows, names, columns)
     per_print = values.groupBy(*names).agg(F.sum("_n").alias(copies), F.count("*").alias("_values"))
     least = HEAVY_ROWS if heavy_rows is None else heavy_rows

@@ -17,6 +17,7 @@ from tamiz.functions.text import (
     full_match,
     has_edge_space,
     name_key,
+    plain,
     trimmed,
     unaccented,
 )
@@ -26,13 +27,21 @@ from tamiz.operators.skew import join_per_key
 from tamiz.plans import registry as R
 from tamiz.plans.cleaning import TRAILING_DATE
 
+#: A cell that is one number of an approved length, and not of zeros alone.
+SINGLE_NUMBER = r"\A(?!0+\z)(?:" + "|".join(f"[0-9]{{{n}}}" for n in VALID_LENGTHS) + r")\z"
 
-def equivalent_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(columna, valor): the values behind `equivalent_categories`."""
+
+def category_spellings(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(columna, valor, cantidad, escrituras): every value, its rows and how many values share its folded key."""
     values = value_counts(df, columns, trim=True).where("valor <> ''")
     values = values.withColumn("_clave", name_key(F.col("valor")))
     spellings = F.count("*").over(Window.partitionBy("variable", "_clave"))  # one row per value
-    return values.withColumn("_n", spellings).where("_n > 1").select(F.col("variable").alias("columna"), "valor")
+    return values.select(F.col("variable").alias("columna"), "valor", "cantidad", spellings.alias("escrituras"))
+
+
+def equivalent_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(columna, valor): the values behind `equivalent_categories`."""
+    return category_spellings(df, columns).where("escrituras > 1").select("columna", "valor")
 
 
 def equivalent_categories(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -55,21 +64,32 @@ def wrong_types(df: DataFrame, columns: list[str]) -> list[str]:
 def has_wrong_type(column: str) -> Column:
     """The value of a cell reads as another type than its column's (V5)."""
     pattern = R.NUMBER if column in R.WORD_COLUMNS else R.CAST_IDENTIFIER
-    return full_match(trimmed(F.col(column)), pattern)
+    text = plain(F.col(column))
+    word = (text >= "A") & (text < "\x7f")  # begins with what no number begins with
+    return (text != "") & ~word & full_match(trimmed(F.col(column)), pattern)
 
 
 def has_wrong_phone(column: str) -> Column:
     """A cell that holds a number of another length than the approved ones, or none at all (V3)."""
     numbers = split_numbers(F.col(column))
     wrong = let(numbers, lambda ns: (F.size(ns) == 0) | F.exists(ns, lambda n: ~F.length(n).isin(*VALID_LENGTHS)))
-    return (trimmed(F.col(column)) != "") & wrong
+    # One number of an approved length need not be taken apart.
+    single = plain(F.col(column)).rlike(SINGLE_NUMBER)
+    return (trimmed(F.col(column)) != "") & ~single & wrong
+
+
+def has_marker(column: str) -> Column:
+    """The cell is a disguised missing value; upper case is never shorter than the text."""
+    text = F.col(column)
+    short = F.length(plain(text)) <= max(map(len, R.MISSING_MARKERS))
+    return short & F.coalesce(F.upper(text).isin(*R.MISSING_MARKERS), F.lit(False))
 
 
 def invalid_checks() -> list[tuple[str, Column]]:
     """Disguised missing values and contamination left in a row, by column (V7)."""
     address = F.coalesce("DIRECCION", F.lit(""))
     return [
-        *[(c, F.coalesce(F.upper(F.col(c)).isin(*R.MISSING_MARKERS), F.lit(False))) for c in R.SOURCE_COLUMNS],
+        *[(c, has_marker(c)) for c in R.SOURCE_COLUMNS],
         *[(c, F.col(c).isNotNull() & ~is_name(F.col(c))) for c in ("SUPERVISOR", "DIRECTOR")],
         ("DIRECCION", (address != "") & (unaccented(address) == unaccented(trimmed(F.col("MUNICIPIO"))))),
         ("DIRECCION", found(address, TRAILING_DATE)),
@@ -143,34 +163,39 @@ def violaciones(df: DataFrame, municipios: DataFrame | None = None) -> DataFrame
     on values and their counts, and their rows by a join with what breaks the rule.
     """
     checks = row_checks(R.SOURCE_COLUMNS)
-    names = {i: f"_c{i}" for i in range(len(checks))}
-    judged = df.withColumns({names[i]: check for i, (_, _, check) in enumerate(checks)})
-    cells = [
-        F.when(
-            F.col(names[i]),
-            F.struct(F.lit(rule).alias("regla"), F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")),
-        )
-        for i, (rule, c, _) in enumerate(checks)
-    ]
-    own = judged.select(*R.LINEAGE, F.explode_outer(F.array_compact(F.array(*cells))).alias("_v")).where("_v IS NOT NULL")
     shape = ["regla", "columna", *R.LINEAGE, "valor"]
-    own = own.select("_v.regla", "_v.columna", *R.LINEAGE, "_v.valor")
+    # A row sends the numbers of the checks that it breaks; their names and values are looked up after.
+    broken = F.array(*[F.when(check, F.lit(i)).otherwise(0) for i, (_, _, check) in enumerate(checks, 1)])
+    judged = df.select(*R.SOURCE_COLUMNS, *R.LINEAGE, F.array_remove(broken, 0).alias("_rotas"))
+    own = judged.select(*R.SOURCE_COLUMNS, *R.LINEAGE, F.explode_outer("_rotas").alias("_i")).where("_i IS NOT NULL")
+
+    def looked_up(values: list) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), F.col("_i"))
+
+    place = looked_up([R.SOURCE_COLUMNS.index(c) + 1 for _, c, _ in checks])
+    own = own.select(
+        looked_up([rule for rule, _, _ in checks]).alias("regla"),
+        looked_up([c for _, c, _ in checks]).alias("columna"),
+        *R.LINEAGE,
+        F.elt(place, *[F.col(c).cast("string") for c in R.SOURCE_COLUMNS]).alias("valor"),
+    )
 
     def named(rows: DataFrame, rule: str, column: str) -> DataFrame:
         return rows.select(F.lit(rule).alias("regla"), F.lit(column).alias("columna"), *R.LINEAGE, F.col(column).alias("valor"))
 
-    copies = duplicate_rows(df.select(*R.SOURCE_COLUMNS, *R.LINEAGE), R.SOURCE_COLUMNS, drop_blank=True)
+    copies = duplicate_rows(df.select(*R.SOURCE_COLUMNS, *R.LINEAGE), R.SOURCE_COLUMNS, drop_blank=True, write=True)
     coded = df.select("CODIGO", *R.LINEAGE).withColumn("_codigo", trimmed(F.col("CODIGO")))
     repeated = join_per_key(coded, repeated_codes(df).withColumnRenamed("CODIGO", "_codigo"), ["_codigo"], "n")
     bad_places = misplaced_codes(df)
     misplaced = _place(df).join(bad_places, ["_prefijo", "_departamento", "_municipio"])
-    several = equivalent_values(df, R.CATEGORICAL_COLUMNS)
+    spellings = category_spellings(df, R.CATEGORICAL_COLUMNS)
     by_cell = df.select(
         *R.LINEAGE,
         F.inline(F.array(*[F.struct(F.lit(c).alias("columna"), trimmed(F.col(c)).alias("valor")) for c in R.CATEGORICAL_COLUMNS])),
-    )
-    # A category value may be that of most rows; the values that differ in spelling are few.
-    equivalent = by_cell.join(several, ["columna", "valor"]).select(F.lit("V6").alias("regla"), "columna", *R.LINEAGE, "valor")
+    ).where("valor <> ''")
+    # Every value is listed, so that cells of a frequent one stay where they are read, whether it has variants or not.
+    met = join_per_key(by_cell, spellings, ["columna", "valor"], "cantidad").where("escrituras > 1")
+    equivalent = met.select(F.lit("V6").alias("regla"), "columna", *R.LINEAGE, "valor")
     found_ = [
         own,
         named(copies, "V1", "CODIGO"),

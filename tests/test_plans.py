@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tamiz.operators import skew
+from tamiz.functions import text
+from tamiz.functions.phone import split_numbers
+from tamiz.operators import duplicates, skew
 from tamiz.plans import cleaning as C
 from tamiz.plans import diagnostics as D
 from tamiz.plans import registry as R
@@ -277,3 +279,46 @@ def test_truncated_names_are_flagged_not_merged(spark):
     marked = {(r.SUPERVISOR, r.DEPARTAMENTAL): r.SUPERVISOR_COMPLETO for r in got.collect() if r.SUPERVISOR_TRUNCADO}
     assert marked == {("JOSÉ VASQUEZ", "N"): "JOSE VASQUEZ REYES", ("Jose Vasquez", "N"): "JOSE VASQUEZ REYES", ("ANA LUZ", "N"): None}
     assert C.marcar_truncados(df.limit(0), "SUPERVISOR", "DEPARTAMENTAL").count() == 0
+
+
+ODD_CELLS = [
+    None, "", " ", " ", "a", " a", "a ", "A b", "~x", "\x7fx", "É", "é ", "12", " 12 ", "+3", "-1,5e3", "1.0", "2E+5", "٣", "x1",
+    "24328801", "2432880", "00000000", "0000000", "123456789", "24328801\n", "٢٤٣٢٨٨٠١", "24328801-02", "123", "24328801, 99", "s/d",
+    "sın dato", "no aplica", "NO APLICA.", "N.A.", "n/a ", "ﬁ", "-",
+]
+
+
+def test_shortcuts_of_the_checks_change_nothing(spark):
+    """What lets most cells skip the longer tests gives what those give alone."""
+    df = spark.createDataFrame([(v, v, v) for v in ODD_CELLS], "TELEFONO string, CODIGO string, NIVEL string")
+    pairs = [
+        *[(text.has_edge_space(F.col(c)), text.plain(F.col(c)) != text.trimmed(F.col(c))) for c in df.columns],
+        *[(validation.has_wrong_type(c), text.full_match(text.trimmed(F.col(c)), R.NUMBER if c == "NIVEL" else R.CAST_IDENTIFIER)) for c in ("CODIGO", "NIVEL")],
+        (validation.has_marker("NIVEL"), F.coalesce(F.upper("NIVEL").isin(*R.MISSING_MARKERS), F.lit(False))),
+        (
+            validation.has_wrong_phone("TELEFONO"),
+            (text.trimmed(F.col("TELEFONO")) != "")
+            & ((F.size(split_numbers(F.col("TELEFONO"))) == 0) | F.exists(split_numbers(F.col("TELEFONO")), lambda n: ~F.length(n).isin(7, 8))),
+        ),
+    ]
+    for row in df.select("NIVEL", F.array(*[a for a, _ in pairs]).alias("got"), F.array(*[b for _, b in pairs]).alias("want")).collect():
+        assert row.got == row.want, row.NIVEL
+
+
+@pytest.mark.parametrize("heavy_rows", [2, 10**6])
+def test_frequent_categories_stay_where_they_are_read(spark, monkeypatch, heavy_rows):
+    """Every spelling is listed for the join, so that cells without variants are known to be frequent too."""
+    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy_rows)
+    df = registry_rows(spark, SECTOR=["OFICIAL", "oficial ", "OFICIAL", "PRIVADO", "PRIVADO", None, ""])
+    listed = {(r.valor, r.cantidad, r.escrituras) for r in validation.category_spellings(df, ["SECTOR"]).collect()}
+    assert listed == {("OFICIAL", 2, 2), ("oficial", 1, 2), ("PRIVADO", 2, 1)}
+    got = sorted((r.fila_origen, r.valor) for r in validation.violaciones(df).where("regla = 'V6'").collect())
+    assert got == [(0, "OFICIAL"), (1, "oficial"), (2, "OFICIAL")]
+
+
+def test_rows_that_may_be_copies_are_written_once(spark, tmp_path):
+    """The steps after the filter of fingerprints read its result, not the table again."""
+    spark.createDataFrame([(i % 90, f"v{i % 90}") for i in range(100)], "k long, v string").write.parquet(f"{tmp_path}/t")
+    found = duplicates.duplicate_rows(spark.read.parquet(f"{tmp_path}/t"), ["k", "v"], write=True)
+    assert sorted((r.k, r.copias) for r in found.collect()) == sorted([(k, 2) for k in range(10)] * 2)
+    assert not [f for f in found.inputFiles() if str(tmp_path) in f]
