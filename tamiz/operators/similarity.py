@@ -58,8 +58,9 @@ def shingles(words: Column, n: int) -> Column:
     windows = F.transform(
         F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)])
     )
-    few = F.when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(F.array().cast("array<bigint>"))
-    return F.array_sort(F.array_distinct(F.when(last >= 0, windows).otherwise(few)))
+    few = F.slice(F.array(F.xxhash64(words)), 1, F.least(F.size(words), F.lit(1)))
+    # As no part may hold nulls, sort_array compares plain numbers; array_sort calls a lambda for every two.
+    return F.sort_array(F.array_distinct(F.when(last >= 0, windows).otherwise(few)))
 
 
 def key_count(size: Column, least: float) -> Column:
@@ -75,15 +76,26 @@ def sets_of(df: DataFrame, key: str, text: str, words: int) -> DataFrame:
     return found.select("key", "set", F.size("set").alias("tamano"))
 
 
-def _bitmap_word(tokens: Column, w: int) -> Column:
-    """Word ``w`` of the bitmap of a set: a bit for every shingle that falls into it."""
+def _with_bitmap(sets: DataFrame) -> DataFrame:
+    """Adds the bitmap: the highest bits of a shingle give the word, the lowest six the bit.
+
+    Each word is thus of one stretch of the sorted set, and every shingle is visited once.
+    The stretches are found by sorting the set once more with the bounds between them.
+    """
+    wide = 2**64 // BITMAP_WORDS
+    bounds = [F.lit(w * wide - 2**63).cast("long") for w in range(1, BITMAP_WORDS)]
+    cut = sets.withColumn("_cut", F.sort_array(F.concat("set", F.array(*bounds))))
+    places = [F.lit(0), *[F.array_position("_cut", b).cast("int") for b in bounds], F.size("_cut") + 1]
+    cut = cut.withColumn("_at", F.array(*places))
 
     def with_bit(word: Column, token: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
-        here = F.shiftright(token, 6).bitwiseAND(BITMAP_WORDS - 1) == w
-        return F.when(here, word.bitwiseOR(bit)).otherwise(word)
+        return word.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int")))
 
-    return F.aggregate(tokens, F.lit(0).cast("long"), with_bit).alias(BITMAP[w])
+    def word(w: int) -> Column:
+        begin, end = F.get("_at", F.lit(w)), F.get("_at", F.lit(w + 1))
+        return F.aggregate(F.slice("_cut", begin + 1, end - begin - 1), F.lit(0).cast("long"), with_bit)
+
+    return cut.select(*sets.columns, *[word(w).alias(BITMAP[w]) for w in range(BITMAP_WORDS)])
 
 
 def text_sets(df: DataFrame, key: str, text: str, words: int = WORDS, least: float = LEAST) -> DataFrame:
@@ -93,7 +105,7 @@ def text_sets(df: DataFrame, key: str, text: str, words: int = WORDS, least: flo
     keys and some more, which follow where keys are common.
     """
     spare = (F.col("tamano") / 20 + 8).cast("int")
-    found = sets_of(df, key, text, words)
+    found = _with_bitmap(sets_of(df, key, text, words))
     return written(
         found.select(
             "key",
@@ -101,7 +113,7 @@ def text_sets(df: DataFrame, key: str, text: str, words: int = WORDS, least: flo
             F.xxhash64(F.lit(2), "set").alias("h2"),
             "tamano",
             F.slice("set", 1, key_count(F.col("tamano"), least) + spare).alias("inicio"),
-            *[_bitmap_word(F.col("set"), w) for w in range(BITMAP_WORDS)],
+            *BITMAP,
         ),
         "similarity-sets",
     )
@@ -165,6 +177,55 @@ def _only(a: str, b: str) -> Column:
     )
 
 
+def _centres(pairs: DataFrame) -> DataFrame:
+    """(clase, centro) of all classes in ``pairs``: of a class and those it meets, the one that meets most."""
+    ways = [F.struct(F.col(f"clase_{x}").alias("clase"), F.col(f"clase_{y}").alias("otra")) for x, y in ("ab", "ba")]
+    ends = pairs.select(F.inline(F.array(*ways)))
+    degrees = written(ends.groupBy("clase").agg(F.count("*").alias("n")), "similarity-degrees")
+    near = ends.join(degrees.withColumnRenamed("clase", "otra"), "otra").select("clase", "n", "otra")
+    near = near.unionByName(degrees.withColumn("otra", F.col("clase")))
+    # Of equals the least class, so that those that meet each other agree.
+    best = F.min(F.struct(-F.col("n"), F.col("otra").alias("centro"))).alias("_best")
+    return near.groupBy("clase").agg(best).select("clase", "_best.centro")
+
+
+def _differences(chosen: DataFrame, centres: DataFrame) -> DataFrame:
+    """(clase, centro, tamano, base, menos, mas): what a set lacks of that of its centre, and what it has besides.
+
+    ``base`` is the size of the centre's set.
+    """
+    base = chosen.select(F.col("clase").alias("centro"), F.col("set").alias("_base"), F.col("tamano").alias("base"))
+    found = chosen.join(centres, "clase").join(base, "centro")
+    menos, mas = F.array_except("_base", "set"), F.array_except("set", "_base")
+    return found.select("clase", "centro", "tamano", "base", menos.alias("menos"), mas.alias("mas"))
+
+
+def _overlaps(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``pairs`` (clase_a, clase_b) with both sizes and ``comunes``, the number of shingles in both sets.
+
+    Near copies of one text meet in pairs that grow with the square of their number, so a pair gets no whole
+    sets where both have one centre R, but the differences from it, which are small:
+    ``|A & B| = |R| - |R - A| - |R - B| + |(R - A) & (R - B)| + |(A - R) & (B - R)|``.
+    """
+    centres = written(_centres(pairs), "similarity-centres")
+
+    def of_both(pairs: DataFrame, one: DataFrame) -> DataFrame:
+        for x in "ab":
+            pairs = pairs.join(one.select(*[F.col(c).alias(f"{c}_{x}") for c in one.columns]), f"clase_{x}")
+        return pairs
+
+    centred = written(of_both(pairs, centres), "similarity-centred")
+    differences = written(_differences(chosen, centres), "similarity-differences")
+    near = centred.where("centro_a = centro_b").select("clase_a", "clase_b")
+    near = of_both(near, differences.select("clase", "tamano", "base", "menos", "mas"))
+    both = [F.size(F.array_intersect(f"{c}_a", f"{c}_b")) for c in ("menos", "mas")]
+    near = near.withColumn("comunes", F.col("base_a") - F.size("menos_a") - F.size("menos_b") + both[0] + both[1])
+    far = of_both(centred.where("centro_a <> centro_b").select("clase_a", "clase_b"), chosen)
+    far = far.withColumn("comunes", F.size(F.array_intersect("set_a", "set_b")))
+    names = ["clase_a", "clase_b", "tamano_a", "tamano_b", "comunes"]
+    return near.select(names).unionByName(far.select(names))
+
+
 def similar_pairs(
     df: DataFrame,
     key: str,
@@ -210,9 +271,7 @@ def similar_pairs(
     ends = pairs.select(F.explode(F.array("clase_a", "clase_b")).alias("clase")).distinct()
     chosen = _whole_sets(df, ends, key, text, words).dropDuplicates(["clase"])
     chosen = written(chosen, "similarity-chosen")
-    one, other = (chosen.select(*[F.col(c).alias(f"{c}_{x}") for c in chosen.columns]) for x in "ab")
-    met = pairs.join(one, "clase_a").join(other, "clase_b")
-    counted = met.withColumn("comunes", F.size(F.array_intersect("set_a", "set_b")))
+    counted = _overlaps(pairs, chosen)
     alike = F.col("comunes") >= least * (F.col("tamano_a") + F.col("tamano_b") - F.col("comunes")) - 1e-6
     return counted.where(alike).select("clase_a", "clase_b", "comunes", "tamano_a", "tamano_b")
 

@@ -87,6 +87,50 @@ def test_bitmap_never_rejects_and_prunes(spark):
     assert len(x & y) <= bound < len(x) - 20
 
 
+def test_sets_are_sorted_as_numbers(spark):
+    """No part of a set may hold nulls: only then are its numbers sorted without a lambda for every two."""
+    df = spark.createDataFrame([(1, "a b c d e f g"), (2, "one two"), (3, " ,"), (4, None)], "k long, text string")
+    sets = similarity.sets_of(df, "k", "text", 5)
+    assert not sets.schema["set"].dataType.containsNull
+    got = {r.key: r.set for r in sets.collect()}
+    assert {k: len(s) for k, s in got.items()} == {1: 3, 2: 1, 3: 0, 4: 0} and got[1] == sorted(got[1])
+
+
+def test_bitmap_words_are_stretches_of_the_set(spark):
+    """Highest bits give the word, the lowest six the bit; also at the bounds between words."""
+    wide = 2**64 // similarity.BITMAP_WORDS
+    ends = [w * wide - 2**63 + d for w in range(similarity.BITMAP_WORDS + 1) for d in (-1, 0, 1)]
+    random.seed(7)
+    tokens = [t for t in ends if -(2**63) <= t < 2**63] + [random.randrange(-(2**63), 2**63) for _ in range(300)]
+    for chosen in ([], [-(2**63)], [2**63 - 1], sorted(set(tokens))):
+        df = spark.createDataFrame([(1, chosen)], "key long, set array<bigint>")
+        want = [0] * similarity.BITMAP_WORDS
+        for t in chosen:
+            want[(t + 2**63) // wide] |= 1 << (t & 63)
+        got = similarity._with_bitmap(df).select(*similarity.BITMAP).first()
+        assert [g % 2**64 for g in got] == want
+
+
+def test_near_copies_are_compared_by_differences(spark, texts):
+    """One centre for a group of near copies; what is joined to its pairs is a small part of the sets."""
+    rows = [(k, t) for k, t in texts.items() if 60 <= k < 120]
+    sets = similarity.sets_of(spark.createDataFrame(rows, "k long, text string"), "k", "text", 5)
+    sets = sets.withColumnRenamed("key", "clase").cache()
+    a, b = (sets.select(F.col("clase").alias(f"clase_{x}")) for x in "ab")
+    pairs = a.join(b, F.col("clase_a") < F.col("clase_b"))
+    centres = similarity._centres(pairs)
+    assert centres.count() == 60 and centres.select("centro").distinct().count() == 1
+    parts = similarity._differences(sets, centres).selectExpr("sum(size(menos) + size(mas))", "sum(tamano)").first()
+    assert parts[0] < 0.5 * parts[1]
+    made = {k: shingle_set(t) for k, t in rows}
+    # All pairs, then few of them, so that some have two centres.
+    for some in (pairs, pairs.where("(clase_a * clase_b) % 7 = 1")):
+        got = {(r.clase_a, r.clase_b): (r.comunes, r.tamano_a, r.tamano_b) for r in similarity._overlaps(some, sets).collect()}
+        asked = [tuple(r) for r in some.select("clase_a", "clase_b").collect()]
+        assert got == {(x, y): (len(made[x] & made[y]), len(made[x]), len(made[y])) for x, y in asked}
+    assert similarity._centres(some).select("centro").distinct().count() > 1
+
+
 def test_keys_are_enough():
     """Of two sets that are alike, however the shingles differ, the first keys share one."""
     for n in range(1, 40):
