@@ -126,7 +126,11 @@ def text_classes(sets: DataFrame) -> DataFrame:
 
 
 def _whole_sets(df: DataFrame, chosen: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(clase, set, tamano) of the classes in ``chosen`` (clase); of other texts no set is made."""
+    """(clase, set, tamano) of the classes in ``chosen`` (clase); of other texts no set is made.
+
+    ``chosen`` is written, so that its size is known: texts are not shuffled for a short list.
+    """
+    chosen = written(chosen, "similarity-asked")
     texts = df.select(F.col(key).alias("clase"), F.col(text).alias("_text")).join(chosen, "clase", "left_semi")
     return sets_of(texts, "clase", "_text", words).withColumnRenamed("key", "clase")
 
@@ -146,8 +150,10 @@ def _keys(
     def ordered(sets: DataFrame, tokens: str) -> DataFrame:
         """Adds ``early`` and ``late``, the tokens of a class that are not common and those that are."""
         listed = sets.select("clase", F.explode_outer(tokens).alias("token")).join(late, "token", "left_semi")
-        listed = listed.groupBy("clase").agg(F.array_sort(F.collect_set("token")).alias("late"))
+        listed = listed.groupBy("clase").agg(F.sort_array(F.collect_set("token")).alias("late"))
         none = F.array().cast("array<bigint>")
+        # Written, so that its size is known: where few classes are in it, the sets stay where they are read.
+        listed = written(listed, "similarity-late")
         found = sets.join(listed, "clase", "left").withColumn("late", F.coalesce("late", none))
         return found.withColumn("early", F.array_except(tokens, "late"))
 
@@ -160,6 +166,7 @@ def _keys(
     # Classes whose begin has too few others: all their shingles are read.
     enough = F.size("claves") == size
     short = _whole_sets(df, begun.where(~enough).select("clase"), key, text, words).dropDuplicates(["clase"])
+    short = written(short, "similarity-short")
     anew = ordered(short, "set").select(
         "clase",
         "tamano",
