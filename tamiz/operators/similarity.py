@@ -13,7 +13,8 @@ filter, a bitmap filter (a bit that one set has alone is a shingle that the
 other lacks) and one on the number of keys at which they meet (a key that the
 other lacks, though its keys go as far, is a shingle that it lacks); none
 rejects a pair that is alike. The sets of the pairs left
-are made once more and compared. No pair is lost, whatever ``common`` is.
+are made once more and compared, by their differences from the set of one class that both
+meet where there is one. No pair is lost, whatever ``common`` is.
 
 Null and blank texts have no shingles: they form one class, alike to none. A
 text shorter than a shingle is one shingle. Shingles are compared by 64-bit
